@@ -1,0 +1,157 @@
+"""Reading of device text, case by case."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegate import functions as fn
+from tidegate.operators.bronze import first_delivery, to_bronze
+from tidegate.operators.quarantine import quarantine, telemetry_keys
+from tidegate.operators.silver import parse_envelope, to_silver
+from tidegate.sources.templates import template
+
+TEMPLATE = template("t", {"temp": "double", "n": "integer", "on": "boolean", "f": "float"})
+
+
+def message(telemetry: str) -> str:
+    return '{"templateName":"t","deviceId":"7-a","telemetry":' + telemetry + "}"
+
+
+MALFORMED = [
+    '{"deviceId":',
+    "hello",
+    "null",
+    "[1,2]",
+    "",
+    "   ",
+    '{"templateName":"t"}',
+    '{"templateName":"t","telemetry":null}',
+    '{"templateName":"t","telemetry":"x"}',
+    '{"templateName":"t","Telemetry":{"temp":1}}',
+]
+
+# telemetry text -> (temp, n, on, f)
+READINGS = {
+    "{}": (None, None, None, None),
+    '{"temp":1.5,"n":3,"on":true,"f":0.25}': (1.5, 3, True, 0.25),
+    '{"temp":"abc","n":3}': (None, 3, None, None),
+    '{"temp":3,"n":3.5}': (3.0, None, None, None),
+    '{"n":3.0}': (None, None, None, None),
+    '{"n":99999999999,"temp":2}': (2.0, None, None, None),
+    '{"on":"true","temp":2}': (2.0, None, None, None),
+    '{"temp":"1.5","n":1}': (None, 1, None, None),
+    '{"temp":"Infinity"}': (float("inf"), None, None, None),
+    '{"n":1,"other":{"a":1}}': (None, 1, None, None),
+    '{"n":1,"n":2}': (None, 2, None, None),
+}
+
+
+def bronze_of_bodies(spark, bodies):
+    rows = [(b, dt.datetime(2024, 1, 1)) for b in bodies]
+    return to_bronze(spark.createDataFrame(rows, "body string, enqueuedTime timestamp"))
+
+
+def test_flag(spark):
+    bodies = [*MALFORMED, None, *map(message, READINGS)]
+    flags = {
+        r.body: r.flagged
+        for r in parse_envelope(bronze_of_bodies(spark, bodies), TEMPLATE).collect()
+    }
+    assert all(flags[b] == 1 for b in [*MALFORMED, None])
+    assert all(flags[message(t)] == 0 for t in READINGS)
+
+
+def test_generic_telemetry_check_agrees_with_the_flag(spark):
+    """Quarantine judges without a template what silver judges with one."""
+    bodies = [*MALFORMED, *map(message, READINGS), message('{"a":[1,{"b":2}],"c":{"d":null}}')]
+    parsed = parse_envelope(bronze_of_bodies(spark, bodies), TEMPLATE)
+    rows = parsed.select("flagged", telemetry_keys(F.col("body")).isNull().alias("none")).collect()
+    assert all((r.flagged == 1) == r.none for r in rows)
+
+
+def test_readings(spark):
+    bodies = {message(t): want for t, want in READINGS.items()}
+    silver = to_silver(bronze_of_bodies(spark, bodies), TEMPLATE).collect()
+    got = {r.body: (r.temp, r.n, r.on, r.f) for r in silver}
+    assert got == bodies
+
+
+def test_object_kept_as_text_and_number_as_device(spark):
+    body = '{"templateName":"t","enrichments":{"a":1},"deviceId":123,"telemetry":{"n":1}} trailing'
+    row = parse_envelope(bronze_of_bodies(spark, [body]), TEMPLATE).first()
+    assert row.message.enrichments == '{"a":1}'
+    assert row.deviceId == "123"
+    assert row.flagged == 0
+
+
+@pytest.mark.parametrize(
+    "device, station",
+    [("12-a", 12), (" 12 -a", 12), ("dev-1", None), ("-1", None), ("", None), ("12", 12), (None, None)],
+)
+def test_station_id(spark, device, station):
+    df = spark.createDataFrame([(device,)], "d string")
+    assert df.select(fn.station_id(F.col("d")).alias("s")).first().s == station
+
+
+def test_device_time(spark):
+    rows = [
+        ("2024-07-01T01:30:00.1234567Z", "2024-07-01 01:30:00.123456", "2024-06-30 18:30:00.123456", "2024-07-01"),
+        ("2024-01-01T01:30:00Z", "2024-01-01 01:30:00", "2023-12-31 17:30:00", "2024-01-01"),
+        # The date of the instant in UTC, not the date as written.
+        ("2024-07-01T01:00:00+02:00", "2024-06-30 23:00:00", "2024-06-30 16:00:00", "2024-06-30"),
+        ("garbage", None, None, None),
+        (None, None, None, None),
+    ]
+    df = spark.createDataFrame([(r[0],) for r in rows], "t string").withColumn(
+        "u", fn.utc_time(F.col("t"))
+    )
+    got = df.select(
+        "t",
+        F.col("u").cast("string"),
+        fn.local_time(F.col("u")).cast("string"),
+        fn.utc_date(F.col("u")).cast("string"),
+    ).collect()
+    assert [tuple(r) for r in got] == rows
+
+
+def test_header_time_and_partition(spark):
+    bodies = ['{"enqueuedTime":1700000000}', '{"enqueuedTime":"junk","deviceId":"1-a"}']
+    rows = {r.body: r for r in bronze_of_bodies(spark, bodies).collect()}
+    seconds, junk = (rows[b] for b in bodies)
+    assert (seconds.yearDevice, seconds.monthDevice) == (2023, 11)
+    assert (junk.yearDevice, junk.deviceEnqueuedTime, junk.deviceId) == (None, None, "1-a")
+
+
+def test_row_hash(spark):
+    df = spark.createDataFrame([("",), (None,)], "b string")
+    hashes = [r.h for r in df.select(fn.row_hash(F.col("b")).alias("h")).collect()]
+    assert hashes == ["e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855", None]
+
+
+def test_first_delivery_keeps_bus_columns_of_the_earliest(spark):
+    rows = [("a", 2, "late"), ("a", 1, "early"), (None, 1, "x"), ("b", 5, "b")]
+    raw = spark.createDataFrame(rows, "body string, s long, publisher string").select(
+        "body", F.timestamp_seconds("s").alias("enqueuedTime"), "publisher"
+    )
+    got = {(r.body, r.publisher) for r in first_delivery(raw).collect()}
+    assert got == {("a", "early"), ("b", "b")}
+
+
+def test_binary_body(spark):
+    raw = spark.createDataFrame([(bytearray(b'{"deviceId":"1-a"}'), None)], "body binary, enqueuedTime timestamp")
+    row = to_bronze(raw, "2024-01-01").first()
+    assert (row.body, row.deviceId) == ('{"deviceId":"1-a"}', "1-a")
+
+
+def test_quarantine_reasons(spark):
+    bodies = [None, "junk", '{"templateName":"x"}', '{"templateName":"t"}', message("{}")]
+    rows = quarantine(bronze_of_bodies(spark, bodies), ["t"]).collect()
+    assert {r.body: r.reason for r in rows} == {
+        None: "null_body",
+        "junk": "no_template",
+        '{"templateName":"x"}': "unknown_template",
+        '{"templateName":"t"}': "no_telemetry",
+    }

@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql import types as T
+
+from tidegate.operators.bronze import to_bronze
+from tidegate.operators.silver import to_silver
+from tidegate.sources.templates import compile_templates, template, template_fields
+
+
+def write(folder: str, name: str, content) -> str:
+    path = Path(folder) / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(content if isinstance(content, str) else json.dumps(content))
+    return name
+
+
+def field(name, kind):
+    return {"name": name, "schema": kind}
+
+
+def test_compile(spark, folder):
+    files = {
+        "plain": write(folder, "plain.json", [{"@id": "x", "contents": [field("b", "double"), field("a", "integer")]}]),
+        "two objects": write(folder, "sub dir/two.json", [
+            {"contents": [field("z", "boolean"), field("a", "float")]},
+            {"contents": [field("a", "double")]},
+        ]),
+        "empty": write(folder, "empty.json", [{"contents": []}]),
+        "shared": "plain.json",
+        "taken": write(folder, "taken.json", [{"contents": [field("Body", "float"), field("telemetry_Body", "float")]}]),
+        "unknown": write(folder, "unknown.json", [{"contents": [field("a", "string")]}]),
+        "object": write(folder, "object.json", [{"contents": [field("a", {"@type": "Enum"}), field("b", "double")]}]),
+        "no contents": write(folder, "none.json", [{"name": "x"}]),
+        "no name": write(folder, "noname.json", [{"contents": [{"schema": "double"}]}]),
+        "no schema": write(folder, "noschema.json", [{"contents": [{"name": "a"}]}]),
+        "case": write(folder, "case.json", [{"contents": [field("Temp", "float"), field("temp", "float")]}]),
+        "not json": write(folder, "bad.json", "[{"),
+        "blank": write(folder, "blank.json", ""),
+        "missing": "nowhere.json",
+    }
+    templates, errors = compile_templates(spark, files, folder)
+    columns = {a: [(n, c, k.simpleString()) for n, c, k in t.columns] for a, t in templates.items()}
+    assert columns == {
+        "plain": [("a", "a", "int"), ("b", "b", "double")],
+        "two objects": [("a", "a", "double"), ("z", "z", "boolean")],
+        "empty": [],
+        "shared": [("a", "a", "int"), ("b", "b", "double")],
+        "taken": [("Body", "telemetry_telemetry_Body", "float"), ("telemetry_Body", "telemetry_Body", "float")],
+    }
+    assert errors == {
+        "unknown": "a: unknown type string",
+        "object": 'a: unknown type {"@type":"Enum"}',
+        "no contents": "missing contents",
+        "no name": "missing name",
+        "no schema": "a: unknown type null",
+        "case": "fields 'Temp' and 'temp' differ only in case",
+        "not json": "missing contents",
+        "blank": "missing contents",
+        "missing": "missing contents",
+    }
+
+
+def test_fields_are_rows(spark, folder):
+    file = write(folder, "a.json", [{"contents": [field("x", "float"), field("y", "text")]}])
+    rows = template_fields(spark, {"a": file}, folder).collect()
+    assert {(r.asset, r.name, r.type, r.error) for r in rows} == {
+        ("a", "x", "float", None),
+        ("a", "y", "text", "unknown type text"),
+    }
+
+
+def test_template_from_a_mapping():
+    t = template("t", {"b": "float", "a": "boolean"})
+    assert t.json_schema() == T.StructType(
+        [T.StructField("a", T.BooleanType()), T.StructField("b", T.FloatType())]
+    )
+    with pytest.raises(ValueError):
+        template("t", {"a": "string"})
+    with pytest.raises(ValueError):
+        template("t", {"a": "float", "A": "float"})
+
+
+def test_taken_names_and_empty_templates_in_silver(spark):
+    bodies = [('{"templateName":"t","telemetry":{"body":1.5}}',)]
+    bronze = to_bronze(
+        spark.createDataFrame(bodies, "body string").selectExpr("body", "timestamp'2024-01-01' enqueuedTime")
+    )
+    taken = template("t", {"body": "double"})
+    row = to_silver(bronze, taken).first()
+    assert row.telemetry_body == 1.5 and row.body == bodies[0][0]
+    assert to_silver(bronze, taken).schema.names == taken.silver_schema().names
+    empty = template("t", {})
+    assert to_silver(bronze, empty).schema.names == empty.silver_schema().names
+    assert to_silver(bronze, empty).count() == 1

@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
-from datetime import date, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -27,6 +26,7 @@ from tidegate.schemas import PARTITION_COLUMNS
 from tidegate.storage import Slot, Target
 
 MODES = ("strict", "compat")
+DAY_MICROS = 86_400_000_000
 
 
 @dataclass(frozen=True)
@@ -46,6 +46,7 @@ class MergeSpec:
     arrival: tuple[str, ...] = ("enqueuedTime", "loadDatetime")
     broadcast_rows: int = 1_000_000
     max_days: int = 400
+    max_months: int = 1_200
     max_ranges: int = 32
 
     def __post_init__(self) -> None:
@@ -66,8 +67,8 @@ SILVER_MERGE = MergeSpec(
 class Footprint:
     """What a batch touches: row counts, partitions, and device-time ranges in µs.
 
-    ``slots`` is None when the batch spans too many days to be worth listing;
-    the target is then read whole, which is slower but just as exact.
+    ``slots`` is None when the batch spans too many months to be worth listing; the
+    target is then read whole, which is slower but just as exact.
     """
 
     rows: int
@@ -86,46 +87,43 @@ class MergeStats:
 
 
 def footprint(batch: DataFrame, spec: MergeSpec = BRONZE_MERGE) -> Footprint:
-    """One aggregation over the batch; the driver gets one row per device day."""
+    """One aggregation over the batch; the driver gets one row per device day.
+
+    If those are too many, as with devices whose clocks are wrong, one per month.
+    """
     instant = F.col(spec.time)
-    days = batch.groupBy(*spec.partition_by, F.to_date(instant).alias("day")).agg(
+    measures = (
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(spec.key).isNull()).alias("null_keys"),
         F.min(F.unix_micros(instant)).alias("lo"),
         F.max(F.unix_micros(instant)).alias("hi"),
     )
-    rows = days.limit(spec.max_days + 1).collect()
-    if len(rows) > spec.max_days:
-        total = batch.agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(F.col(spec.key).isNull()).alias("null_keys")
-        ).first()
-        return Footprint(total.n, total.null_keys, None, (), True)
-    slots = {tuple(r[c] for c in spec.partition_by): None for r in rows}
-    dated = sorted((r.day, r.lo, r.hi) for r in rows if r.day is not None)
-    return Footprint(
-        sum(r.n for r in rows),
-        sum(r.null_keys for r in rows),
-        tuple(slots),
-        _time_ranges(dated, spec.max_ranges),
-        any(r.day is None for r in rows),
-    )
-
-
-def _time_ranges(
-    days: Sequence[tuple[date, int, int]], limit: int
-) -> tuple[tuple[int, int], ...]:
-    """Ranges that cover all the days: adjacent days are joined, then all if too many."""
-    ranges: list[list[int]] = []
-    last: date | None = None
-    for day, lo, hi in days:
-        if last is not None and day - last <= timedelta(days=1):
-            ranges[-1] = [min(ranges[-1][0], lo), max(ranges[-1][1], hi)]
-        else:
-            ranges.append([lo, hi])
-        last = day
-    if len(ranges) > limit:
-        ranges = [[min(r[0] for r in ranges), max(r[1] for r in ranges)]]
-    return tuple((lo, hi) for lo, hi in ranges)
+    for unit, limit in (("day", spec.max_days), ("month", spec.max_months)):
+        spans = batch.groupBy(*spec.partition_by, F.date_trunc(unit, instant).alias("span"))
+        rows = spans.agg(*measures).limit(limit + 1).collect()
+        if len(rows) <= limit:
+            slots = {tuple(r[c] for c in spec.partition_by): None for r in rows}
+            return Footprint(
+                sum(r.n for r in rows),
+                sum(r.null_keys for r in rows),
+                tuple(slots),
+                _time_ranges([(r.lo, r.hi) for r in rows if r.lo is not None], spec.max_ranges),
+                any(r.lo is None for r in rows),
+            )
+    whole = batch.agg(*measures).first()
+    return Footprint(whole.n, whole.null_keys, None, (), True)
+
+
+def _time_ranges(spans: Sequence[tuple[int, int]], limit: int) -> tuple[tuple[int, int], ...]:
+    """At most ``limit`` ranges that cover all the spans, split at the widest gaps."""
+    spans = sorted(spans)
+    if not spans:
+        return ()
+    gaps = [(after[0] - before[1], i) for i, (before, after) in enumerate(zip(spans, spans[1:]), 1)]
+    wide = sorted(gaps, reverse=True)[: limit - 1]
+    cuts = sorted(i for gap, i in wide if gap > DAY_MICROS)
+    pieces = zip([0, *cuts], [*cuts, len(spans)])
+    return tuple((spans[i][0], max(hi for _, hi in spans[i:j])) for i, j in pieces)
 
 
 def in_footprint(fp: Footprint, spec: MergeSpec) -> Column:

@@ -338,13 +338,13 @@ def _merge_lines(spark: SparkSession, sf_dir: str, spec: MergeSpec, label: str)
 @query("j1_merge_pruned_equals_plain")
 def j1_merge_pruned_equals_plain(spark, sf_dir):
     """History pruned by month and device time, batch keys broadcast."""
-    return _merge_lines(spark, sf_dir, MergeSpec(max_days=10_000), "j1p")
+    return _merge_lines(spark, sf_dir, MergeSpec(), "j1p")
 
 
 @query("j1_merge_large_batch")
 def j1_merge_large_batch(spark, sf_dir):
     """The form for batches whose keys are too many to broadcast, without pruning."""
-    return _merge_lines(spark, sf_dir, MergeSpec(broadcast_rows=0, max_days=0), "j1l")
+    return _merge_lines(spark, sf_dir, MergeSpec(broadcast_rows=0, max_days=0, max_months=0), "j1l")
 
 
 @query("j1_merge_undated")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate import schemas
-from tidegate.storage import qualified
+from tidegate.storage import file_uri, path_exists
 
 CONTENTS = "array<struct<contents: array<struct<name: string, schema: string>>>>"
 
@@ -53,14 +53,19 @@ def template_fields(spark: SparkSession, files: Mapping[str, str], folder: str =
     template gives a row with a null name and the reason in ``error``.
     """
     base = folder.rstrip("/") + "/" if folder else ""
-    places = [(asset, qualified(spark, base + file)) for asset, file in files.items()]
+    paths = {asset: base + file for asset, file in files.items()}
+    found = sorted({path for path in paths.values() if path_exists(spark, path)})
+    if found:
+        texts = spark.read.option("wholetext", True).text(found)
+        # Local files are reported as file:///x but qualified as file:/x.
+        file = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+        texts = texts.select(file.alias("file"), "value")
+    else:
+        texts = spark.createDataFrame([], "file string, value string")
+    texts = texts.select("file", F.from_json("value", CONTENTS).alias("objects"))
+    places = [(asset, file_uri(spark, path)) for asset, path in paths.items()]
     assets = spark.createDataFrame(places, "asset string, file string")
-    texts = (
-        spark.read.option("wholetext", True)
-        .text(sorted({place for _, place in places}))
-        .select(F.col("_metadata.file_path").alias("file"), F.from_json("value", CONTENTS).alias("objects"))
-    )
-    # Left join: an empty file has no row of its own and must still be reported.
+    # Left join: a missing or empty file has no row of its own and must still be reported.
     objects = assets.join(texts, "file", "left").select(
         "asset", "objects", F.posexplode_outer("objects").alias("object_no", "object")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -26,10 +27,11 @@ def _path(spark: SparkSession, path: str):
     return hadoop, hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path with scheme, as Spark reports it in ``_metadata.file_path``."""
+def file_uri(spark: SparkSession, path: str) -> str:
+    """The file with its scheme, URL-encoded like ``_metadata.file_path``."""
     hadoop, fs = _path(spark, path)
-    return hadoop.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri().toString()
+    uri = hadoop.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri().toString()
+    return re.sub("^file:/+", "file:/", uri)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
