@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+
+from tidegate import fixtures as fx
+from tidegate.config import Layout, asset_name, asset_names
+from tidegate.maintenance import list_tables, reset_layer
+from tidegate.operators import reports
+from tidegate.operators.bronze import to_bronze
+from tidegate.operators.merge import merge_insert
+from tidegate.plans.rebuild import rebuild_silver
+from tidegate.storage import scratch_folder
+from tidegate.streaming.ingest import bronze_target
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_names():
+    assert asset_name("Air Dryer 2") == "Air_Dryer_2"
+    assert asset_names(["a b", "c"]) == {"a b": "a_b", "c": "c"}
+    with pytest.raises(ValueError):
+        asset_names(["a b", "A_b"])
+
+
+def test_layout():
+    layout = Layout("/lake/", "db.bronze", "db.silver")
+    assert layout.bronze() == "/lake/bronze"
+    assert layout.silver("a b") == "/lake/silver/a_b"
+    assert layout.checkpoint("bronze") == "/lake/checkpoints/bronze"
+    assert layout.checkpoint("silver", "a b") == "/lake/checkpoints/silver/a_b"
+    assert layout.silver_table_of("a b") == "db.silver_a_b"
+    assert Layout("/lake").silver_table_of("a") is None
+
+
+def test_reset_touches_one_layer_only(spark, folder):
+    database = "reset_" + Path(folder).name.replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/db'")
+    layout = Layout(folder, f"{database}.bronze", f"{database}.silver")
+    merge_insert(to_bronze(fx.event_raw(spark, SF)), bronze_target(layout))
+    for asset in ("view", "click"):
+        rebuild_silver(spark, layout, fx.event_templates()[asset])
+    spark.sql(f"CREATE TABLE {database}.silverware (x int) USING parquet")
+    spark.sql(f"CREATE TABLE {database}.my_silver_x (x int) USING parquet")
+
+    found = {r.tableName for r in list_tables(spark, database, "silver").collect()}
+    assert found == {"silver_view", "silver_click", "silverware", "my_silver_x"}
+    assert list_tables(spark, database, "SILVER").count() == 0
+
+    plan = reset_layer(spark, layout, "silver")
+    assert plan.tables == (f"{database}.silver_click", f"{database}.silver_view")
+    assert plan.paths == (layout.silver(),)
+    assert spark.table(f"{database}.silver_view").count() > 0
+
+    assert reset_layer(spark, layout, "silver", dry_run=False).tables == plan.tables
+    assert not Path(layout.silver()).exists()
+    assert spark.table(f"{database}.bronze").count() > 0
+    left = {r.tableName for r in list_tables(spark, database, "").collect()}
+    assert left == {"bronze", "silverware", "my_silver_x"}
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+@pytest.mark.parametrize("root", ["/", "", "s3://"])
+def test_reset_refuses_a_root(spark, root):
+    with pytest.raises(ValueError):
+        reset_layer(spark, Layout(root), "silver", dry_run=False)
+    with pytest.raises(ValueError):
+        reset_layer(spark, Layout("/x"), "gold")
+
+
+def test_scratch_folder_is_shared(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_folder(spark, "x"), scratch_folder(spark, "x")
+    assert first.startswith(base) and first != second
+
+
+def test_reports_without_templates(spark):
+    bronze = to_bronze(fx.event_raw(spark, SF))
+    assert reports.drift(bronze, []).count() == 0
+    assert reports.orphans(bronze, []).agg({"messages": "sum"}).first()[0] == bronze.where("body is not null").count()

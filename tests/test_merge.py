@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import Counter
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -78,8 +79,11 @@ def test_strict_keeps_one_row_per_key(spark, folder, spec):
 
 
 def test_empty_batch(spark, folder):
-    assert merge_insert(batch(spark, ""), target(folder)).rows_in == 0
-    assert not target(folder).exists(spark)
+    t = target(folder)
+    assert merge_insert(batch(spark, ""), t).rows_in == 0
+    assert t.read(spark).count() == 0
+    assert merge_insert(batch(spark, ""), t).rows_in == 0
+    assert merge_insert(batch(spark, "a-"), t).inserted == 1
 
 
 def test_earliest_copy_is_kept(spark):
@@ -135,12 +139,19 @@ def test_any_split_and_redelivery_gives_the_distinct_set(spark, tmp_path_factory
 def test_footprint_levels(spark):
     rows = batch(spark, "abcX-")
     by_day, by_month, whole = (footprint(rows, s) for s in (STRICT, BY_MONTH, UNPRUNED))
-    assert by_day == by_month
+    assert replace(by_day, slots=set(by_day.slots)) == replace(by_month, slots=set(by_month.slots))
     assert by_day.rows == whole.rows == 5
+    assert not by_day.copies and not whole.copies
+    for spec in (STRICT, BY_MONTH, UNPRUNED):
+        assert footprint(batch(spark, "abcb"), spec).copies
+        assert not footprint(batch(spark, "abc--"), spec).copies
+        assert footprint(batch(spark, ""), spec).rows == 0
     assert by_day.null_keys == whole.null_keys == 1
     assert set(by_day.slots) == {(2024, 2), (2024, 3), (2024, 4), (None, None)}
     assert len(by_day.ranges) == 3 and by_day.undated
     assert whole.slots is None
+    compat = footprint(rows, COMPAT)
+    assert (compat.rows, set(compat.slots), compat.ranges) == (5, set(by_day.slots), by_day.ranges)
 
 
 def test_time_ranges():

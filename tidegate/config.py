@@ -5,6 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+# Session settings the jobs rely on.  Year, month and dates of device times are
+# taken in UTC.  Parquet keeps row-group statistics for microsecond timestamps only.
+# The advisory size is that of the shuffled, compressed rows one written file holds.
+SESSION_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.broadcastTimeout": "3600",
+}
+
 
 def asset_name(asset: str) -> str:
     """Name of an asset in paths and table names: spaces become underscores."""

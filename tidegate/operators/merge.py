@@ -18,12 +18,12 @@ from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.schemas import PARTITION_COLUMNS
-from tidegate.storage import Slot, Target
+from tidegate.storage import Slot, Target, observed
 
 MODES = ("strict", "compat")
 DAY_MICROS = 86_400_000_000
@@ -67,12 +67,14 @@ SILVER_MERGE = MergeSpec(
 class Footprint:
     """What a batch touches: row counts, partitions, and device-time ranges in µs.
 
+    ``copies`` tells whether a key may occur more than once.
     ``slots`` is None when the batch spans too many months to be worth listing; the
     target is then read whole, which is slower but just as exact.
     """
 
     rows: int
     null_keys: int
+    copies: bool
     slots: tuple[Slot, ...] | None
     ranges: tuple[tuple[int, int], ...]
     undated: bool
@@ -87,31 +89,48 @@ class MergeStats:
 
 
 def footprint(batch: DataFrame, spec: MergeSpec = BRONZE_MERGE) -> Footprint:
-    """One aggregation over the batch; the driver gets one row per device day.
+    """One job over the batch; the driver gets one row per device day.
 
     If those are too many, as with devices whose clocks are wrong, one per month.
+    In strict mode rows are first counted per key, which shuffles keys, not rows.
     """
     instant = F.col(spec.time)
-    measures = (
+    counts = (
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(spec.key).isNull()).alias("null_keys"),
         F.min(F.unix_micros(instant)).alias("lo"),
         F.max(F.unix_micros(instant)).alias("hi"),
     )
-    for unit, limit in (("day", spec.max_days), ("month", spec.max_months)):
-        spans = batch.groupBy(*spec.partition_by, F.date_trunc(unit, instant).alias("span"))
-        rows = spans.agg(*measures).limit(limit + 1).collect()
-        if len(rows) <= limit:
-            slots = {tuple(r[c] for c in spec.partition_by): None for r in rows}
-            return Footprint(
-                sum(r.n for r in rows),
-                sum(r.null_keys for r in rows),
-                tuple(slots),
-                _time_ranges([(r.lo, r.hi) for r in rows if r.lo is not None], spec.max_ranges),
-                any(r.lo is None for r in rows),
-            )
-    whole = batch.agg(*measures).first()
-    return Footprint(whole.n, whole.null_keys, None, (), True)
+    totals = (
+        F.sum("n").alias("n"),
+        F.sum("null_keys").alias("null_keys"),
+        F.max(F.when(F.col("null_keys") == 0, F.col("n"))).alias("copies"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+    )
+    for unit, limit in (("day", spec.max_days), ("month", spec.max_months), (None, 1)):
+        by = []
+        if unit is not None:
+            by = [*spec.partition_by, "span"]
+            batch = batch.withColumn("span", F.date_trunc(unit, instant))
+        if spec.mode == "strict":
+            spans = batch.groupBy(*by, spec.key).agg(*counts).groupBy(*by).agg(*totals)
+        else:
+            spans = batch.groupBy(*by).agg(*counts, F.lit(2).alias("copies"))
+        rows = [r for r in spans.limit(limit + 1).collect() if r.n]
+        if len(rows) > limit:
+            continue
+        slots = None
+        if unit is not None:
+            slots = tuple(dict.fromkeys(tuple(r[c] for c in spec.partition_by) for r in rows))
+        return Footprint(
+            sum(r.n for r in rows),
+            sum(r.null_keys for r in rows),
+            any((r.copies or 0) > 1 for r in rows),
+            slots,
+            _time_ranges([(r.lo, r.hi) for r in rows if r.lo is not None], spec.max_ranges),
+            any(r.lo is None for r in rows),
+        )
 
 
 def _time_ranges(spans: Sequence[tuple[int, int]], limit: int) -> tuple[tuple[int, int], ...]:
@@ -145,11 +164,13 @@ def history_keys(target: Target, batch: DataFrame, fp: Footprint, spec: MergeSpe
 
 
 def matched_keys(
-    batch: DataFrame, history: DataFrame, spec: MergeSpec, batch_rows: int
+    batch: DataFrame, history: DataFrame, spec: MergeSpec, fp: Footprint
 ) -> DataFrame:
     """Distinct keys that are in both; never more than the batch has rows."""
-    keys = batch.select(spec.key).where(F.col(spec.key).isNotNull()).distinct()
-    if batch_rows <= spec.broadcast_rows:
+    keys = batch.select(spec.key).where(F.col(spec.key).isNotNull())
+    if fp.copies:
+        keys = keys.distinct()
+    if fp.rows <= spec.broadcast_rows:
         return history.join(F.broadcast(keys), spec.key, "left_semi").distinct()
     return history.distinct().join(keys.hint("shuffle_merge"), spec.key, "left_semi")
 
@@ -178,28 +199,18 @@ def without(
     )
 
 
-def has_copies(batch: DataFrame, key: str) -> bool:
-    """Whether a key occurs twice in the batch; shuffles keys, not rows."""
-    return not batch.groupBy(key).count().where("count > 1").isEmpty()
-
-
 def first_copy(batch: DataFrame, spec: MergeSpec = BRONZE_MERGE) -> DataFrame:
     """One row per key, the earliest by the arrival columns.
 
     All other columns follow from the key, so grouping by them adds no group and
     keeps this a hash aggregation that drops copies before the shuffle.  Floating
-    point columns are the exception: grouping would turn -0.0 into 0.0, so such
-    rows are picked whole.
+    point columns are aggregated instead, as grouping would turn -0.0 into 0.0.
     """
     arrival = [c for c in spec.arrival if c in batch.columns]
-    content = [f for f in batch.schema if f.name not in arrival]
-    if not any(isinstance(f.dataType, (T.FloatType, T.DoubleType, T.MapType)) for f in content):
-        names = [f.name for f in content]
-        one = batch.groupBy(*names).agg(*[F.min(c).alias(c) for c in arrival])
-    else:
-        row = F.struct(*batch.columns)
-        picked = F.min_by(row, F.struct(*arrival)).alias("row")
-        one = batch.groupBy(F.col(spec.key).alias("group_key")).agg(picked).select("row.*")
+    floats = [f.name for f in batch.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    content = [c for c in batch.columns if c not in arrival and c not in floats]
+    least = [F.min(c).alias(c) for c in (*arrival, *floats)]
+    one = batch.groupBy(*content).agg(*least) if least else batch.distinct()
     return one.select(*batch.columns)
 
 
@@ -221,6 +232,8 @@ def merge_insert(batch: DataFrame, target: Target, spec: MergeSpec = BRONZE_MERG
     Repeating a batch, even after a half-finished write, inserts only what is
     missing (for rows with a key).
     """
+    if not target.exists(batch.sparkSession):
+        return _first_load(batch, target, spec)
     with persisted(batch) as batch:
         fp = footprint(batch, spec)
         if fp.rows == 0:
@@ -228,13 +241,26 @@ def merge_insert(batch: DataFrame, target: Target, spec: MergeSpec = BRONZE_MERG
         rows = batch
         if spec.mode == "strict":
             rows = rows.where(F.col(spec.key).isNotNull())
-            if has_copies(rows, spec.key):
+            if fp.copies:
                 rows = first_copy(rows, spec)
-        if not target.exists(batch.sparkSession):
-            return MergeStats(fp.rows, fp.null_keys, 0, target.append(rows))
         history = history_keys(target, batch, fp, spec)
-        with persisted(matched_keys(batch, history, spec, fp.rows)) as hits:
+        with persisted(matched_keys(batch, history, spec, fp)) as hits:
             n_hits = hits.count()
             if n_hits:
                 rows = without(rows, hits, spec, n_hits, fp.rows)
             return MergeStats(fp.rows, fp.null_keys, n_hits, target.append(rows))
+
+
+def _first_load(batch: DataFrame, target: Target, spec: MergeSpec) -> MergeStats:
+    """Create the target, possibly from all of history, in one pass that keeps nothing."""
+    seen = Observation()
+    rows = batch.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(spec.key).isNull()).alias("null_keys"),
+    )
+    if spec.mode == "strict":
+        rows = first_copy(rows.where(F.col(spec.key).isNotNull()), spec)
+    inserted = target.append(rows)
+    counts = observed(seen)
+    return MergeStats(counts.get("rows", 0), counts.get("null_keys", 0), 0, inserted)

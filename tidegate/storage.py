@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +64,14 @@ def set_write_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def observed(observation: Observation) -> dict[str, int]:
+    """Metrics of a finished action; none if the optimizer saw that the frame is empty."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def write_batch_folder(rows: DataFrame, folder: str, batch_id: int) -> None:
     """Write one micro-batch to a folder of its own, so that a replay replaces it."""
     set_write_conf(rows.sparkSession)
@@ -101,6 +110,8 @@ class Target:
         does not list years of history; a table gets the same from the catalog.
         """
         if self.table is not None:
+            # Another session, such as that of a stream, may have changed it.
+            spark.catalog.refreshTable(self.table)
             df = spark.table(self.table)
             return df if slots is None else df.where(self._in_slots(slots))
         reader = spark.read.schema(self.schema).option("basePath", self.path)
@@ -135,7 +146,7 @@ class Target:
             writer.parquet(self.path)
         else:
             writer.format("parquet").option("path", self.path).saveAsTable(self.table)
-        return written.get["rows"]
+        return observed(written).get("rows", 0)
 
     def _evolve(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
         """Add new columns to the table; columns the rows lack are filled with null."""

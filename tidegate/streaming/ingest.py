@@ -15,7 +15,14 @@ from tidegate import schemas
 from tidegate.config import Layout, asset_name, asset_names
 from tidegate.operators import quarantine
 from tidegate.operators.bronze import to_bronze
-from tidegate.operators.merge import BRONZE_MERGE, SILVER_MERGE, MergeSpec, merge_insert, persisted
+from tidegate.operators.merge import (
+    BRONZE_MERGE,
+    SILVER_MERGE,
+    MergeSpec,
+    MergeStats,
+    merge_insert,
+    persisted,
+)
 from tidegate.operators.silver import to_silver
 from tidegate.sources.replay import bronze_stream
 from tidegate.sources.templates import Template
@@ -51,9 +58,10 @@ def append_sink(folder: str) -> OnBatch:
 def merge_sink(target: Target, spec: MergeSpec, layout: Layout, name: str) -> OnBatch:
     """Batch callback: insert-only merge into the target, then one metrics row."""
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
+    def on_batch(batch: DataFrame, batch_id: int) -> MergeStats:
         stats = merge_insert(batch, target, spec)
         metrics.record(batch.sparkSession, layout.metrics(), name, batch_id, stats)
+        return stats
 
     return on_batch
 
@@ -63,12 +71,10 @@ def bronze_sink(layout: Layout, mode: str = "strict") -> OnBatch:
     merge = merge_sink(bronze_target(layout), BRONZE_MERGE.with_mode(mode), layout, "bronze")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        with persisted(batch) as batch:
-            if mode == "strict":
-                rejected = batch.where(F.col("body").isNull()).withColumn("reason", F.lit("null_body"))
-                if not rejected.isEmpty():
-                    write_batch_folder(rejected, layout.quarantine("bronze"), batch_id)
-            merge(batch, batch_id)
+        stats = merge(batch, batch_id)
+        if mode == "strict" and stats.null_keys:
+            rejected = batch.where(F.col("body").isNull()).withColumn("reason", F.lit("null_body"))
+            write_batch_folder(rejected, layout.quarantine("bronze"), batch_id)
 
     return on_batch
 
