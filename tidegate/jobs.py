@@ -46,8 +46,7 @@ def run_silver(
     Assets whose template file is bad are reported at the end, after the others
     have run.
     """
-    start = start_silver_single if single else start_silver
-    started = start(
+    args = (
         spark,
         config.layout,
         templates,
@@ -58,9 +57,9 @@ def run_silver(
     )
     seconds = timeout_seconds(config.job_minutes)
     if single:
-        run_for(started, seconds)
+        run_for(start_silver_single(*args), seconds)
     else:
-        started.wait(seconds)
+        start_silver(*args, rejects=True).wait(seconds)
     if errors:
         raise ValueError("; ".join(f"template {a}: {e}" for a, e in sorted(errors.items())))
 

@@ -58,7 +58,10 @@ def reset_layer(
         raise ValueError("refusing to reset a layout at the root of a file system")
     folders = {
         "bronze": [layout.bronze(), layout.checkpoint("bronze")],
-        "silver": [layout.silver(), layout.checkpoint("silver"), layout.checkpoint("silver_single")],
+        "silver": [
+            layout.silver(),
+            *[layout.checkpoint(c) for c in ("silver", "silver_single", "quarantine")],
+        ],
     }[layer] + [layout.quarantine(layer)]
     paths = tuple(p for p in folders if path_exists(spark, p))
     tables = tuple(_layer_tables(spark, layout, layer))

@@ -36,7 +36,9 @@ class MergeSpec:
     ``strict`` keeps one row per key and takes no row without a key.  ``compat``
     compares a batch with the target only: copies inside one batch are all
     inserted, and so is every row whose key is null.  ``arrival`` names the
-    columns that may differ between copies; the earliest copy is kept.
+    columns that may differ between copies; the earliest copy is kept.  A first load
+    removes copies at once where they are expected, and otherwise only if a look at
+    the keys finds some, which spares a shuffle of all rows.
     """
 
     key: str = "rowhash"
@@ -44,6 +46,7 @@ class MergeSpec:
     partition_by: tuple[str, ...] = PARTITION_COLUMNS
     time: str = "deviceEnqueuedTime"
     arrival: tuple[str, ...] = ("enqueuedTime", "loadDatetime")
+    copies_expected: bool = True
     broadcast_rows: int = 1_000_000
     max_days: int = 400
     max_months: int = 1_200
@@ -59,7 +62,9 @@ class MergeSpec:
 
 BRONZE_MERGE = MergeSpec()
 SILVER_MERGE = MergeSpec(
-    time="Device_EnqueuedTime", arrival=("Eventhub_enqueuedTime", "loaddatetime")
+    time="Device_EnqueuedTime",
+    arrival=("Eventhub_enqueuedTime", "loaddatetime"),
+    copies_expected=False,  # strict bronze has none
 )
 
 
@@ -199,6 +204,12 @@ def without(
     )
 
 
+def has_copies(batch: DataFrame, key: str) -> bool:
+    """Whether a key occurs twice; shuffles keys, not rows."""
+    keys = batch.where(F.col(key).isNotNull()).groupBy(key).count()
+    return not keys.where("count > 1").isEmpty()
+
+
 def first_copy(batch: DataFrame, spec: MergeSpec = BRONZE_MERGE) -> DataFrame:
     """One row per key, the earliest by the arrival columns.
 
@@ -252,7 +263,7 @@ def merge_insert(batch: DataFrame, target: Target, spec: MergeSpec = BRONZE_MERG
 
 
 def _first_load(batch: DataFrame, target: Target, spec: MergeSpec) -> MergeStats:
-    """Create the target, possibly from all of history, in one pass that keeps nothing."""
+    """Create the target, possibly from all of history, without keeping the batch."""
     seen = Observation()
     rows = batch.observe(
         seen,
@@ -260,7 +271,9 @@ def _first_load(batch: DataFrame, target: Target, spec: MergeSpec) -> MergeStats
         F.count_if(F.col(spec.key).isNull()).alias("null_keys"),
     )
     if spec.mode == "strict":
-        rows = first_copy(rows.where(F.col(spec.key).isNotNull()), spec)
+        rows = rows.where(F.col(spec.key).isNotNull())
+        if spec.copies_expected or has_copies(batch, spec.key):
+            rows = first_copy(rows, spec)
     inserted = target.append(rows)
     counts = observed(seen)
     return MergeStats(counts.get("rows", 0), counts.get("null_keys", 0), 0, inserted)

@@ -1,4 +1,4 @@
-"""Upkeep reports over bronze: orphan templates, redelivery and template drift.
+"""Upkeep reports over bronze: orphan templates, redelivery, drift and wrong types.
 
 Each counts with partial aggregation before its shuffle, so one template, message
 or field with a large share of all rows reaches the shuffle as a few rows per task.
@@ -10,8 +10,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidegate.operators.quarantine import telemetry_keys
+from tidegate.operators.quarantine import telemetry_text
+from tidegate.operators.silver import of_template
 from tidegate.sources.templates import Template
 
 
@@ -68,10 +70,35 @@ def drift(bronze: DataFrame, templates: Iterable[Template]) -> DataFrame:
     for t in templates:
         names = F.array(*[F.lit(name) for name, _, _ in t.columns]).cast("array<string>")
         known = F.when(F.col("templateName") == F.lit(t.asset), names).otherwise(known)
-    unknown = F.array_except(F.map_keys(telemetry_keys(F.col("body"))), known)
+    unknown = F.array_except(F.map_keys(telemetry_text(F.col("body"))), known)
     return (
         bronze.where(F.col("templateName").isin([t.asset for t in templates]))
         .select("templateName", F.explode(unknown).alias("field"))
         .groupBy("templateName", "field")
         .agg(F.count(F.lit(1)).alias("messages"))
     )
+
+
+def mistyped(bronze: DataFrame, template: Template) -> DataFrame:
+    """Fields of one template whose reading did not fit the type, with counts.
+
+    Such a reading is null in silver, like one that was not sent.
+    """
+    typed = F.from_json("body", T.StructType([T.StructField("telemetry", template.json_schema())]))
+    lost = [
+        F.when(
+            F.col("sent").getItem(name).isNotNull() & F.col("typed").getField(name).isNull(), F.lit(name)
+        )
+        for name, _, _ in template.columns
+    ]
+    return (
+        of_template(bronze, template.asset)
+        .select(
+            "templateName",
+            typed.getField("telemetry").alias("typed"),
+            telemetry_text(F.col("body")).alias("sent"),
+        )
+        .select("templateName", F.explode(F.array_compact(F.array(*lost))).alias("field"))
+        .groupBy("templateName", "field")
+        .agg(F.count(F.lit(1)).alias("messages"))
+    )

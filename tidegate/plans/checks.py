@@ -87,7 +87,7 @@ found as (select count(distinct body) as n from first_half),
 metrics as (
   select 'bronze' as target, cast(0 as bigint) as batch_id, count(*) as rows_in,
          count(distinct body) as inserted, cast(0 as bigint) as matched_keys,
-         count(*) - count(body) as null_keys
+         count(*) - count(body) as quarantined
   from first_half
   union all
   select 'bronze', 1, count(*), count(distinct body) - max(found.n), max(found.n), count(*) - count(body)
@@ -156,6 +156,9 @@ CHECKS: dict[str, str] = {
     "j1_merge_undated": "select distinct sha256(text) as rowhash, cast(1 as bigint) as copies from documents",
     "k2_bootstrap_then_merge": VIEW,
     "t6_fanout_all_templates": _silver(EVENTS, f"template in ({_names(fx.EVENT_ASSETS)})"),
+    "t6_fanout_rejects": f"""{EVENTS}
+        select rowhash, {REASON} as reason from bronze
+        where not coalesce(template in ({_names(KNOWN_ASSETS)}) and {HAS_TELEMETRY}, false)""",
     "t6_fanout_single_stream": _silver(LINES, f"template in ({_names(fx.LINE_ASSETS)})"),
     "t5_time_boxed": f"{EVENTS} select rowhash, cast(1 as bigint) as copies from bronze",
     # The first batch holds what was enqueued from the middle of the month on, so its
@@ -195,5 +198,8 @@ CHECKS: dict[str, str] = {
                  where template in ({_names(fx.EVENT_ASSETS)}) and {HAS_TELEMETRY})
         select template as "templateName", field, count(*) as messages from keys
         where field not in ('value', 'k') group by 1, 2""",
+    "d6_mistyped": f"""{EVENTS}
+        select template as "templateName", 'value' as field, count(*) as messages from bronze
+        where template = 'view' and json_type(jb, '$.telemetry.value') = 'VARCHAR' group by 1""",
     "d8_rebuild": VIEW,
 }

@@ -45,6 +45,9 @@ MID_MONTH = "2024-01-16 00:00:00"
 START = "2024-01-10 00:00:00"
 END = "2024-01-20 12:00:00"
 
+# One template is left out on purpose, so that orphans occur.
+KNOWN_ASSETS = ("click", "error", "signup", "view")
+
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
@@ -381,6 +384,17 @@ def t6_fanout_all_templates(spark, sf_dir):
     return show(read_silver(spark, layout, templates.values()), drop=["loaddatetime"])
 
 
+@query("t6_fanout_rejects")
+def t6_fanout_rejects(spark, sf_dir):
+    """What the fan-out rejects, kept by a stream of its own next to the silver ones."""
+    layout = new_layout(spark, "t6r")
+    templates = {a: fx.event_templates()[a] for a in KNOWN_ASSETS}
+    deliver(spark, layout, fx.event_raw(spark, sf_dir))
+    start_silver(spark, layout, templates, trigger=ONCE, rejects=True).wait()
+    rejected = spark.read.parquet(f"{layout.quarantine('silver')}/*")
+    return rejected.select("rowhash", "reason")
+
+
 @query("t6_fanout_single_stream")
 def t6_fanout_single_stream(spark, sf_dir):
     """Asset names with spaces; bronze is read once for all templates."""
@@ -465,10 +479,6 @@ def d5_reset_dry_run(spark, sf_dir):
 
 # -- upkeep -----------------------------------------------------------------------
 
-# One template is left out on purpose, so that orphans occur.
-KNOWN_ASSETS = ("click", "error", "signup", "view")
-
-
 @query("d1_quarantine")
 def d1_quarantine(spark, sf_dir):
     bronze = event_bronze(spark, sf_dir)
@@ -498,6 +508,11 @@ def d6_drift(spark, sf_dir):
     return reports.drift(event_bronze(spark, sf_dir), fx.event_templates().values())
 
 
+@query("d6_mistyped")
+def d6_mistyped(spark, sf_dir):
+    return reports.mistyped(event_bronze(spark, sf_dir), fx.event_templates()["view"])
+
+
 @query("d8_rebuild")
 def d8_rebuild(spark, sf_dir):
     layout = new_layout(spark, "d8")

@@ -72,9 +72,12 @@ def kafka_options(
     topic: str,
     start: datetime | None = None,
     end: datetime | None = None,
+    max_offsets: int | None = None,
 ) -> dict[str, str]:
     """Options for Spark's Kafka source with positions by time."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
     for name, moment in (("startingTimestamp", start), ("endingTimestamp", end)):
         if moment is not None:
             options[name] = str(int(moment.timestamp() * 1000))

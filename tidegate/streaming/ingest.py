@@ -58,23 +58,24 @@ def append_sink(folder: str) -> OnBatch:
 def merge_sink(target: Target, spec: MergeSpec, layout: Layout, name: str) -> OnBatch:
     """Batch callback: insert-only merge into the target, then one metrics row."""
 
-    def on_batch(batch: DataFrame, batch_id: int) -> MergeStats:
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
         stats = merge_insert(batch, target, spec)
         metrics.record(batch.sparkSession, layout.metrics(), name, batch_id, stats)
-        return stats
 
     return on_batch
 
 
 def bronze_sink(layout: Layout, mode: str = "strict") -> OnBatch:
     """Merge into bronze; in strict mode messages without a body go to quarantine."""
-    merge = merge_sink(bronze_target(layout), BRONZE_MERGE.with_mode(mode), layout, "bronze")
+    target, spec = bronze_target(layout), BRONZE_MERGE.with_mode(mode)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        stats = merge(batch, batch_id)
-        if mode == "strict" and stats.null_keys:
+        stats = merge_insert(batch, target, spec)
+        quarantined = stats.null_keys if mode == "strict" else 0
+        if quarantined:
             rejected = batch.where(F.col("body").isNull()).withColumn("reason", F.lit("null_body"))
             write_batch_folder(rejected, layout.quarantine("bronze"), batch_id)
+        metrics.record(batch.sparkSession, layout.metrics(), "bronze", batch_id, stats, quarantined)
 
     return on_batch
 
@@ -115,16 +116,26 @@ def start_silver(
     trigger: dict[str, Any] | None = None,
     max_files: int | None = None,
     max_bytes: str | None = None,
+    rejects: bool = False,
 ) -> FanOut:
     """One independent query per template, each with its own target and checkpoint.
 
     A new template fills itself from all of bronze.  The first run and later runs
     share one sink, so nothing changes when a target comes into being.  Bronze
     files are sorted by template name, so each query's pushed-down filter skips
-    the row groups of other templates.
+    the row groups of other templates.  With ``rejects``, one more query keeps the
+    messages that no template takes; it judges by the templates known at its time.
     """
     asset_names(templates)
     started = FanOut()
+    if rejects:
+        bronze = bronze_stream(spark, bronze_target(layout), max_files, max_bytes)
+        started.queries["(rejects)"] = run_stream(
+            quarantine.quarantine(bronze, templates),
+            append_sink(layout.quarantine("silver")),
+            layout.checkpoint("quarantine"),
+            trigger,
+        )
     for asset, template in templates.items():
         try:
             bronze = bronze_stream(spark, bronze_target(layout), max_files, max_bytes)
@@ -153,9 +164,17 @@ def silver_sink(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         with persisted(batch) as batch:
-            rejected = quarantine.quarantine(batch, templates)
-            if not rejected.isEmpty():
+            is_rejected = quarantine.reason(templates).isNotNull()
+            counts = batch.agg(
+                F.count(F.lit(1)).alias("rows"), F.count_if(is_rejected).alias("rejected")
+            ).first()
+            if counts.rejected:
+                rejected = quarantine.quarantine(batch, templates)
                 write_batch_folder(rejected, layout.quarantine("silver"), batch_id)
+            stats = MergeStats(counts.rows, 0, 0, 0)
+            metrics.record(
+                batch.sparkSession, layout.metrics(), "quarantine", batch_id, stats, counts.rejected
+            )
             with ThreadPoolExecutor(parallel) as pool:
                 runs = [
                     pool.submit(sinks[asset], to_silver(batch, t), batch_id)
