@@ -83,7 +83,8 @@ class RunConfig:
 
     ``trigger_minutes`` 0 starts the next micro-batch at once; ``job_minutes`` 0
     runs until stopped; ``lookback_minutes`` sets the start position of the very
-    first run (later runs resume from the checkpoint).
+    first run (later runs resume from the checkpoint).  A batch reads at most
+    ``max_bytes_per_trigger`` of files.
     """
 
     layout: Layout
@@ -92,7 +93,7 @@ class RunConfig:
     lookback_minutes: float = 60
     mode: str = "strict"
     max_files_per_trigger: int | None = None
-    max_bytes_per_trigger: str | None = None
+    max_bytes_per_trigger: str | None = "100g"
 
     def __post_init__(self) -> None:
         for name in ("trigger_minutes", "job_minutes", "lookback_minutes"):
