@@ -6,6 +6,7 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -92,12 +93,23 @@ def test_earliest_copy_is_kept(spark):
     assert got == {"1-a": 2, "1-b": 5}
 
 
-def test_earliest_copy_with_floats_keeps_the_row_whole(spark):
-    spec = MergeSpec(key="k", arrival=("at",))
-    rows = spark.createDataFrame([("x", -0.0, 2), ("x", -0.0, 1), ("y", None, 1)], "k string, v double, at int")
-    got = sorted(map(tuple, first_copy(rows, spec).collect()))
-    assert got == [("x", -0.0, 1), ("y", None, 1)]
-    assert str(got[0][1]) == "-0.0"
+def test_earliest_copy_is_taken_whole(spark):
+    """Bus columns of one copy, whatever their types; a copy without a time comes last."""
+    spec = MergeSpec(key="k", arrival=("at", "offset", "tags"))
+    rows = spark.createDataFrame(
+        [
+            ("x", -0.0, 2, 10, {"a": "late"}),
+            ("x", -0.0, 1, 30, {"a": "early"}),
+            ("x", -0.0, None, 5, {"a": "untimed"}),
+            ("y", None, None, 7, None),
+        ],
+        "k string, v double, at long, offset long, tags map<string,string>",
+    ).withColumn("at", F.timestamp_seconds("at"))
+    got = {r.k: r for r in first_copy(rows, spec).collect()}
+    assert (got["x"].offset, got["x"].tags) == (30, {"a": "early"})
+    assert str(got["x"].v) == "-0.0"
+    assert (got["y"].at, got["y"].offset, got["y"].v) == (None, 7, None)
+    assert len(got) == 2
 
 
 @pytest.mark.parametrize("spec", [COMPAT, LARGE_COMPAT])

@@ -7,9 +7,10 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate import fixtures as fx
-from tidegate import jobs
+from tidegate import jobs, schemas
 from tidegate.config import Layout, RunConfig
 from tidegate.operators.bronze import to_bronze
 from tidegate.operators.merge import SILVER_MERGE, merge_insert
@@ -169,6 +170,25 @@ def test_compat_stream_inserts_bodiless_rows(spark, folder, raw):
     assert not Path(layout.quarantine("bronze")).exists()
 
 
+def test_further_bus_columns(spark, folder, raw):
+    """Copies that differ in them are still copies; the first one's are kept."""
+    schema = T.StructType(
+        [*schemas.RAW, T.StructField("offset", T.LongType()), T.StructField("properties", T.MapType(T.StringType(), T.StringType()))]
+    )
+    numbered = raw.withColumn("offset", F.monotonically_increasing_id()).withColumn(
+        "properties", F.create_map(F.lit("sent"), F.col("enqueuedTime").cast("string"))
+    )
+    place = write_files(numbered, folder, 2)
+    layout = Layout(folder)
+    for _ in range(2):
+        run_for(start_bronze(bus_stream(spark, place, schema=schema, max_files=1, max_bytes=10**9), layout, trigger=ONCE))
+    fields = [f for f in schema if f.name in ("offset", "properties")]
+    got = bronze_target(layout, fields).read(spark)
+    assert got.count() == got.select("rowhash").distinct().count() == bronze_of(raw).count()
+    assert got.where("properties['sent'] <> cast(enqueuedTime as string) or offset is null").count() == 0
+    assert bronze_target(layout).read(spark).columns == bronze_of(raw).select(*schemas.BRONZE.names).columns
+
+
 def test_run_stream_checks(spark, folder, raw):
     with pytest.raises(ValueError, match="streaming"):
         run_stream(raw, print, f"{folder}/c")

@@ -93,7 +93,7 @@ class RunConfig:
     lookback_minutes: float = 60
     mode: str = "strict"
     max_files_per_trigger: int | None = None
-    max_bytes_per_trigger: str | None = "100g"
+    max_bytes_per_trigger: int | None = 100_000_000_000
 
     def __post_init__(self) -> None:
         for name in ("trigger_minutes", "job_minutes", "lookback_minutes"):

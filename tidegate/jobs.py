@@ -80,7 +80,7 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--minutes", type=float, default=15, help="job time, 0 for no end")
         job.add_argument("--mode", choices=("strict", "compat"), default="strict")
         job.add_argument("--max-files", type=int)
-        job.add_argument("--max-bytes", default="100g", help="input files of one batch")
+        job.add_argument("--max-bytes", type=int, default=100_000_000_000, help="input files of one batch")
         if name == "bronze":
             job.add_argument("--lookback", type=float, default=60, help="start this many minutes ago")
             source = job.add_mutually_exclusive_group(required=True)

@@ -27,6 +27,7 @@ from tidegate.storage import Slot, Target, observed
 
 MODES = ("strict", "compat")
 DAY_MICROS = 86_400_000_000
+LAST_MICROS = 2**63 - 1
 
 
 @dataclass(frozen=True)
@@ -35,8 +36,8 @@ class MergeSpec:
 
     ``strict`` keeps one row per key and takes no row without a key.  ``compat``
     compares a batch with the target only: copies inside one batch are all
-    inserted, and so is every row whose key is null.  ``arrival`` names the
-    columns that may differ between copies; the earliest copy is kept.  A first load
+    inserted, and so is every row whose key is null.  ``arrival`` names the columns
+    that may differ between copies, a time first; the earliest copy is kept.  A first load
     removes copies at once where they are expected, and otherwise only if a look at
     the keys finds some, which spares a shuffle of all rows.
     """
@@ -59,6 +60,9 @@ class MergeSpec:
     def with_mode(self, mode: str) -> MergeSpec:
         return replace(self, mode=mode)
 
+    def with_arrival(self, columns: Sequence[str]) -> MergeSpec:
+        return replace(self, arrival=(*self.arrival, *columns))
+
 
 BRONZE_MERGE = MergeSpec()
 SILVER_MERGE = MergeSpec(
@@ -211,18 +215,22 @@ def has_copies(batch: DataFrame, key: str) -> bool:
 
 
 def first_copy(batch: DataFrame, spec: MergeSpec = BRONZE_MERGE) -> DataFrame:
-    """One row per key, the earliest by the arrival columns.
+    """One row per key, the copy with the earliest time in the first arrival column.
 
-    All other columns follow from the key, so grouping by them adds no group and
-    keeps this a hash aggregation that drops copies before the shuffle.  Floating
-    point columns are aggregated instead, as grouping would turn -0.0 into 0.0.
+    All columns but the arrival ones follow from the key, so grouping by them adds
+    no group and keeps this a hash aggregation that drops copies before the shuffle.
+    Floating point columns are aggregated instead, as grouping would turn -0.0 into
+    0.0.  The arrival columns share one ordering, so they come from one copy.
     """
     arrival = [c for c in spec.arrival if c in batch.columns]
     floats = [f.name for f in batch.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
     content = [c for c in batch.columns if c not in arrival and c not in floats]
-    least = [F.min(c).alias(c) for c in (*arrival, *floats)]
-    one = batch.groupBy(*content).agg(*least) if least else batch.distinct()
-    return one.select(*batch.columns)
+    if not arrival:
+        return batch.dropDuplicates([spec.key])
+    # A copy without a time comes last; min_by would skip it.
+    order = F.coalesce(F.unix_micros(arrival[0]), F.lit(LAST_MICROS))
+    picked = [F.min_by(c, order).alias(c) for c in arrival] + [F.min(c).alias(c) for c in floats]
+    return batch.groupBy(*content).agg(*picked).select(*batch.columns)
 
 
 @contextmanager
@@ -243,6 +251,7 @@ def merge_insert(batch: DataFrame, target: Target, spec: MergeSpec = BRONZE_MERG
     Repeating a batch, even after a half-finished write, inserts only what is
     missing (for rows with a key).
     """
+    batch = batch.select(*target.schema.names)
     if not target.exists(batch.sparkSession):
         return _first_load(batch, target, spec)
     with persisted(batch) as batch:

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate import schemas
 from tidegate.storage import Target
@@ -42,9 +43,10 @@ def bus_batch(
     location: str,
     start: datetime | str | None = None,
     end: datetime | str | None = None,
+    schema: T.StructType = schemas.RAW,
 ) -> DataFrame:
     """Bounded read of replayed bus records."""
-    return between_positions(spark.read.schema(schemas.RAW).parquet(location), start, end)
+    return between_positions(spark.read.schema(schema).parquet(location), start, end)
 
 
 def bus_stream(
@@ -53,16 +55,18 @@ def bus_stream(
     start: datetime | str | None = None,
     end: datetime | str | None = None,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     watermark: str | None = None,
+    schema: T.StructType = schemas.RAW,
 ) -> DataFrame:
     """Unbounded read of bus records that land as Parquet files.
 
+    ``schema`` may name further bus columns, such as partition and offset.
     ``watermark`` declares a delay on the enqueued time.  Nothing downstream keeps
     state, so it drops no late record; leave it out unless a stateful operator is
     added after this source.
     """
-    reader = _limited(spark.readStream.schema(schemas.RAW), max_files, max_bytes)
+    reader = _limited(spark.readStream.schema(schema), max_files, max_bytes)
     raw = between_positions(reader.parquet(location), start, end)
     return raw if watermark is None else raw.withWatermark("enqueuedTime", watermark)
 
@@ -98,16 +102,17 @@ def bronze_stream(
     spark: SparkSession,
     bronze: Target,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Bronze as a stream: all history on a first run, then only new rows."""
     reader = _limited(spark.readStream.schema(bronze.schema), max_files, max_bytes)
     return reader.option("basePath", bronze.path).parquet(bronze.path)
 
 
-def _limited(reader, max_files: int | None, max_bytes: str | None):
+def _limited(reader, max_files: int | None, max_bytes: int | None):
+    """Bound a micro-batch; Spark takes one bound only, and a number of files wins."""
     if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+        return reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
+        return reader.option("maxBytesPerTrigger", max_bytes)
     return reader

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate import schemas
@@ -31,9 +32,16 @@ from tidegate.streaming import metrics
 from tidegate.streaming.runner import OnBatch, await_within, run_stream
 
 
-def bronze_target(layout: Layout) -> Target:
+def bronze_target(layout: Layout, bus: Sequence[T.StructField] = ()) -> Target:
+    """Bronze, with the given bus columns besides the enqueued time.
+
+    Only its writer needs to name them; readers see the fixed columns.
+    """
     return Target(
-        layout.bronze(), schemas.BRONZE, layout.bronze_table, sort_by=("templateName", "deviceEnqueuedTime")
+        layout.bronze(),
+        T.StructType([*schemas.BRONZE, *bus]),
+        layout.bronze_table,
+        sort_by=("templateName", "deviceEnqueuedTime"),
     )
 
 
@@ -65,9 +73,12 @@ def merge_sink(target: Target, spec: MergeSpec, layout: Layout, name: str) -> On
     return on_batch
 
 
-def bronze_sink(layout: Layout, mode: str = "strict") -> OnBatch:
+def bronze_sink(
+    layout: Layout, mode: str = "strict", bus: Sequence[T.StructField] = ()
+) -> OnBatch:
     """Merge into bronze; in strict mode messages without a body go to quarantine."""
-    target, spec = bronze_target(layout), BRONZE_MERGE.with_mode(mode)
+    target = bronze_target(layout, bus)
+    spec = BRONZE_MERGE.with_mode(mode).with_arrival([f.name for f in bus])
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         stats = merge_insert(batch, target, spec)
@@ -87,9 +98,11 @@ def start_bronze(
     trigger: dict[str, Any] | None = None,
     load_time: Any = None,
 ) -> StreamingQuery:
-    """Land bus records in bronze."""
+    """Land bus records in bronze, with all their bus columns."""
+    known = {"body", *schemas.BRONZE.names}
+    bus = [f for f in raw.schema if f.name not in known]
     return run_stream(
-        to_bronze(raw, load_time), bronze_sink(layout, mode), layout.checkpoint("bronze"), trigger
+        to_bronze(raw, load_time), bronze_sink(layout, mode, bus), layout.checkpoint("bronze"), trigger
     )
 
 
@@ -115,7 +128,7 @@ def start_silver(
     mode: str = "strict",
     trigger: dict[str, Any] | None = None,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     rejects: bool = False,
 ) -> FanOut:
     """One independent query per template, each with its own target and checkpoint.
@@ -193,7 +206,7 @@ def start_silver_single(
     mode: str = "strict",
     trigger: dict[str, Any] | None = None,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> StreamingQuery:
     """All templates from one query: bronze is read once, rejects are kept.
 
