@@ -149,6 +149,21 @@ def test_restart_after_a_crash_inside_a_batch(spark, folder, raw):
     assert repeated.inserted == 0 and repeated.matched_keys > 0
 
 
+def test_single_stream_stopped_inside_a_batch(spark, folder, raw):
+    """Stopping waits for the batch at work, so a restart never meets a second writer."""
+    layout, templates = Layout(folder), fx.event_templates()
+    for part in raw.randomSplit([1.0, 1.0, 1.0], seed=5):
+        merge_insert(to_bronze(part, LOADED), bronze_target(layout))
+    started = start_silver_single(spark, layout, templates, trigger=trigger_of(0), max_files=3)
+    ran = run_for(started, 1.5)
+    assert ran < 60 and not started.isActive
+    assert not spark.sparkContext.statusTracker().getActiveJobsIds()
+    run_for(start_silver_single(spark, layout, templates, trigger=ONCE, max_files=3))
+    bronze = bronze_target(layout).read(spark)
+    for t in templates.values():
+        assert rows(silver_target(layout, t).read(spark)) == rows(to_silver(bronze, t))
+
+
 def test_lost_commit_is_repeated_without_effect(spark, folder, raw):
     layout = Layout(folder)
     place = write_files(raw, folder, 2)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,6 +97,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None) -> Reset | None:
     args = _parser().parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = session(f"tidegate-{args.job}")
     layout = Layout(args.root, args.bronze_table, args.silver_table)
     if args.job == "reset":

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -240,7 +241,10 @@ def persisted(df: DataFrame):
     try:
         yield df
     finally:
-        df.unpersist()
+        try:
+            df.unpersist()
+        except Py4JJavaError:  # stopping the stream interrupts the call at work, once
+            df.unpersist()
 
 
 def merge_insert(batch: DataFrame, target: Target, spec: MergeSpec = BRONZE_MERGE) -> MergeStats:

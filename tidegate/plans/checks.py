@@ -106,7 +106,9 @@ CHECKS: dict[str, str] = {
         select distinct event_type as asset, unnest(json_keys(props)) as name, 'integer' as type,
                cast(null as varchar) as error from events
         union all
-        select distinct event_type, 'value', 'double', cast(null as varchar) from events""",
+        select distinct event_type, 'value', 'double', cast(null as varchar) from events
+        union all
+        select distinct event_type, 'props', 'string', 'unknown type string' from events""",
     "f1_f2_header_parse": f"""{EVENTS}
         select r.body, {_text('r.enq')} as "enqueuedTime", device as "deviceId", template as "templateName",
                template_id as "templateId", {_text('sent')} as "deviceEnqueuedTime"

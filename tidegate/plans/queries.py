@@ -159,19 +159,17 @@ def s5_template_fields(spark, sf_dir):
     """Template files written from the telemetry seen per event type, then compiled.
 
     Each file first lists every field as float and then, in a second object, with
-    its real type, which has to win.
+    its real type, which has to win.  The properties as a whole are text, a type
+    telemetry cannot have.
     """
     root = scratch_folder(spark, "s5")
-    keys = F.explode(F.json_object_keys("props"))
+    events = fx.table(spark, sf_dir, "events")
+    names = F.array_append(F.json_object_keys("props"), "value")
+    kinds = F.create_map(F.lit("value"), F.lit("double"), F.lit("props"), F.lit("string"))
     seen = (
-        fx.table(spark, sf_dir, "events")
-        .select("event_type", keys.alias("name"), F.lit("integer").alias("schema"))
-        .unionAll(
-            fx.table(spark, sf_dir, "events").select(
-                "event_type", F.lit("value").alias("name"), F.lit("double").alias("schema")
-            )
-        )
+        events.select("event_type", F.explode(F.array_append(names, "props")).alias("name"))
         .distinct()
+        .withColumn("schema", F.coalesce(kinds[F.col("name")], F.lit("integer")))
     )
     field = F.struct("name", "schema")
     as_float = F.struct("name", F.lit("float").alias("schema"))

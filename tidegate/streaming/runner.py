@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
 from typing import Any
@@ -9,9 +10,12 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+log = logging.getLogger(__name__)
+
 OnBatch = Callable[[DataFrame, int], Any]
 
 ONCE = {"availableNow": True}
+POLL_SECONDS = 0.5
 
 
 def trigger_of(minutes: float | str | None) -> dict[str, str]:
@@ -59,17 +63,28 @@ def run_stream(
 
 
 def await_within(queries: dict[str, StreamingQuery], seconds: float | None) -> dict[str, Exception]:
-    """Wait for every query until one shared deadline, stop the rest, return failures."""
+    """Wait for every query until one shared deadline, stop the rest, return failures.
+
+    A failure is logged when it happens; the other queries go on.
+    """
     deadline = None if seconds is None else time.monotonic() + seconds
     errors: dict[str, Exception] = {}
-    for name, query in queries.items():
-        try:
-            if deadline is None:
-                query.awaitTermination()
-            else:
-                query.awaitTermination(max(deadline - time.monotonic(), 0.001))
-        except Exception as e:  # the query's own failure; the others go on
-            errors[name] = e
+    waiting = dict(queries)
+    while waiting:
+        for name, query in list(waiting.items()):
+            pause = POLL_SECONDS
+            if deadline is not None:
+                pause = min(pause, deadline - time.monotonic())
+                if pause < 0.001:  # Spark's clock counts milliseconds
+                    waiting.clear()
+                    break
+            try:
+                if query.awaitTermination(pause):
+                    del waiting[name]
+            except Exception as e:
+                log.error("stream %s failed: %s", name, e)
+                errors[name] = e
+                del waiting[name]
     for query in queries.values():
         query.stop()
     return errors
