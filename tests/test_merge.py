@@ -176,6 +176,25 @@ def test_time_ranges():
     assert _time_ranges([], 5) == ()
 
 
+@pytest.mark.parametrize("limits", [{}, {"max_days": 200}, {"max_days": 200, "max_months": 200}])
+def test_clocks_that_are_wrong_by_centuries(spark, folder, limits):
+    """Device times on 1,500 days of as many months: pruned by day, by month, or not at all."""
+    spec = MergeSpec(**{"max_months": 2_000, **limits})
+    months = spark.range(1500).selectExpr(
+        "concat('{\"enqueuedTime\":\"', date_format(add_months(date'1950-01-05', int(id)), 'yyyy-MM-dd'), "
+        "'T00:00:00Z\"}') as body",
+        "timestamp'2024-01-01' as enqueuedTime",
+    )
+    t = target(folder)
+    merge_insert(to_bronze(months.limit(1000), "2024-06-01").coalesce(1), t, spec)
+    fp = footprint(to_bronze(months, "2024-06-01"), spec)
+    assert (fp.slots is None) == ("max_months" in limits)
+    assert len(fp.ranges) <= spec.max_ranges
+    stats = merge_insert(to_bronze(months, "2024-06-01"), t, spec)
+    assert (stats.matched_keys, stats.inserted) == (1000, 500)
+    assert t.read(spark).select("rowhash").distinct().count() == 1500
+
+
 def test_table_target(spark, folder):
     name = "merge_target_" + Path(folder).name.replace("-", "_")
     t = Target(f"{folder}/bronze", schemas.BRONZE, name)

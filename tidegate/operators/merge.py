@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.schemas import PARTITION_COLUMNS
-from tidegate.storage import Slot, Target, observed
+from tidegate.storage import Slot, Target, any_of, observed
 
 MODES = ("strict", "compat")
 DAY_MICROS = 86_400_000_000
@@ -50,7 +50,7 @@ class MergeSpec:
     arrival: tuple[str, ...] = ("enqueuedTime", "loadDatetime")
     copies_expected: bool = True
     broadcast_rows: int = 1_000_000
-    max_days: int = 400
+    max_days: int = 4_000
     max_months: int = 1_200
     max_ranges: int = 32
 
@@ -102,7 +102,8 @@ def footprint(batch: DataFrame, spec: MergeSpec = BRONZE_MERGE) -> Footprint:
     """One job over the batch; the driver gets one row per device day.
 
     If those are too many, as with devices whose clocks are wrong, one per month.
-    In strict mode rows are first counted per key, which shuffles keys, not rows.
+    In strict mode rows are first counted per hash of the key, which shuffles eight
+    bytes for each.  Two keys with one hash only make a batch seem to have copies.
     """
     instant = F.col(spec.time)
     counts = (
@@ -114,7 +115,7 @@ def footprint(batch: DataFrame, spec: MergeSpec = BRONZE_MERGE) -> Footprint:
     totals = (
         F.sum("n").alias("n"),
         F.sum("null_keys").alias("null_keys"),
-        F.max(F.when(F.col("null_keys") == 0, F.col("n"))).alias("copies"),
+        F.max(F.col("n") - F.col("null_keys")).alias("copies"),
         F.min("lo").alias("lo"),
         F.max("hi").alias("hi"),
     )
@@ -124,15 +125,16 @@ def footprint(batch: DataFrame, spec: MergeSpec = BRONZE_MERGE) -> Footprint:
             by = [*spec.partition_by, "span"]
             batch = batch.withColumn("span", F.date_trunc(unit, instant))
         if spec.mode == "strict":
-            spans = batch.groupBy(*by, spec.key).agg(*counts).groupBy(*by).agg(*totals)
+            keys = batch.groupBy(*by, F.xxhash64(spec.key).alias("key_hash")).agg(*counts)
+            spans = keys.groupBy(*by).agg(*totals)
         else:
             spans = batch.groupBy(*by).agg(*counts, F.lit(2).alias("copies"))
         rows = [r for r in spans.limit(limit + 1).collect() if r.n]
-        if len(rows) > limit:
-            continue
         slots = None
         if unit is not None:
             slots = tuple(dict.fromkeys(tuple(r[c] for c in spec.partition_by) for r in rows))
+            if len(rows) > limit or len(slots) > spec.max_months:
+                continue
         return Footprint(
             sum(r.n for r in rows),
             sum(r.null_keys for r in rows),
@@ -158,11 +160,11 @@ def _time_ranges(spans: Sequence[tuple[int, int]], limit: int) -> tuple[tuple[in
 def in_footprint(fp: Footprint, spec: MergeSpec) -> Column:
     """Device-time predicate with literal bounds, which Parquet statistics can use."""
     instant = F.col(spec.time)
-    found = instant.isNull() if fp.undated else F.lit(False)
+    found = [instant.isNull()] if fp.undated else []
     for lo, hi in fp.ranges:
         bounds = (F.timestamp_micros(F.lit(v).cast("long")) for v in (lo, hi))
-        found = found | instant.between(*bounds)
-    return found
+        found.append(instant.between(*bounds))
+    return any_of(found)
 
 
 def history_keys(target: Target, batch: DataFrame, fp: Footprint, spec: MergeSpec) -> DataFrame:
@@ -210,8 +212,8 @@ def without(
 
 
 def has_copies(batch: DataFrame, key: str) -> bool:
-    """Whether a key occurs twice; shuffles keys, not rows."""
-    keys = batch.where(F.col(key).isNotNull()).groupBy(key).count()
+    """Whether a key (or, hardly ever, a hash of keys) occurs twice; shuffles hashes only."""
+    keys = batch.where(F.col(key).isNotNull()).groupBy(F.xxhash64(key)).count()
     return not keys.where("count > 1").isEmpty()
 
 

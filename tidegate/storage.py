@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,16 @@ def write_batch_folder(rows: DataFrame, folder: str, batch_id: int) -> None:
     )
 
 
+def any_of(conditions: Sequence[Column]) -> Column:
+    """Their disjunction as a balanced tree, so that a long one does not nest deeply."""
+    if not conditions:
+        return F.lit(False)
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return any_of(conditions[:half]) | any_of(conditions[half:])
+
+
 @dataclass(frozen=True)
 class Target:
     """One dataset with one writer.
@@ -180,20 +190,18 @@ class Target:
         ]
         return "/".join([self.path.rstrip("/"), *parts])
 
-    def _in_slots(self, slots: Sequence[Slot]):
+    def _in_slots(self, slots: Sequence[Slot]) -> Column:
         """Literal partition predicate; grouped on the last column to stay short."""
         groups: dict[Slot, list[int | None]] = {}
         for slot in slots:
             groups.setdefault(slot[:-1], []).append(slot[-1])
-        found = F.lit(False)
+        found = []
         for head, last in groups.items():
-            each = F.lit(True)
-            for name, value in zip(self.partition_by, head):
-                each = each & (F.col(name).isNull() if value is None else F.col(name) == value)
-            name = self.partition_by[-1]
+            name = F.col(self.partition_by[-1])
             values = [v for v in last if v is not None]
-            any_of = F.col(name).isin(values) if values else F.lit(False)
-            if None in last:
-                any_of = any_of | F.col(name).isNull()
-            found = found | (each & any_of)
-        return found
+            matches = ([name.isin(values)] if values else []) + ([name.isNull()] if None in last else [])
+            each = any_of(matches)
+            for column, value in zip(self.partition_by, head):
+                each = each & (F.col(column).isNull() if value is None else F.col(column) == value)
+            found.append(each)
+        return any_of(found)
