@@ -69,6 +69,30 @@ def test_history_scan_is_pruned_to_the_key(spark, lake):
     assert "ReadSchema: struct<deviceEnqueuedTime:timestamp,rowhash:string>" in text
 
 
+def test_undated_messages_are_looked_for_among_the_undated_only(spark, lake):
+    target, batch = lake
+    undated = to_bronze(batch.selectExpr("concat('x', body) as body", "enqueuedTime"))
+    spec = MergeSpec()
+    both = batch.unionByName(undated)
+    fp = footprint(both, spec)
+    assert set(fp.slots) == {(1997, 3), (1997, 4), (None, None)} and fp.undated
+    merge_insert(undated, target, spec)
+    text = plan(history_keys(target, both, fp, spec))
+    assert "InMemoryFileIndex(3 paths)" in text
+    assert re.search(r"PushedFilters: \[.*IsNull\(deviceEnqueuedTime\),And\(GreaterThanOrEqual", text), text[-900:]
+
+
+def test_history_of_a_table_is_pruned(spark, lake, tmp_path):
+    name = "plans_bronze_table"
+    target = Target(str(tmp_path / "bronze"), lake[1].schema, name)
+    target.append(lake[0].read(spark))
+    spec = MergeSpec()
+    text = plan(history_keys(target, lake[1], footprint(lake[1], spec), spec))
+    assert re.search(r"PartitionFilters: \[.*yearDevice.*monthDevice", text)
+    assert "ReadSchema: struct<deviceEnqueuedTime:timestamp,rowhash:string>" in text
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_row_groups_outside_the_time_range_are_skipped(spark, lake):
     """Files are written with statistics Spark can filter timestamps on."""
     import pyarrow.parquet as pq

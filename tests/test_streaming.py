@@ -21,6 +21,7 @@ from tidegate.sources.replay import (
     between_positions,
     bus_batch,
     bus_stream,
+    first_start,
     instant,
     kafka_options,
     look_back,
@@ -89,6 +90,15 @@ def test_positions(spark):
     assert kafka_options("h:9092", "t") == {"kafka.bootstrap.servers": "h:9092", "subscribe": "t"}
 
 
+def test_first_start_is_kept(spark, folder):
+    before = look_back(60)
+    start = first_start(spark, f"{folder}/start", 60)
+    assert before <= dt.datetime.fromisoformat(start) <= look_back(60)
+    assert first_start(spark, f"{folder}/start", 1) == start
+    row = spark.range(1).select(instant(start).alias("t")).first()
+    assert row.t.timestamp() == dt.datetime.fromisoformat(start).timestamp()
+
+
 @pytest.mark.parametrize("files", [1, 3, 10])
 def test_stream_equals_batch(spark, folder, raw, files):
     layout = Layout(folder)
@@ -287,9 +297,10 @@ def test_jobs(spark, folder, raw):
     root = f"{folder}/lake"
     run = ["--root", root, "--minutes", "0.1", "--trigger", "0"]
     jobs.main(["bronze", "--source", f"{folder}/raw", "--lookback", "60", *run])
+    messages = bronze_of(raw).count()
     bronze = bus_batch(spark, f"{root}/bronze")
     assert bronze.where("body = 'old'").count() == 0
-    assert bronze.count() == bronze_of(raw).count()
+    assert bronze.count() == messages
     silver = ["silver", "--templates", f"{folder}/assets.json", "--template-folder", folder, *run]
     with pytest.raises(ValueError, match="template bad: missing contents"):
         jobs.main(silver)
@@ -297,6 +308,11 @@ def test_jobs(spark, folder, raw):
     view = fx.event_templates()["view"]
     want = to_silver(bronze_target(layout).read(spark), view)
     assert rows(silver_target(layout, view).read(spark)) == rows(want)
+    # A record enqueued after the first start is read however late the next run is.
+    later = raw.limit(1).withColumn("body", F.lit('{"deviceId":"9-later"}')).withColumn("enqueuedTime", F.lit(now))
+    write_files(later, folder, 1)
+    jobs.main(["bronze", "--source", f"{folder}/raw", "--lookback", "0", *run])
+    assert bus_batch(spark, f"{root}/bronze").count() == messages + 1
     listed = jobs.main(["reset", "--root", root, "--layer", "silver"])
     assert listed.dry_run and Path(root, "silver").exists()
     done = jobs.main(["reset", "--root", root, "--layer", "silver", "--yes"])

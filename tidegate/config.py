@@ -70,6 +70,9 @@ class Layout:
         parts = ["checkpoints", layer] + ([] if asset is None else [asset_name(asset)])
         return self._at(*parts)
 
+    def start(self, layer: str) -> str:
+        return self._at("checkpoints", f"{layer}_start")
+
     def quarantine(self, layer: str) -> str:
         return self._at("quarantine", layer)
 

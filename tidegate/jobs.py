@@ -11,12 +11,13 @@ import argparse
 import json
 import logging
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegate.config import SESSION_CONF, Layout, RunConfig
 from tidegate.maintenance import Reset, reset_layer
-from tidegate.sources.replay import bus_stream, kafka_options, kafka_stream, look_back
+from tidegate.sources.replay import bus_stream, first_start, kafka_options, kafka_stream
 from tidegate.sources.templates import Template, compile_templates
 from tidegate.streaming.ingest import start_bronze, start_silver, start_silver_single
 from tidegate.streaming.runner import run_for, timeout_seconds, trigger_of
@@ -115,9 +116,10 @@ def main(argv: Sequence[str] | None = None) -> Reset | None:
         max_bytes_per_trigger=args.max_bytes,
     )
     if args.job == "bronze":
-        start = look_back(config.lookback_minutes)
+        start = first_start(spark, layout.start("bronze"), config.lookback_minutes)
         if args.kafka:
-            raw = kafka_stream(spark, kafka_options(args.kafka, args.topic, start))
+            options = kafka_options(args.kafka, args.topic, datetime.fromisoformat(start))
+            raw = kafka_stream(spark, options)
         else:
             raw = bus_stream(
                 spark, args.source, start, None, config.max_files_per_trigger, config.max_bytes_per_trigger

@@ -28,19 +28,26 @@ def orphans(bronze: DataFrame, assets: Iterable[str]) -> DataFrame:
     )
 
 
-def copies(received: DataFrame) -> DataFrame:
-    """Deliveries per message, from the rows as received (before the merge)."""
+def _deliveries(received: DataFrame) -> DataFrame:
+    """Deliveries per message; the hash is shuffled as 32 bytes, not as 64 characters."""
     return (
         received.where(F.col("rowhash").isNotNull())
-        .groupBy("templateName", "rowhash")
+        .groupBy("templateName", F.unhex("rowhash").alias("hash"))
         .agg(F.count(F.lit(1)).alias("copies"))
     )
 
 
+def copies(received: DataFrame) -> DataFrame:
+    """Deliveries per message, from the rows as received (before the merge)."""
+    return _deliveries(received).select(
+        "templateName", F.lower(F.hex("hash")).alias("rowhash"), "copies"
+    )
+
+
 def redelivery(received: DataFrame) -> DataFrame:
     """Deliveries, messages and share of redeliveries per template."""
     return (
-        copies(received)
+        _deliveries(received)
         .groupBy("templateName")
         .agg(
             F.sum("copies").alias("deliveries"),

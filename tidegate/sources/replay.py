@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate import schemas
-from tidegate.storage import Target
+from tidegate.storage import Target, path_exists
 
 
 def look_back(minutes: float, now: datetime | None = None) -> datetime:
@@ -17,6 +17,20 @@ def look_back(minutes: float, now: datetime | None = None) -> datetime:
     return (now or datetime.now(timezone.utc)) - timedelta(minutes=minutes)
 
 
+def first_start(spark: SparkSession, folder: str, minutes: float) -> str:
+    """Start position of a stream's first run, which later runs keep.
+
+    Were it taken anew at each run, records that arrived during a pause longer than
+    the look-back would be skipped although the checkpoint has not passed them.
+    """
+    kept = spark.read.text(folder).first() if path_exists(spark, folder) else None
+    if kept is not None:
+        return kept.value
+    start = look_back(minutes).isoformat()
+    spark.range(0, 1, 1, 1).select(F.lit(start)).write.mode("overwrite").text(folder)
+    return start
+
+
 def instant(moment: datetime | str) -> Column:
     """A literal instant; a datetime without zone is taken as UTC."""
     if isinstance(moment, datetime):
