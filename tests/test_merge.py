@@ -162,6 +162,7 @@ def test_footprint_levels(spark):
     assert set(by_day.slots) == {(2024, 2), (2024, 3), (2024, 4), (None, None)}
     assert len(by_day.ranges) == 3 and by_day.undated
     assert whole.slots is None
+    assert not footprint(batch(spark, "abc"), MergeSpec(copies="none")).copies
     compat = footprint(rows, COMPAT)
     assert (compat.rows, set(compat.slots), compat.ranges) == (5, set(by_day.slots), by_day.ranges)
 
@@ -205,6 +206,21 @@ def test_table_target(spark, folder):
     spark.sql(f"DROP TABLE {name}")
 
 
-def test_unknown_mode():
-    with pytest.raises(ValueError):
-        MergeSpec(mode="other")
+@pytest.mark.parametrize("copies", ["expected", "unknown"])
+def test_first_load_removes_copies(spark, folder, copies):
+    t = target(folder)
+    merge_insert(batch(spark, "aabX-X"), t, MergeSpec(copies=copies))
+    assert held(spark, t) == Counter("abX")
+
+
+def test_batches_known_to_be_without_copies(spark, folder):
+    t, spec = target(folder), MergeSpec(copies="none")
+    merge_insert(batch(spark, "abX-"), t, spec)
+    merge_insert(batch(spark, "bcXY-"), t, spec)
+    assert held(spark, t) == Counter("abcXY")
+
+
+def test_unknown_settings():
+    for setting in ({"mode": "other"}, {"copies": "other"}):
+        with pytest.raises(ValueError):
+            MergeSpec(**setting)

@@ -13,7 +13,7 @@ from tidegate import fixtures as fx
 from tidegate import jobs, schemas
 from tidegate.config import Layout, RunConfig
 from tidegate.operators.bronze import to_bronze
-from tidegate.operators.merge import SILVER_MERGE, merge_insert
+from tidegate.operators.merge import BRONZE_MERGE, SILVER_MERGE, merge_insert
 from tidegate.operators.quarantine import quarantine
 from tidegate.operators.silver import to_silver
 from tidegate.plans.rebuild import bronze_of, rebuild_silver
@@ -174,6 +174,19 @@ def test_single_stream_stopped_inside_a_batch(spark, folder, raw):
         assert rows(silver_target(layout, t).read(spark)) == rows(to_silver(bronze, t))
 
 
+def test_silver_is_strict_over_compat_bronze(spark, folder, raw):
+    """Copies that compat bronze holds do not reach silver, for each way to fan out."""
+    layout, templates = Layout(folder), fx.event_templates()
+    merge_insert(to_bronze(raw, LOADED), bronze_target(layout), BRONZE_MERGE.with_mode("compat"))
+    run_for(start_silver_single(spark, layout, templates, trigger=ONCE))
+    apart = Layout(folder + "/apart")
+    for t in templates.values():
+        rebuild_silver(spark, layout, t, into=apart)
+        want = rows(to_silver(bronze_of(raw, LOADED), t))
+        assert rows(silver_target(layout, t).read(spark)) == want
+        assert rows(silver_target(apart, t).read(spark)) == want
+
+
 def test_lost_commit_is_repeated_without_effect(spark, folder, raw):
     layout = Layout(folder)
     place = write_files(raw, folder, 2)

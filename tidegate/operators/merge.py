@@ -27,6 +27,7 @@ from tidegate.schemas import PARTITION_COLUMNS
 from tidegate.storage import Slot, Target, any_of, observed
 
 MODES = ("strict", "compat")
+COPIES = ("expected", "unknown", "none")
 DAY_MICROS = 86_400_000_000
 LAST_MICROS = 2**63 - 1
 
@@ -38,9 +39,12 @@ class MergeSpec:
     ``strict`` keeps one row per key and takes no row without a key.  ``compat``
     compares a batch with the target only: copies inside one batch are all
     inserted, and so is every row whose key is null.  ``arrival`` names the columns
-    that may differ between copies, a time first; the earliest copy is kept.  A first load
-    removes copies at once where they are expected, and otherwise only if a look at
-    the keys finds some, which spares a shuffle of all rows.
+    that may differ between copies, a time first; the earliest copy is kept.
+
+    ``copies`` says what is known of copies inside a batch.  Where they are
+    ``expected``, a first load removes them at once; where that is ``unknown``, only
+    if a look at the keys finds some, which spares a shuffle of all rows; with
+    ``none`` nobody looks.
     """
 
     key: str = "rowhash"
@@ -48,7 +52,7 @@ class MergeSpec:
     partition_by: tuple[str, ...] = PARTITION_COLUMNS
     time: str = "deviceEnqueuedTime"
     arrival: tuple[str, ...] = ("enqueuedTime", "loadDatetime")
-    copies_expected: bool = True
+    copies: str = "expected"
     broadcast_rows: int = 1_000_000
     max_days: int = 4_000
     max_months: int = 1_200
@@ -57,10 +61,15 @@ class MergeSpec:
     def __post_init__(self) -> None:
         if self.mode not in MODES:
             raise ValueError(f"unknown mode {self.mode!r}")
+        if self.copies not in COPIES:
+            raise ValueError(f"copies are one of {COPIES}, not {self.copies!r}")
 
     def with_mode(self, mode: str) -> MergeSpec:
         return replace(self, mode=mode)
 
+    def with_copies(self, copies: str) -> MergeSpec:
+        return replace(self, copies=copies)
+
     def with_arrival(self, columns: Sequence[str]) -> MergeSpec:
         return replace(self, arrival=(*self.arrival, *columns))
 
@@ -69,7 +78,7 @@ BRONZE_MERGE = MergeSpec()
 SILVER_MERGE = MergeSpec(
     time="Device_EnqueuedTime",
     arrival=("Eventhub_enqueuedTime", "loaddatetime"),
-    copies_expected=False,  # strict bronze has none
+    copies="unknown",  # strict bronze has none, but it may have been compat before
 )
 
 
@@ -124,11 +133,12 @@ def footprint(batch: DataFrame, spec: MergeSpec = BRONZE_MERGE) -> Footprint:
         if unit is not None:
             by = [*spec.partition_by, "span"]
             batch = batch.withColumn("span", F.date_trunc(unit, instant))
-        if spec.mode == "strict":
+        if spec.mode == "strict" and spec.copies != "none":
             keys = batch.groupBy(*by, F.xxhash64(spec.key).alias("key_hash")).agg(*counts)
             spans = keys.groupBy(*by).agg(*totals)
         else:
-            spans = batch.groupBy(*by).agg(*counts, F.lit(2).alias("copies"))
+            copies = F.lit(2 if spec.mode == "compat" else 1).alias("copies")
+            spans = batch.groupBy(*by).agg(*counts, copies)
         rows = [r for r in spans.limit(limit + 1).collect() if r.n]
         slots = None
         if unit is not None:
@@ -287,7 +297,7 @@ def _first_load(batch: DataFrame, target: Target, spec: MergeSpec) -> MergeStats
     )
     if spec.mode == "strict":
         rows = rows.where(F.col(spec.key).isNotNull())
-        if spec.copies_expected or has_copies(batch, spec.key):
+        if spec.copies == "expected" or (spec.copies == "unknown" and has_copies(batch, spec.key)):
             rows = first_copy(rows, spec)
     inserted = target.append(rows)
     counts = observed(seen)

@@ -21,6 +21,7 @@ from tidegate.operators.merge import (
     SILVER_MERGE,
     MergeSpec,
     MergeStats,
+    has_copies,
     merge_insert,
     persisted,
 )
@@ -168,12 +169,7 @@ def silver_sink(
 ) -> OnBatch:
     """Batch callback that feeds every template from one read of bronze."""
     asset_names(templates)
-    sinks = {
-        asset: merge_sink(
-            silver_target(layout, t), SILVER_MERGE.with_mode(mode), layout, f"silver_{asset_name(asset)}"
-        )
-        for asset, t in templates.items()
-    }
+    spec = SILVER_MERGE.with_mode(mode)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         with persisted(batch) as batch:
@@ -188,13 +184,18 @@ def silver_sink(
             metrics.record(
                 batch.sparkSession, layout.metrics(), "quarantine", batch_id, stats, counts.rejected
             )
+            # One look at the unparsed batch spares a look per template.
+            unique = mode == "strict" and not has_copies(batch, spec.key)
+            known = spec.with_copies("none") if unique else spec
+
+            def feed(asset: str) -> None:
+                target = silver_target(layout, templates[asset])
+                sink = merge_sink(target, known, layout, f"silver_{asset_name(asset)}")
+                sink(to_silver(batch, templates[asset]), batch_id)
+
             with ThreadPoolExecutor(parallel) as pool:
-                runs = [
-                    pool.submit(sinks[asset], to_silver(batch, t), batch_id)
-                    for asset, t in templates.items()
-                ]
-            for run in runs:
-                run.result()
+                for run in [pool.submit(feed, asset) for asset in templates]:
+                    run.result()
 
     return on_batch
 
