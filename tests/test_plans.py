@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 import pytest
 
@@ -127,10 +128,24 @@ def test_large_batch_is_not_broadcast(spark, lake):
         hits = matched_keys(batch, history_keys(target, batch, fp, spec), spec, fp)
         assert "Broadcast" not in plan(hits)
         fresh = plan(without(batch, hits, spec, fp.rows, fp.rows))
-        assert re.search(r"SortMergeJoin \[rowhash.*LeftAnti", fresh)
+        assert re.search(r"SortMergeJoin \[rowhash.*Left(Anti|Outer)", fresh)
         assert ("Broadcast" in fresh) == (mode == "compat")  # hot keys only
 
 
+def test_large_sides_are_distinct_before_they_are_shuffled(spark, lake):
+    """No join may be moved below the aggregation that thins out a hot key."""
+    target, batch = lake
+    spec = MergeSpec(broadcast_rows=5)
+    fp = replace(footprint(batch, spec), copies=True)
+    hits = matched_keys(batch, history_keys(target, batch, fp, spec), spec, fp)
+    joined, _, sides = plan(hits).partition("SortMergeJoin")
+    assert "Aggregate" not in joined
+    assert sides.count("HashAggregate") == 4 and sides.count("Exchange") == 2
+    fresh = plan(without(first_copy(batch, spec), batch.select("rowhash"), spec, fp.rows, fp.rows))
+    joined, _, sides = fresh.partition("SortMergeJoin")
+    assert "Aggregate" not in joined and sides.count("HashAggregate") == 2
+
+
 def test_copies_are_dropped_before_the_shuffle(spark, lake):
     text = plan(first_copy(lake[1]))
     assert text.count("HashAggregate") == 2 and "Sort" not in text

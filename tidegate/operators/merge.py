@@ -188,26 +188,33 @@ def history_keys(target: Target, batch: DataFrame, fp: Footprint, spec: MergeSpe
 def matched_keys(
     batch: DataFrame, history: DataFrame, spec: MergeSpec, fp: Footprint
 ) -> DataFrame:
-    """Distinct keys that are in both; never more than the batch has rows."""
+    """Distinct keys that are in both; never more than the batch has rows.
+
+    Of two distinct sides an inner join gives the same as a semi join, but a semi
+    join would be moved below the aggregation and shuffle every row of history.
+    """
     keys = batch.select(spec.key).where(F.col(spec.key).isNotNull())
     if fp.copies:
         keys = keys.distinct()
     if fp.rows <= spec.broadcast_rows:
         return history.join(F.broadcast(keys), spec.key, "left_semi").distinct()
-    return history.distinct().join(keys.hint("shuffle_merge"), spec.key, "left_semi")
+    return history.distinct().join(keys.hint("shuffle_merge"), spec.key, "inner")
 
 
 def without(
     batch: DataFrame, hits: DataFrame, spec: MergeSpec, n_hits: int, batch_rows: int
 ) -> DataFrame:
     """Rows of the batch whose key is not in ``hits``; null keys match nothing."""
-    key = F.col(spec.key)
     if n_hits <= spec.broadcast_rows:
         return batch.join(F.broadcast(hits), spec.key, "left_anti")
+    if spec.mode == "strict":
+        # One row per key.  An anti join would be moved below the step that made it so.
+        known = hits.withColumn("known", F.lit(True)).hint("shuffle_merge")
+        fresh = batch.join(known, spec.key, "left").where("known is null")
+        return fresh.select(*batch.columns)
+    key = F.col(spec.key)
     keyless = batch.where(key.isNull())
     keyed = batch.where(key.isNotNull())
-    if spec.mode == "strict":  # one row per key
-        return keyed.join(hits.hint("shuffle_merge"), spec.key, "left_anti").unionByName(keyless)
     # A key with more than 1/1000 of the rows is hot.  There are at most 1000 of
     # those, so they are broadcast and their rows are not shuffled.
     hot = keyed.groupBy(spec.key).count().where(F.col("count") * 1000 > batch_rows).select(spec.key)

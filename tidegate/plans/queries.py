@@ -408,7 +408,7 @@ def t5_time_boxed(spark, sf_dir):
     """A run that is cut off by its job time, then resumed to the end."""
     layout = new_layout(spark, "t5")
     fx.event_raw(spark, sf_dir).write.parquet(f"{layout.root}/raw")
-    stream = bus_stream(spark, f"{layout.root}/raw", max_files=1)
+    stream = bus_stream(spark, f"{layout.root}/raw", max_files=3)
     run_for(start_bronze(stream, layout, trigger=trigger_of(0)), timeout_seconds(0.02))
     run_for(start_bronze(stream, layout, trigger=ONCE))
     return copies_by_hash(bronze_target(layout).read(spark))

@@ -68,7 +68,9 @@ def observed(observation: Observation) -> dict[str, int]:
     """Metrics of a finished action; none if the optimizer saw that the frame is empty."""
     try:
         return observation.get
-    except Py4JJavaError:
+    except Py4JJavaError as e:
+        if "InterruptedException" in str(e):
+            raise
         return {}
 
 
