@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import exact, packing
+from tidegate.llm import exact, packing, quality
 from tidegate.llm.common import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("row.doc_id", *counts, "base_failed", "kept", "lost_words")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.groups(table(spark, sf_dir, "documents"))
     sha = F.lower(F.hex("digest")).alias("text_sha256")
@@ -20,7 +26,45 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
-QUERIES = {q.__name__: q for q in (op9_exact_dedup, op10_packing)}
+QUERIES = {q.__name__: q for q in (op1_quality_rules, op9_exact_dedup, op10_packing)}
+
+OP1 = rf"""
+with d as (
+  select row_number() over () as id, doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\x0c\r]+') as own
+  from documents
+), lines as (
+  select id, unnest(string_split(text, chr(10))) as line from d
+), judged as (
+  select id, line, len(regexp_extract_all(line, '[^ \t\n\x0b\x0c\r]+')) as n,
+    len(regexp_extract_all(line, $q${quality.SEPARATOR.replace("x20", "x{20}").replace("x09", "x{09}")}$q$)) as separators
+  from lines where regexp_matches(line, '[^ \t\n\x0b\x0c\r]')
+), failed as (
+  select id, line, n, not regexp_matches(line, $q${quality.SENTENCE_END}$q$)
+    or len(regexp_extract_all(line, $q${quality.NOISE}$q$)) * 10 > n * 3
+    or (separators >= 2 and separators * 5 >= n) or (n <= 4 and regexp_matches(lower(line), $q${quality.MENU}$q$))
+    or (n <= {quality.SHORT_LINE} and regexp_matches(lower(line), $q${quality.BOILERPLATE}$q$)) as fails
+  from judged
+), by_line as (
+  select id, count(*) - count(distinct line) as n_dup_lines, coalesce(sum(n) filter (where fails), 0) as lost from failed group by id
+), places as (
+  select id, own, unnest(range(1, len(own) - 6)) as i from d where len(own) >= 8
+), windows as (
+  select id, i, count(*) over (partition by id, own[i:i + 7]) as found from places
+), steps as (
+  select id, least(8, coalesce(lead(i) over (partition by id order by i) - i, 8)) as step from windows where found > 1
+), repeated as (
+  select id, sum(step) as n from steps group by id
+), counted as (
+  select doc_id, len(own)::bigint as n_words, length(array_to_string(own, ''))::bigint as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+    coalesce(n_dup_lines, 0)::bigint as n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words, coalesce(lost, 0)::bigint as lost_words
+  from d left join by_line using (id) left join repeated using (id)
+), based as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from counted
+)
+select *, not base_failed and 100 * lost_words <= 50 * n_words as kept from based
+"""
 
 OP9 = r"""
 with t as (
@@ -33,4 +77,4 @@ with t as (
 select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from n
 """
 
-CHECKS = {"op9_exact_dedup": OP9}
+CHECKS = {"op1_quality_rules": OP1, "op9_exact_dedup": OP9}
