@@ -47,10 +47,13 @@ with d as (
   from judged
 ), by_line as (
   select id, count(*) - count(distinct line) as n_dup_lines, coalesce(sum(n) filter (where fails), 0) as lost from failed group by id
-), places as (
-  select id, own, unnest(range(1, len(own) - 6)) as i from d where len(own) >= 8
+), placed as (
+  select id, unnest(own) as w, generate_subscripts(own, 1) as i from d
+), keyed as (
+  select id, i, w || ' ' || lead(w, 1) over p || ' ' || lead(w, 2) over p || ' ' || lead(w, 3) over p || ' ' || lead(w, 4) over p || ' ' || lead(w, 5) over p || ' ' || lead(w, 6) over p || ' ' || lead(w, 7) over p as words from placed
+  window p as (partition by id order by i)
 ), windows as (
-  select id, i, count(*) over (partition by id, own[i:i + 7]) as found from places
+  select id, i, count(*) over (partition by id, words) as found from keyed where words is not null
 ), steps as (
   select id, least(8, coalesce(lead(i) over (partition by id order by i) - i, 8)) as step from windows where found > 1
 ), repeated as (
