@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import exact, packing, quality
+from tidegate.llm import exact, jaccard, packing, quality
 from tidegate.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", *counts, "base_failed", "kept", "lost_words")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"), width=3, threshold=0.9)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.groups(table(spark, sf_dir, "documents"))
     sha = F.lower(F.hex("digest")).alias("text_sha256")
@@ -26,7 +30,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
-QUERIES = {q.__name__: q for q in (op1_quality_rules, op9_exact_dedup, op10_packing)}
+QUERIES = {q.__name__: q for q in (op1_quality_rules, op2_ngram_jaccard, op9_exact_dedup, op10_packing)}
 
 OP1 = rf"""
 with d as (
@@ -69,6 +73,32 @@ with d as (
 select *, not base_failed and 100 * lost_words <= 50 * n_words as kept from based
 """
 
+OP2 = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0b\x0c\r]+') as own
+  from documents
+), placed as (
+  select doc_id, unnest(own) as w, generate_subscripts(own, 1) as i from d where len(own) >= 3
+), windows as (
+  select doc_id, w || ' ' || lead(w) over p || ' ' || lead(w, 2) over p as gram from placed window p as (partition by doc_id order by i)
+), grams as (
+  select distinct doc_id, gram from windows where gram is not null
+  union all select doc_id, array_to_string(own, ' ') from d where len(own) between 1 and 2
+), sizes as (
+  select doc_id, count(*) as n from grams group by doc_id
+), common_grams as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n from grams a join grams b on a.gram = b.gram and a.doc_id < b.doc_id group by all
+), links as (
+  select a, b from common_grams o join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * o.n >= 90 * (x.n + y.n - o.n)
+), edges as (
+  select a, b from links union all select b, a from links
+), reached(doc_id, other) as (
+  select doc_id, doc_id from d union select reached.doc_id, edges.b from reached join edges on edges.a = reached.other
+)
+select d.doc_id, coalesce(sizes.n, 0)::bigint as n_shingles, c.component_id
+from d left join sizes using (doc_id) join (select doc_id, min(other) as component_id from reached group by doc_id) c using (doc_id)
+"""
+
 OP9 = r"""
 with t as (
   select doc_id, sha256(regexp_replace(coalesce(text, ''), '[ \t\n\x0b\x0c\r]+', ' ', 'g')) as text_sha256 from documents
@@ -80,4 +110,4 @@ with t as (
 select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from n
 """
 
-CHECKS = {"op1_quality_rules": OP1, "op9_exact_dedup": OP9}
+CHECKS = {"op1_quality_rules": OP1, "op2_ngram_jaccard": OP2, "op9_exact_dedup": OP9}
