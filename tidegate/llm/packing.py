@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -39,35 +41,63 @@ def tokenizer(path: str) -> Encode:
     return lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+MARKS = ".,;:!?"
+MARKED = r"([A-Za-z])([.,;:!?]+)([\x20\x09-\x0D]|$)"
+
+
+def splits_marks(encode: Encode) -> bool:
+    """Whether the tokenizer takes a word without regard to ASCII case and apart from the marks behind it."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    pairs = [(word, mark) for word in (*letters, *letters.upper(), "Word", "WORDS") for mark in (*MARKS, "...", "?!")]
+    joined, parted = encode([w + m for w, m in pairs]), encode([f"{w.lower()} {m}" for w, m in pairs])
+    return joined == parted
+
+
 class Encoder:
     """Encodes texts word by word, each distinct word once.
 
     This equals encoding whole texts where the tokenizer never joins across white space, as word tokenizers
-    do.  At most ``LIMIT`` words are remembered.
+    do.  If it also folds case and parts words from marks, fewer words are distinct.  At most ``LIMIT`` words are remembered.
     """
 
-    LIMIT = 1_000_000
+    LIMIT = 1_500_000
 
     def __init__(self, encode: Encode) -> None:
         self.encode = encode
-        self.known: dict[str, np.ndarray] = {}
+        self.parts = splits_marks(encode)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat = np.empty(0, np.uint32)
+        self.ends = np.zeros(1, np.int64)
+
+    def learn(self, new: list[str]) -> None:
+        """Append the ids of new words to the flat store."""
+        ids = self.encode(new)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        self.flat = np.concatenate([self.flat, flat])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
-        found = Words(texts)
+        lower = False
+        # The names of special tokens are told by their case.
+        if self.parts and not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts, lower = pc.replace_substring_regex(texts, MARKED, r"\1 \2\3"), True
+        found = Words(texts, lower)
         vocabulary = found.vocabulary.to_pylist()
         if len(self.known) > self.LIMIT:
-            self.known.clear()
-        new = [w for w in vocabulary if w not in self.known]
-        self.known.update(zip(new, (np.array(ids, np.uint32) for ids in self.encode(new))))
-        own = [self.known[w] for w in vocabulary]
-        sizes = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.concatenate([*own, np.empty(0, np.uint32)])
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        lengths = sizes[found.codes]
+            self.forget()
+        known = self.known
+        if new := [w for w in vocabulary if w not in known]:
+            self.learn(new)
+        own = np.fromiter(map(known.__getitem__, vocabulary), np.int64, len(vocabulary))[found.codes]
+        starts, lengths = self.ends[own], self.ends[own + 1] - self.ends[own]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(starts[found.codes] - (ends - lengths), lengths)
-        ids = flat[at]
+        ids = self.flat[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)]
         cut = np.concatenate([[0], ends])[found.bounds]
         return [np.append(ids[a:b], np.uint32(END_ID)) for a, b in zip(cut[:-1], cut[1:])]
 
