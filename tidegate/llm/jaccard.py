@@ -5,7 +5,7 @@ set with it.  Three uses of the fragments follow one another:
 
 * candidates: sets of a size class are cut into one fragment more than two linked sets can differ in n-grams, so linked
   sets have a whole fragment in common; only a hash per fragment is shuffled;
-* a bound: a byte per fragment of a finer cut tells apart fragments that differ; two sets cannot link if more of these
+* a bound: two bits per fragment of a finer cut tell apart most fragments that differ; two sets cannot link if more of these
   differ than linked sets may have n-grams that do;
 * counts: for what is left, the overlap is counted for each fragment by itself and summed per pair.
 
@@ -22,7 +22,9 @@ their own.  Very long texts have more fragments, by their size class.  An empty
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -85,16 +87,29 @@ def runs(owner: np.ndarray, part: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])]))
 
 
-def fragments(scheme: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+# The smallest sizes of the size classes: two for each doubling.
+LOWS = np.unique(np.ceil(2.0 ** (np.arange(120) / 2)).astype(np.int64))
+
+
+@lru_cache(maxsize=None)
+def fragments(scheme: int, percent: int) -> tuple[int, int]:
     """Fragments of a size class, and how many of them may be empty.
 
-    Two sets of at most ``top`` n-grams that link differ in at most ``differ``; so of ``differ + 1 + spare`` fragments
-    ``1 + spare`` are equal, and one of these is not empty if at most ``spare`` are.
+    Two sets that link and of which the larger is of the class differ in at most ``differ`` n-grams; so of
+    ``differ + 1 + spare`` fragments ``1 + spare`` are equal, and one of these is not empty if at most ``spare`` are.
+    ``spare`` is what the smallest sets need for most of their cuts.
     """
-    top = (2 << scheme.astype(np.int64)) - 1
+    low, top = int(LOWS[scheme]), int(LOWS[scheme + 1]) - 1
     differ = 2 * top * (100 - percent) // (100 + percent)
-    spare = np.where(differ > 0, 1 + (differ + 1) // 50, 0)
-    return differ + 1 + spare, spare
+    if not differ:
+        return 1, 0
+    spare = 1
+    while True:
+        count = differ + 1 + spare
+        empty = count * math.exp(-percent * low / 100 / count)
+        if empty + 2 * math.sqrt(empty) <= spare:
+            return count, spare
+        spare += 1
 
 
 def signatures(flat: np.ndarray, bounds: np.ndarray, scheme: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +119,8 @@ def signatures(flat: np.ndarray, bounds: np.ndarray, scheme: np.ndarray, percent
     cuts before, as its partners may have been content with one of them.
     """
     n = np.diff(bounds)
-    count, spare = fragments(scheme, percent)
+    sizes = np.array([fragments(s, percent) for s in scheme.tolist()], np.int64).reshape(-1, 2)
+    count, spare = sizes[:, 0], sizes[:, 1]
     found, owners = [], []
     rows, cut = np.arange(len(n)), 0
     while len(rows):
@@ -132,21 +148,31 @@ def signatures(flat: np.ndarray, bounds: np.ndarray, scheme: np.ndarray, percent
 
 
 def cell_count(scheme: int) -> int:
-    return max(64, (1 << scheme) >> 1)
+    """Cells of a size class, of two bits each: 64 to 1,024 bytes."""
+    low = int(LOWS[scheme])
+    return 256 if low < 1000 else 1024 if low < 4000 else 4096
 
 
 def cells(flat: np.ndarray, bounds: np.ndarray, scheme: np.ndarray) -> list[bytes]:
-    """A byte for each fragment of a fine cut, equal where the fragments are."""
+    """Two bits for each fragment of a fine cut, equal where the fragments are."""
     owner = np.repeat(np.arange(len(scheme)), np.diff(bounds))
-    size = np.array([cell_count(int(s)) for s in scheme], np.int64)
+    size = np.array([cell_count(s) for s in scheme.tolist()], np.int64)
     at = np.concatenate([[0], np.cumsum(size)])
     bits = np.log2(size).astype(np.int64).astype(U)
     piece = flat >> (U(64) - bits[owner])
     start = runs(owner, piece)
     out = np.zeros(int(at[-1]), np.uint8)
     if len(start):
-        out[at[owner[start]] + piece[start].astype(np.int64)] = (np.add.reduceat(mix(flat), start) & U(255)).astype(np.uint8)
-    return [out[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        sums = mix(np.add.reduceat(mix(flat), start))
+        out[at[owner[start]] + piece[start].astype(np.int64)] = (sums & U(3)).astype(np.uint8)
+    packed = out.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
+    return [packed[a:b].tobytes() for a, b in zip((at[:-1] // 4).tolist(), (at[1:] // 4).tolist())]
+
+
+def unlike_cells(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many cells differ, for each pair of rows."""
+    z = x ^ y
+    return np.bitwise_count((z | (z >> U(1))) & U(0x5555555555555555)).sum(axis=1, dtype=np.int64)
 
 
 def set_keys(flat: np.ndarray, bounds: np.ndarray) -> list[bytes | None]:
@@ -174,10 +200,16 @@ def read_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
             n = np.diff(bounds)
             keys = np.array(set_keys(flat, bounds), object)
             ids = part.column("doc_id")
-            main = np.where(n > 0, np.log2(np.maximum(n, 1)).astype(np.int64), -1)
-            both = np.flatnonzero((n > 0) & (100 * n >= percent * (2 << np.maximum(main, 0))))
-            for rows, scheme in ((np.arange(len(n)), main), (both, main[both] + 1)):
-                some, limits = (flat, bounds) if len(rows) == len(n) else take(flat, bounds, rows)
+            main = np.searchsorted(LOWS, n, side="right") - 1
+            classes = [(np.arange(len(n)), main)]
+            while True:  # the classes of larger sets it may link with
+                rows, scheme = classes[-1]
+                more = (n[rows] > 0) & (100 * n[rows] >= percent * LOWS[np.maximum(scheme, 0) + 1])
+                if not more.any():
+                    break
+                classes.append((rows[more], scheme[more] + 1))
+            for turn, (rows, scheme) in enumerate(classes):
+                some, limits = (flat, bounds) if not turn else take(flat, bounds, rows)
                 grade = np.maximum(scheme, 0)
                 hashes, owner = signatures(some, limits, grade, percent)
                 ends = np.cumsum(np.bincount(owner, minlength=len(rows)))
@@ -187,7 +219,7 @@ def read_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                         ids.take(pa.array(rows)),
                         pa.array(n[rows]),
                         pa.array(keys[rows], pa.binary()),
-                        pa.array(np.full(len(rows), rows is not both)),
+                        pa.array(np.full(len(rows), not turn)),
                         pa.array(scheme.astype(np.int32)),
                         pa.array(cells(some, limits, grade), pa.binary()),
                         pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64))),
@@ -216,8 +248,7 @@ def within(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
         scheme = t["scheme"].to_numpy()
         for s in np.unique(scheme):
             rows = t.filter(pa.array(scheme == s))
-            size = cell_count(int(s))
-            matrix = np.frombuffer(b"".join(rows["cells"].to_pylist()), np.uint8).reshape(-1, size)
+            matrix = np.frombuffer(b"".join(rows["cells"].to_pylist()), U).reshape(rows.num_rows, -1)
             n, block, label = (rows[c].to_numpy() for c in ("n", "block", "label"))
             ident = np.stack([rows[c].to_numpy() for c in ("signature", "low", "high")])
             crossing = ident[1] != ident[2]
@@ -240,9 +271,9 @@ def within(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
                 both = n[i] + n[j]
                 differ = both - 2 * (-(-percent * both // (100 + percent)))
                 unlike = np.empty(len(i), np.int64)
-                step = max(1, 4_000_000 // size)
+                step = max(1, 1_000_000 // matrix.shape[1])
                 for at in range(0, len(i), step):
-                    unlike[at : at + step] = (matrix[i[at : at + step]] != matrix[j[at : at + step]]).sum(axis=1)
+                    unlike[at : at + step] = unlike_cells(matrix[i[at : at + step]], matrix[j[at : at + step]])
                 ok = unlike <= differ
                 i, j, unlike = i[ok], j[ok], unlike[ok]
                 if nearest:

@@ -72,12 +72,16 @@ def repeated_words(own: Column, width: int) -> Column:
         steps = F.transform(p, lambda x, i: F.least(F.lit(width), F.coalesce(F.get(p, i + 1) - x, F.lit(width))))
         return F.aggregate(steps, F.lit(0), lambda a, b: a + b)
 
-    hashes = F.transform(
-        F.sequence(F.lit(1), F.size(own) - width + 1), lambda i: F.xxhash64(F.slice(own, i, F.lit(width)))
-    )
-    each = F.transform(
-        F.array(hashes), lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(0)
-    )[0]
+    def hashes(o: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(o) - width + 1), lambda i: F.xxhash64(F.slice(o, i, F.lit(width)))
+        )
+
+    def counted(h: Column) -> Column:
+        return F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(0)
+
+    # Arrays of one element bind a value, so that it is computed once and not for every element of another array.
+    each = F.transform(F.transform(F.array(own), hashes), counted)[0]
     return F.when(F.size(own) <= width, 0).otherwise(each).cast("long")
 
 
@@ -108,8 +112,7 @@ def judge(
         F.lit(0).cast("long"),
         lambda a, x: a + F.regexp_count(x["line"], F.lit(WORD)),
     )
-    counted = read.select(
-        "row",
+    counts = (
         F.size("own").cast("long").alias("n_words"),
         F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -118,6 +121,21 @@ def judge(
         lost.alias("lost_words"),
         F.array_join(F.transform(F.filter("lines", lambda x: ~x["fails"]), lambda x: x["line"]), "\n").alias("cleaned"),
     )
+    # A filter on the verdict would be pushed below a projection, and all counts be made twice; not so through a generator.
+    counted = read.select("row", F.explode(F.array(F.struct(*counts))).alias("counts")).select("row", "counts.*")
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > round(100 * max_repeated) * F.col("n_words"))
     keeps = 100 * F.col("lost_words") <= round(100 * max_lost) * F.col("n_words")
     return counted.withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & keeps)
+
+
+def clean(docs: DataFrame, **rules: float) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns; lines that failed are gone from their texts.
+
+    A column ``n_chars`` follows the text.
+    """
+    judged = judge(docs, **rules).where("kept")
+    text = F.when(F.col("lost_words") > 0, F.col("cleaned")).otherwise(F.col("row.text"))
+    now = {"text": text}
+    if "n_chars" in docs.columns:
+        now["n_chars"] = F.when(F.col("lost_words") > 0, F.length("cleaned").cast("long")).otherwise(F.col("row.n_chars"))
+    return judged.select(*[now.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
