@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import exact, jaccard, mixing, packing, quality
+from tidegate.llm import exact, jaccard, mixing, packing, quality, urls, warc
 from tidegate.llm.common import table
 
 
@@ -21,10 +21,18 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"), width=3, threshold=0.9)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.groups(table(spark, sf_dir, "documents"))
     sha = F.lower(F.hex("digest")).alias("text_sha256")
@@ -35,7 +43,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
-QUERIES = {q.__name__: q for q in (op1_quality_rules, op2_ngram_jaccard, op4_mixing, op9_exact_dedup, op10_packing)} | {"pipeline": corpus_pipeline.run}
+OPERATORS = (
+    op1_quality_rules,
+    op2_ngram_jaccard,
+    op3_warc,
+    op4_mixing,
+    op6_url_filters,
+    op9_exact_dedup,
+    op10_packing,
+)
+QUERIES = {q.__name__: q for q in OPERATORS} | {"pipeline": corpus_pipeline.run}
 
 OP1 = rf"""
 with d as (
