@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import exact, jaccard, mixing, packing, quality, urls, warc
+from tidegate.llm import classifier, exact, jaccard, lm, mixing, packing, quality, urls, warc
 from tidegate.llm.common import table
 
 
@@ -29,10 +29,19 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.groups(table(spark, sf_dir, "documents"))
     sha = F.lower(F.hex("digest")).alias("text_sha256")
@@ -48,7 +57,9 @@ OPERATORS = (
     op2_ngram_jaccard,
     op3_warc,
     op4_mixing,
+    op5_lm_scoring,
     op6_url_filters,
+    op8_quality_classifier,
     op9_exact_dedup,
     op10_packing,
 )
