@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import classifier, exact, jaccard, lm, mixing, packing, quality, urls, warc
+from tidegate.llm import classifier, exact, jaccard, lm, mixing, packing, quality, substring, urls, warc
 from tidegate.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
@@ -59,6 +63,7 @@ OPERATORS = (
     op4_mixing,
     op5_lm_scoring,
     op6_url_filters,
+    op7_substring_dedup,
     op8_quality_classifier,
     op9_exact_dedup,
     op10_packing,
