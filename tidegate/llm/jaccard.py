@@ -103,13 +103,17 @@ def fragments(scheme: int, percent: int) -> tuple[int, int]:
     differ = 2 * top * (100 - percent) // (100 + percent)
     if not differ:
         return 1, 0
+    least = percent * low / 100
+    if differ + 1 > math.ceil(least):
+        raise ValueError("sets may differ in more n-grams than the smaller one has: the threshold is too low")
     spare = 1
     while True:
         count = differ + 1 + spare
-        empty = count * math.exp(-percent * low / 100 / count)
-        if empty + 2 * math.sqrt(empty) <= spare:
+        share = math.exp(-least / count)  # of empty fragments; their number varies less the more there are
+        varies = count * share * (1 - (1 + least / count) * share)
+        if count * share + 2 * math.sqrt(max(varies, 0.0)) <= spare or count > 64 * top:
             return count, spare
-        spare += 1
+        spare += 1 + spare // 256
 
 
 def signatures(flat: np.ndarray, bounds: np.ndarray, scheme: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -421,8 +425,8 @@ def candidates(members: DataFrame, labels: DataFrame | None, percent: int) -> Da
 def similar(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``."""
     percent = round(100 * threshold)
-    if not 50 <= percent <= 100:
-        raise ValueError("the threshold must be from 0.5 to 1")
+    if not 70 <= percent <= 100:
+        raise ValueError("the threshold must be from 0.7 to 1")
     all_sets = stored(read_sets(docs, width, percent), "sets")
     members = stored(members_of(all_sets), "members")
     first = stored(candidates(members, None, percent), "nearest")
