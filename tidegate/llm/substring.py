@@ -178,6 +178,20 @@ def numbers(entries: pa.StructArray, name: str) -> np.ndarray:
     return entries.field(name).to_numpy(zero_copy_only=False)
 
 
+def edge_windows(hashes: np.ndarray, base: np.ndarray, size: np.ndarray, width: int, k: int) -> list[np.ndarray]:
+    """All windows of some edges: the edge, the place in it, its anchor and the window's hash."""
+    lengths = size + width - 1
+    ends = np.cumsum(lengths)
+    own = hashes[np.arange(int(ends[-1])) + np.repeat(base - (ends - lengths), lengths)]
+    first = ends - lengths
+    grams = gram_hashes(own, k)
+    anchor = grams[anchors(grams, width - k + 1)[first]]
+    which = np.repeat(np.arange(len(size)), size)
+    step = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
+    window = gram_hashes(own, width)[first[which] + step]
+    return [which, step, anchor[which].view(np.int64), window.view(np.int64)]
+
+
 def settle(width: int, k: int):
     """Cut out whole paths; texts with open edges give the windows to look at and stay as they are."""
 
@@ -192,28 +206,28 @@ def settle(width: int, k: int):
             gone, digests = cut(found, found.bounds, cover(len(found.codes), base[whole], (base + size)[whole] + width - 1))
             open_row = np.zeros(part.num_rows, bool)
             open_row[owner[kind == OPEN]] = True
-            windows: list = [[] for _ in range(part.num_rows)]
-            if not whole.all():
-                hashes = found.hashes()
-                for i in np.flatnonzero(~whole).tolist():
-                    words = hashes[base[i] : base[i] + size[i] + width - 1]
-                    own = gram_hashes(words, width).view(np.int64).tolist()
-                    anchor = int(gram_hashes(words, k)[: width - k + 1].min().view(np.int64))
-                    first, is_open = int(start[i]), bool(kind[i] == OPEN)
-                    windows[owner[i]].extend({"anchor": anchor, "window": w, "start": first + j, "open": is_open} for j, w in enumerate(own))
-            texts = part.column("text").to_pylist()
-            spans: list = [[] for _ in range(part.num_rows)]
-            for i in np.flatnonzero(whole & open_row[owner]).tolist():
-                spans[owner[i]].append({"start": int(start[i]), "size": int(size[i])})
-            rows = [
-                {"row": row + j, "doc_id": doc_id, "n_words": int(n), "n_removed": int(g), "kept_sha256": d, "text": t if o else None, "spans": s, "open": bool(o), "windows": w}
-                for j, (doc_id, n, g, d, t, s, o, w) in enumerate(zip(part.column("doc_id").to_pylist(), np.diff(found.bounds), gone, digests, texts, spans, open_row, windows))
-            ]
+            rows = np.arange(row, row + part.num_rows)
             row += part.num_rows
-            span = pa.struct([("start", pa.int32()), ("size", pa.int32())])
-            window = pa.struct([("anchor", pa.int64()), ("window", pa.int64()), ("start", pa.int32()), ("open", pa.bool_())])
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.list_(span), pa.bool_(), pa.list_(window)]
-            yield pa.RecordBatch.from_pylist(rows, pa.schema(list(zip(rows[0], kinds))))
+            look = np.flatnonzero(~whole)
+            windows = edge_windows(found.hashes(), base[look], size[look], width, k) if len(look) else [np.empty(0, np.int64)] * 4
+            which, step, anchor, window = windows
+            which = look[which]
+            # Entries stand in the order of their texts, so what they give does as well.
+            kept = np.flatnonzero(whole & open_row[owner])
+            spans = pa.StructArray.from_arrays([pa.array(c[kept], pa.int32()) for c in (start, size)], ["start", "size"])
+            each = [pa.array(anchor, pa.int64()), pa.array(window, pa.int64()), pa.array(start[which] + step, pa.int32()), pa.array(kind[which] == OPEN)]
+            each = pa.StructArray.from_arrays(each, ["anchor", "window", "start", "open"])
+
+            def lists(owners: np.ndarray, values: pa.Array, n: int = part.num_rows) -> pa.Array:
+                return pa.ListArray.from_arrays(pa.array(np.searchsorted(owners, np.arange(n + 1)), pa.int32()), values)
+
+            texts = pc.if_else(pa.array(open_row), part.column("text"), pa.scalar(None, part.column("text").type))
+            columns = [
+                pa.array(rows), part.column("doc_id"), pa.array(np.diff(found.bounds), pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string()),
+                texts, lists(owner[kept], spans), pa.array(open_row), lists(owner[which], each),
+            ]
+            names = ["row", "doc_id", "n_words", "n_removed", "kept_sha256", "text", "spans", "open", "windows"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
