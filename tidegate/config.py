@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -18,8 +19,11 @@ SESSION_CONF = {
 
 
 def asset_name(asset: str) -> str:
-    """Name of an asset in paths and table names: spaces become underscores."""
-    return asset.replace(" ", "_")
+    """Name of an asset in paths and table names.
+
+    Spaces become underscores, and so does all else that a table name cannot hold.
+    """
+    return re.sub(r"[^0-9A-Za-z_]", "_", asset)
 
 
 def asset_names(assets: Iterable[str]) -> dict[str, str]:
@@ -87,7 +91,8 @@ class RunConfig:
     ``trigger_minutes`` 0 starts the next micro-batch at once; ``job_minutes`` 0
     runs until stopped; ``lookback_minutes`` sets the start position of the very
     first run (later runs resume from the checkpoint).  A batch reads at most
-    ``max_bytes_per_trigger`` of files.
+    ``max_bytes_per_trigger`` of files.  With ``once`` a run takes what is there and
+    ends, however long that takes.
     """
 
     layout: Layout
@@ -97,6 +102,7 @@ class RunConfig:
     mode: str = "strict"
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: int | None = 100_000_000_000
+    once: bool = False
 
     def __post_init__(self) -> None:
         for name in ("trigger_minutes", "job_minutes", "lookback_minutes"):

@@ -1,6 +1,7 @@
 from tidegate.functions.device import (
     flagged,
     header,
+    header_time,
     local_time,
     row_hash,
     station_id,
@@ -8,4 +9,4 @@ from tidegate.functions.device import (
     utc_time,
 )
 
-__all__ = ["flagged", "header", "local_time", "row_hash", "station_id", "utc_date", "utc_time"]
+__all__ = ["flagged", "header", "header_time", "local_time", "row_hash", "station_id", "utc_date", "utc_time"]

@@ -15,6 +15,9 @@ from tidegate.schemas import HEADER
 # Fixed value: local time of the devices, with daylight saving.
 DEVICE_ZONE = "America/Los_Angeles"
 
+# A text that starts with a year, which has at least four digits.
+DATED = r"^[^0-9:T]*[0-9]{4}"
+
 
 def row_hash(body: Column) -> Column:
     """Message identity: lower-case hex SHA-256 of the body text, null for null."""
@@ -27,8 +30,18 @@ def header(body: Column) -> Column:
 
 
 def utc_time(text: Column) -> Column:
-    """Instant written in device text, null where it is not a time."""
-    return F.try_to_timestamp(text)
+    """Instant written in device text, null where it is not a date with or without a time.
+
+    A time of day alone is no instant: Spark would take it as one of the day of the run,
+    and a message must get the same time, and the same partition, in every run.
+    """
+    return F.when(text.rlike(DATED), F.try_to_timestamp(text))
+
+
+def header_time(text: Column) -> Column:
+    """Device time of the header: a date and time, or a number of seconds since 1970."""
+    micros = F.try_multiply(text.try_cast("long"), F.lit(1_000_000).cast("long"))
+    return F.when(text.rlike(r"^-?[0-9]{7,}$"), F.timestamp_micros(micros)).otherwise(utc_time(text))
 
 
 def local_time(instant: Column, zone: str = DEVICE_ZONE) -> Column:

@@ -1,6 +1,6 @@
 """Command line of the three jobs, for spark-submit.
 
-    python -m tidegate.jobs bronze --root ... --source ... [--minutes 15]
+    python -m tidegate.jobs bronze --root ... --source ... [--minutes 15 | --once]
     python -m tidegate.jobs silver --root ... --templates assets.json --template-folder ...
     python -m tidegate.jobs reset  --root ... --layer silver [--yes]
 """
@@ -17,10 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidegate.config import SESSION_CONF, Layout, RunConfig
 from tidegate.maintenance import Reset, reset_layer
-from tidegate.sources.replay import bus_stream, first_start, kafka_options, kafka_stream
+from tidegate.sources.replay import (
+    between_positions,
+    bus_stream,
+    first_start,
+    kafka_options,
+    kafka_stream,
+    landing_schema,
+)
 from tidegate.sources.templates import Template, compile_templates
 from tidegate.streaming.ingest import start_bronze, start_silver, start_silver_single
-from tidegate.streaming.runner import run_for, timeout_seconds, trigger_of
+from tidegate.streaming.runner import ONCE, run_for, timeout_seconds, trigger_of
 
 
 def session(name: str) -> SparkSession:
@@ -30,10 +37,17 @@ def session(name: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def _pace(config: RunConfig) -> tuple[dict, float | None]:
+    """Trigger and job time in seconds; a run that drains its input once is not cut off."""
+    if config.once:
+        return ONCE, None
+    return trigger_of(config.trigger_minutes), timeout_seconds(config.job_minutes)
+
+
 def run_bronze(raw: DataFrame, config: RunConfig) -> float:
     """Land bus records for the job time; returns the seconds it ran."""
-    query = start_bronze(raw, config.layout, config.mode, trigger_of(config.trigger_minutes))
-    return run_for(query, timeout_seconds(config.job_minutes))
+    trigger, seconds = _pace(config)
+    return run_for(start_bronze(raw, config.layout, config.mode, trigger), seconds)
 
 
 def run_silver(
@@ -48,16 +62,16 @@ def run_silver(
     Assets whose template file is bad are reported at the end, after the others
     have run.
     """
+    trigger, seconds = _pace(config)
     args = (
         spark,
         config.layout,
         templates,
         config.mode,
-        trigger_of(config.trigger_minutes),
+        trigger,
         config.max_files_per_trigger,
         config.max_bytes_per_trigger,
     )
-    seconds = timeout_seconds(config.job_minutes)
     if single:
         run_for(start_silver_single(*args), seconds)
     else:
@@ -81,6 +95,7 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--trigger", type=float, default=1, help="minutes between batches, 0 for none")
         job.add_argument("--minutes", type=float, default=15, help="job time, 0 for no end")
         job.add_argument("--mode", choices=("strict", "compat"), default="strict")
+        job.add_argument("--once", action="store_true", help="take what is there, then end")
         job.add_argument("--max-files", type=int)
         job.add_argument("--max-bytes", type=int, default=100_000_000_000, help="input files of one batch")
         if name == "bronze":
@@ -88,7 +103,10 @@ def _parser() -> argparse.ArgumentParser:
             source = job.add_mutually_exclusive_group(required=True)
             source.add_argument("--source", help="folder in which bus records land as Parquet")
             source.add_argument("--kafka", help="bootstrap servers")
-            job.add_argument("--topic")
+            job.add_argument("--topic", help="needed with --kafka")
+            job.add_argument("--max-offsets", type=int, default=100_000_000, help="Kafka records of one batch")
+            job.add_argument("--end", help="take records enqueued up to this instant")
+            job.add_argument("--archive", help="move files of --source here when they are done with")
         else:
             job.add_argument("--templates", required=True, help="JSON file: asset name to template file")
             job.add_argument("--template-folder", default="")
@@ -97,7 +115,10 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: Sequence[str] | None = None) -> Reset | None:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if getattr(args, "kafka", None) and not args.topic:
+        parser.error("--kafka needs --topic")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = session(f"tidegate-{args.job}")
@@ -114,15 +135,24 @@ def main(argv: Sequence[str] | None = None) -> Reset | None:
         mode=args.mode,
         max_files_per_trigger=args.max_files,
         max_bytes_per_trigger=args.max_bytes,
+        once=args.once,
     )
     if args.job == "bronze":
         start = first_start(spark, layout.start("bronze"), config.lookback_minutes)
         if args.kafka:
-            options = kafka_options(args.kafka, args.topic, datetime.fromisoformat(start))
-            raw = kafka_stream(spark, options)
+            begin = datetime.fromisoformat(start)
+            options = kafka_options(args.kafka, args.topic, begin, max_offsets=args.max_offsets)
+            raw = between_positions(kafka_stream(spark, options), end=args.end)
         else:
             raw = bus_stream(
-                spark, args.source, start, None, config.max_files_per_trigger, config.max_bytes_per_trigger
+                spark,
+                args.source,
+                start,
+                args.end,
+                config.max_files_per_trigger,
+                config.max_bytes_per_trigger,
+                schema=landing_schema(spark, args.source),
+                archive=args.archive,
             )
         seconds = run_bronze(raw, config)
         print(f"bronze ran {seconds / 60:.1f} minutes")

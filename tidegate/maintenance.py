@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.config import Layout
-from tidegate.storage import delete_path, path_exists
+from tidegate.storage import children, delete_path, file_uri, path_exists
 
 LAYERS = ("bronze", "silver")
 
@@ -41,13 +41,24 @@ def _layer_tables(spark: SparkSession, layout: Layout, layer: str) -> list[str]:
     # The catalog listing is metadata: one row per template.
     names = [r.tableName for r in list_tables(spark, database, base).collect()]
     wanted = (n for n in names if n == base or (layer == "silver" and n.startswith(f"{base}_")))
-    return [f"{database}.{n}" for n in sorted(wanted)]
+    home = layout.bronze() if layer == "bronze" else layout.silver()
+    tables = [f"{database}.{n}" for n in sorted(wanted)]
+    return [t for t in tables if _lies_in(spark, t, home)]
+
+
+def _lies_in(spark: SparkSession, table: str, folder: str) -> bool:
+    """Whether a table's data is the folder or in it: its name alone does not make it ours."""
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    # A column may have that name too; the table's own facts come last.
+    places = [r.data_type for r in facts.collect()]
+    home = file_uri(spark, folder).rstrip("/")
+    return bool(places) and f"{file_uri(spark, places[-1]).rstrip('/')}/".startswith(f"{home}/")
 
 
 def reset_layer(
     spark: SparkSession, layout: Layout, layer: str, dry_run: bool = True
 ) -> Reset:
-    """Drop the tables of one layer and delete its data, checkpoints and rejects.
+    """Drop the tables of one layer and delete its data, checkpoints, rejects and metrics.
 
     Only lists them unless ``dry_run`` is False.  Everything deleted lies under the
     layout's own root.
@@ -63,6 +74,9 @@ def reset_layer(
             *[layout.checkpoint(c) for c in ("silver", "silver_single", "quarantine")],
         ],
     }[layer] + [layout.quarantine(layer)]
+    for name in sorted(children(spark, layout.metrics())):
+        if (name == "target=bronze") == (layer == "bronze"):
+            folders.append(f"{layout.metrics()}/{name}")
     paths = tuple(p for p in folders if path_exists(spark, p))
     tables = tuple(_layer_tables(spark, layout, layer))
     if not dry_run:

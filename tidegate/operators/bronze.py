@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions import header, row_hash
+from tidegate.functions import header, header_time, row_hash
 
 
 def load_time_column(load_time: Column | datetime | str | None) -> Column:
@@ -30,17 +30,18 @@ def to_bronze(raw: DataFrame, load_time: Column | datetime | str | None = None)
     return (
         raw.select(*bus, F.col("body").cast("string").alias("body"))
         .withColumn("h", header(F.col("body")))
+        .withColumn("sent", header_time(F.col("h.enqueuedTime")))
         .select(
             *bus,
             "body",
             "h.templateId",
             "h.templateName",
             "h.deviceId",
-            F.col("h.enqueuedTime").alias("deviceEnqueuedTime"),
+            F.col("sent").alias("deviceEnqueuedTime"),
             row_hash(F.col("body")).alias("rowhash"),
             load_time_column(load_time).alias("loadDatetime"),
-            F.year("h.enqueuedTime").alias("yearDevice"),
-            F.month("h.enqueuedTime").alias("monthDevice"),
+            F.year("sent").alias("yearDevice"),
+            F.month("sent").alias("monthDevice"),
         )
     )
 

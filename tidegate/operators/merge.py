@@ -297,15 +297,13 @@ def merge_insert(batch: DataFrame, target: Target, spec: MergeSpec = BRONZE_MERG
 def _first_load(batch: DataFrame, target: Target, spec: MergeSpec) -> MergeStats:
     """Create the target, possibly from all of history, without keeping the batch."""
     seen = Observation()
-    rows = batch.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(spec.key).isNull()).alias("null_keys"),
-    )
+    totals = (F.count(F.lit(1)).alias("rows"), F.count_if(F.col(spec.key).isNull()).alias("null_keys"))
+    rows = batch.observe(seen, *totals)
     if spec.mode == "strict":
         rows = rows.where(F.col(spec.key).isNotNull())
         if spec.copies == "expected" or (spec.copies == "unknown" and has_copies(batch, spec.key)):
             rows = first_copy(rows, spec)
     inserted = target.append(rows)
-    counts = observed(seen)
-    return MergeStats(counts.get("rows", 0), counts.get("null_keys", 0), 0, inserted)
+    # A batch without any key leaves an empty plan and no metrics; its rows still count.
+    counts = observed(seen) or batch.agg(*totals).first().asDict()
+    return MergeStats(counts["rows"], counts["null_keys"], 0, inserted)

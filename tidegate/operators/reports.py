@@ -66,20 +66,22 @@ def drift(bronze: DataFrame, templates: Iterable[Template]) -> DataFrame:
     """Telemetry fields that messages carry but their template lacks, with counts.
 
     The known names of a template are subtracted inside the row, so only unknown
-    fields are exploded and counted.
+    fields are exploded and counted.  The templates, one row each, are broadcast.
     """
     templates = sorted(templates, key=lambda t: t.asset)
     if not templates:
         return bronze.sparkSession.createDataFrame(
             [], "templateName string, field string, messages bigint"
         )
-    known = F.lit(None).cast("array<string>")
-    for t in templates:
-        names = F.array(*[F.lit(name) for name, _, _ in t.columns]).cast("array<string>")
-        known = F.when(F.col("templateName") == F.lit(t.asset), names).otherwise(known)
-    unknown = F.array_except(F.map_keys(telemetry_text(F.col("body"))), known)
+    known = bronze.sparkSession.createDataFrame(
+        [(t.asset, [name for name, _, _ in t.columns]) for t in templates],
+        "templateName string, known array<string>",
+    )
+    unknown = F.array_except(F.map_keys(telemetry_text(F.col("body"))), F.col("known"))
     return (
         bronze.where(F.col("templateName").isin([t.asset for t in templates]))
+        .select("templateName", "body")
+        .join(F.broadcast(known), "templateName")
         .select("templateName", F.explode(unknown).alias("field"))
         .groupBy("templateName", "field")
         .agg(F.count(F.lit(1)).alias("messages"))

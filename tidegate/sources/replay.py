@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate import schemas
-from tidegate.storage import Target, path_exists
+from tidegate.storage import Target, children, path_exists
+
+# Without it a file source ignores files that are a week older than its newest one.
+MAX_FILE_AGE = "36500d"
 
 
 def look_back(minutes: float, now: datetime | None = None) -> datetime:
@@ -63,6 +66,13 @@ def bus_batch(
     return between_positions(spark.read.schema(schema).parquet(location), start, end)
 
 
+def landing_schema(spark: SparkSession, location: str) -> T.StructType:
+    """Body and enqueued time, and all further bus columns of the files that have landed."""
+    found = spark.read.parquet(location).schema if children(spark, location) else []
+    taken = {n.lower() for n in (*schemas.RAW.names, *schemas.BRONZE.names)}
+    return T.StructType([*schemas.RAW, *(f for f in found if f.name.lower() not in taken)])
+
+
 def bus_stream(
     spark: SparkSession,
     location: str,
@@ -72,15 +82,20 @@ def bus_stream(
     max_bytes: int | None = None,
     watermark: str | None = None,
     schema: T.StructType = schemas.RAW,
+    archive: str | None = None,
 ) -> DataFrame:
-    """Unbounded read of bus records that land as Parquet files.
+    """Unbounded read of bus records that land as Parquet files, whatever their age.
 
     ``schema`` may name further bus columns, such as partition and offset.
+    The stream remembers each file it has read while it lies there; with ``archive``
+    files are moved to that folder once they are done with.
     ``watermark`` declares a delay on the enqueued time.  Nothing downstream keeps
     state, so it drops no late record; leave it out unless a stateful operator is
     added after this source.
     """
     reader = _limited(spark.readStream.schema(schema), max_files, max_bytes)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     raw = between_positions(reader.parquet(location), start, end)
     return raw if watermark is None else raw.withWatermark("enqueuedTime", watermark)
 
@@ -92,7 +107,10 @@ def kafka_options(
     end: datetime | None = None,
     max_offsets: int | None = None,
 ) -> dict[str, str]:
-    """Options for Spark's Kafka source with positions by time."""
+    """Options for Spark's Kafka source with positions by time.
+
+    Spark takes an end for bounded reads only; end a stream with ``between_positions``.
+    """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
     if max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
@@ -105,10 +123,12 @@ def kafka_options(
 
 
 def kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """Bus records from Kafka; needs Spark's Kafka package on the class path."""
+    """Bus records from Kafka with their bus columns; needs Spark's Kafka package."""
     records = spark.readStream.format("kafka").options(**options).load()
     return records.select(
-        F.col("value").alias("body"), F.col("timestamp").alias("enqueuedTime")
+        F.col("value").alias("body"),
+        F.col("timestamp").alias("enqueuedTime"),
+        *("key", "topic", "partition", "offset"),
     )
 
 
@@ -124,7 +144,11 @@ def bronze_stream(
 
 
 def _limited(reader, max_files: int | None, max_bytes: int | None):
-    """Bound a micro-batch; Spark takes one bound only, and a number of files wins."""
+    """Take files of any age and bound a micro-batch.
+
+    Spark takes one bound only, and a number of files wins.
+    """
+    reader = reader.option("maxFileAge", MAX_FILE_AGE)
     if max_files is not None:
         return reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:

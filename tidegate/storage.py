@@ -40,6 +40,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, without hidden and working files."""
+    hadoop, fs = _path(spark, path)
+    if not fs.exists(hadoop):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(hadoop)]
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     hadoop, fs = _path(spark, path)
     return fs.delete(hadoop, True)
@@ -64,14 +73,18 @@ def set_write_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
-def observed(observation: Observation) -> dict[str, int]:
-    """Metrics of a finished action; none if the optimizer saw that the frame is empty."""
+def observed(observation: Observation) -> dict[str, int] | None:
+    """Metrics of a finished action, None if it has none.
+
+    Adaptive execution drops them together with a plan it finds to be empty, so
+    nothing may be decided by metrics that are missing.
+    """
     try:
-        return observation.get
+        return observation.get or None
     except Py4JJavaError as e:
         if "InterruptedException" in str(e):
             raise
-        return {}
+        return None
 
 
 def write_batch_folder(rows: DataFrame, folder: str, batch_id: int) -> None:
@@ -111,9 +124,41 @@ class Target:
     sort_by: tuple[str, ...] = ()
 
     def exists(self, spark: SparkSession) -> bool:
-        if self.table is not None:
-            return spark.catalog.tableExists(self.table)
-        return path_exists(spark, self.path)
+        """Whether there is anything to merge with.
+
+        Data that the catalog does not know (the name was added later, or the table
+        was dropped) is registered, never written over.
+        """
+        if self.table is None:
+            return path_exists(spark, self.path)
+        if spark.catalog.tableExists(self.table):
+            return True
+        if not children(spark, self.path):
+            return False
+        self._register(spark)
+        return True
+
+    def _register(self, spark: SparkSession) -> None:
+        """Make a table of the files in ``path``, with all columns they have."""
+        own = {f.name.lower(): f for f in self.schema}
+        by_name = {c.lower() for c in self.partition_by}
+        fields = {name: f for name, f in own.items() if name not in by_name}
+        for found in spark.read.option("mergeSchema", "true").parquet(self.path).schema:
+            name = found.name.lower()
+            if name in by_name:
+                continue
+            if name in own and own[name].dataType != found.dataType:
+                raise ValueError(
+                    f"{self.path} has {found.name} as {found.dataType.simpleString()}, "
+                    f"not {own[name].dataType.simpleString()}: rebuild it before naming it {self.table}"
+                )
+            fields.setdefault(name, found)
+        columns = [*fields.values(), *(self.schema[c] for c in self.partition_by)]
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+        by = ", ".join(f"`{c}`" for c in self.partition_by)
+        place = file_uri(spark, self.path).replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {self.table} ({listed}) USING parquet PARTITIONED BY ({by}) LOCATION '{place}'")
+        spark.sql(f"MSCK REPAIR TABLE {self.table}")
 
     def read(self, spark: SparkSession, slots: Sequence[Slot] | None = None) -> DataFrame:
         """The dataset, or only the partitions in ``slots``.
@@ -158,11 +203,12 @@ class Target:
             writer.parquet(self.path)
         else:
             writer.format("parquet").option("path", self.path).saveAsTable(self.table)
-        return observed(written).get("rows", 0)
+        # Without metrics the plan was found to be empty: nothing was written.
+        return (observed(written) or {}).get("rows", 0)
 
     def _evolve(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
         """Add new columns to the table; columns the rows lack are filled with null."""
-        if not spark.catalog.tableExists(self.table):
+        if not self.exists(spark):
             return rows
         have = {f.name.lower(): f for f in spark.table(self.table).schema}
         for field in self.schema:

@@ -28,7 +28,7 @@ from tidegate.operators.merge import (
 from tidegate.operators.silver import to_silver
 from tidegate.sources.replay import bronze_stream
 from tidegate.sources.templates import Template
-from tidegate.storage import Target, write_batch_folder
+from tidegate.storage import Target, path_exists, write_batch_folder
 from tidegate.streaming import metrics
 from tidegate.streaming.runner import OnBatch, await_within, run_stream
 
@@ -107,6 +107,13 @@ def start_bronze(
     )
 
 
+def _refuse_other_form(spark: SparkSession, layout: Layout, checkpoints: Sequence[str]) -> None:
+    """Both forms number their own batches and name folders after them: one layout, one form."""
+    for name in checkpoints:
+        if path_exists(spark, layout.checkpoint(name)):
+            raise ValueError(f"{layout.root} is fed by the other stream form (checkpoint {name}): reset silver first")
+
+
 @dataclass
 class FanOut:
     """Running silver queries by asset, and the assets that failed to start."""
@@ -141,6 +148,7 @@ def start_silver(
     messages that no template takes; it judges by the templates known at its time.
     """
     asset_names(templates)
+    _refuse_other_form(spark, layout, ["silver_single"])
     started = FanOut()
     if rejects:
         bronze = bronze_stream(spark, bronze_target(layout), max_files, max_bytes)
@@ -214,6 +222,7 @@ def start_silver_single(
     Cheaper than one query per template when there are many, but its checkpoint is
     shared: fill a template that is added later with ``rebuild_silver`` first.
     """
+    _refuse_other_form(spark, layout, ["silver", "quarantine"])
     bronze = bronze_stream(spark, bronze_target(layout), max_files, max_bytes)
     sink = silver_sink(layout, templates, mode)
     return run_stream(bronze, sink, layout.checkpoint("silver_single"), trigger)
