@@ -125,7 +125,8 @@ def pieces(docs: DataFrame, weights: tuple[int, ...], most: float, block: int, s
     low = F.greatest(F.lit(0).cast("long"), F.col("index") * block - F.col("start"))
     high = F.least(F.col("size"), (F.col("index") + 1) * block - F.col("start"))
     spans = spans.select("number", "index", "bucket", "turn", low.alias("low"), (high - low).alias("length"))
-    return places, sources, spans.join(uses, ["number", "index"])
+    # The uses grow with the words; their size before the slots are listed would pass for small.
+    return places, sources, spans.join(uses.hint("merge"), ["number", "index"])
 
 
 def taken(
