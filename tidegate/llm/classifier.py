@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Words, mix, slices
+from tidegate.llm.common import Words, distinct, mix, slices
 
 BUCKETS = 1 << 17
 U = np.uint64
@@ -66,7 +66,7 @@ def ngrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         add(own, 1, 2)
         for width in (1, 2, 3):
             add(shape, 2, width)
-    flat = np.unique(np.concatenate(keys)) if keys else np.empty(0, np.int64)
+    flat = distinct(np.concatenate(keys)) if keys else np.empty(0, np.int64)
     return (flat % BUCKETS).astype(np.int32), np.searchsorted(flat, np.arange(n + 1) * BUCKETS)
 
 
