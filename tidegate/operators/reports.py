@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.operators.quarantine import telemetry_text
-from tidegate.operators.silver import of_template
 from tidegate.sources.templates import Template
 
 
@@ -88,26 +87,41 @@ def drift(bronze: DataFrame, templates: Iterable[Template]) -> DataFrame:
     )
 
 
-def mistyped(bronze: DataFrame, template: Template) -> DataFrame:
-    """Fields of one template whose reading did not fit the type, with counts.
+def mistyped(bronze: DataFrame, templates: Iterable[Template]) -> DataFrame:
+    """Fields whose reading did not fit the type in their template, with counts.
 
-    Such a reading is null in silver, like one that was not sent.
+    Such a reading is null in silver, like one that was not sent.  All templates share
+    one pass; those with the same fields share a parse.
     """
-    typed = F.from_json("body", T.StructType([T.StructField("telemetry", template.json_schema())]))
-    lost = [
-        F.when(
-            F.col("sent").getItem(name).isNotNull() & F.col("typed").getField(name).isNull(), F.lit(name)
-        )
-        for name, _, _ in template.columns
-    ]
+    alike: dict[str, list[Template]] = {}
+    for t in sorted(templates, key=lambda t: t.asset):
+        alike.setdefault(t.json_schema().json(), []).append(t)
+    if not alike:
+        return bronze.sparkSession.createDataFrame([], "templateName string, field string, messages bigint")
+    lost = None
+    for same in alike.values():
+        found = _lost_fields(same[0])
+        named = F.col("templateName").isin([t.asset for t in same])
+        lost = F.when(named, found) if lost is None else lost.when(named, found)
+    assets = [t.asset for same in alike.values() for t in same]
     return (
-        of_template(bronze, template.asset)
-        .select(
-            "templateName",
-            typed.getField("telemetry").alias("typed"),
-            telemetry_text(F.col("body")).alias("sent"),
-        )
-        .select("templateName", F.explode(F.array_compact(F.array(*lost))).alias("field"))
+        bronze.where(F.col("templateName").isin(assets))
+        .select("templateName", "body", telemetry_text(F.col("body")).alias("sent"))
+        .select("templateName", F.explode(lost).alias("field"))
         .groupBy("templateName", "field")
         .agg(F.count(F.lit(1)).alias("messages"))
     )
+
+
+def _lost_fields(template: Template) -> Column:
+    """Names of the fields that were sent but are null when parsed; the body is parsed once."""
+    typed = F.from_json("body", T.StructType([T.StructField("telemetry", template.json_schema())]))
+
+    def names(parsed: Column) -> Column:
+        nulls = [
+            F.when(F.col("sent").getItem(name).isNotNull() & parsed.getField(name).isNull(), F.lit(name))
+            for name, _, _ in template.columns
+        ]
+        return F.array_compact(F.array(*nulls))
+
+    return F.transform(F.array(typed.getField("telemetry")), names).getItem(0)

@@ -121,11 +121,11 @@ CHECKS: dict[str, str] = {
     "f6_load_time": f"{EVENTS} select rowhash, '{LOADED}.000000' as \"loadDatetime\" from bronze",
     "f7_f9_device_time": f"""{EVENTS}
         select rowhash, {_text('sent')} as sent, strftime(sent, '%Y-%m-%d') as sent_date
-        from bronze where template is not null""",
+        from bronze""",
     "f8_pacific_time": f"""{EVENTS}
         select rowhash, {_text('sent')} as utc_time,
                {_text("timezone('America/Los_Angeles', timezone('UTC', sent))")} as pacific_time
-        from bronze where sent is not null""",
+        from bronze""",
     "f10_station_id": f"""{EVENTS}
         select rowhash, device as "deviceId", try_cast(split_part(device, '-', 1) as int) as stationid
         from bronze""",
@@ -136,7 +136,7 @@ CHECKS: dict[str, str] = {
                (jb->>'$.enqueuedTime') as "enqueuedTime", device as "deviceId", template as "templateName",
                (jb->'$.messageProperties'->>'iothub-creation-time-utc') as created,
                case when {HAS_TELEMETRY} then 0 else 1 end as flagged
-        from bronze where template = 'Line N'""",
+        from bronze""",
     "p5_template_filter": f"{EVENTS} select rowhash, body from bronze where template = 'view'",
     "p6_case_insensitive": f"{EVENTS} select rowhash, device as \"deviceId\" from bronze where template = 'view'",
     "p7_flagged": f"""{EVENTS}
@@ -145,7 +145,9 @@ CHECKS: dict[str, str] = {
         f"f3_p3_silver_{asset}": _silver(EVENTS, f"template = '{asset}'", EVENT_TELEMETRY)
         for asset in fx.EVENT_ASSETS
     },
-    "f3_p3_silver_all_types": _silver(LINES, "template = 'Line N'", LINE_TELEMETRY),
+    "f3_p3_silver_all_types": _silver(
+        LINES, f"template in ({_names(fx.LINE_ASSETS)})", LINE_TELEMETRY
+    ),
     "j1_merge_compat": f"""{EVENTS}, first_half as (select * from raw where enq <= timestamp '{MID_MONTH}')
         select sha256(body) as rowhash, count(*) as copies
         from (select body from first_half union all
@@ -155,8 +157,12 @@ CHECKS: dict[str, str] = {
     "j1_merge_strict": STRICT,
     "j1_merge_pruned_equals_plain": LINE_COPIES,
     "j1_merge_large_batch": LINE_COPIES,
+    "j1_merge_time_of_day": f"""{EVENTS}
+        select distinct sha256(regexp_replace(body, '"enqueuedTime":"[0-9-]+T', '"enqueuedTime":"')) as rowhash,
+               cast(1 as bigint) as copies, false as dated
+        from raw where body is not null""",
     "j1_merge_undated": "select distinct sha256(text) as rowhash, cast(1 as bigint) as copies from documents",
-    "k2_bootstrap_then_merge": VIEW,
+    "k2_bootstrap_then_merge": _silver(EVENTS, f"template in ({_names(fx.EVENT_ASSETS)})"),
     "t6_fanout_all_templates": _silver(EVENTS, f"template in ({_names(fx.EVENT_ASSETS)})"),
     "t6_fanout_rejects": f"""{EVENTS}
         select rowhash, {REASON} as reason from bronze
@@ -171,6 +177,7 @@ CHECKS: dict[str, str] = {
     ),
     "a1_batch_metrics": f"{BATCHES} select * from metrics",
     "l2_last_batch": f"{BATCHES} select * from metrics order by batch_id desc limit 1",
+    "c1_table_over_existing_folder": f"{EVENTS} select rowhash, cast(1 as bigint) as copies from bronze",
     "c2_list_tables": "select distinct 'silver_' || event_type as \"tableName\" from events",
     "d5_reset_dry_run": f"""{EVENTS}
         select 'silver_' || template as "tableName", count(*) as row_count from bronze
@@ -202,6 +209,6 @@ CHECKS: dict[str, str] = {
         where field not in ('value', 'k') group by 1, 2""",
     "d6_mistyped": f"""{EVENTS}
         select template as "templateName", 'value' as field, count(*) as messages from bronze
-        where template = 'view' and json_type(jb, '$.telemetry.value') = 'VARCHAR' group by 1""",
-    "d8_rebuild": VIEW,
+        where template in ({_names(fx.EVENT_ASSETS)}) and json_type(jb, '$.telemetry.value') = 'VARCHAR' group by 1""",
+    "d8_rebuild": _silver(EVENTS, f"template in ({_names(fx.EVENT_ASSETS)})"),
 }

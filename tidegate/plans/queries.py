@@ -7,7 +7,7 @@ The load time is fixed or left out, as it differs between runs.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -222,7 +222,7 @@ def f6_load_time(spark, sf_dir):
 @query("f7_f9_device_time")
 def f7_f9_device_time(spark, sf_dir):
     sent = utc_time(F.get_json_object("body", "$.enqueuedTime"))
-    bronze = event_bronze(spark, sf_dir).where("templateName is not null")
+    bronze = event_bronze(spark, sf_dir)
     return show(
         bronze.select("rowhash", sent.alias("sent")).withColumn("sent_date", utc_date(F.col("sent")))
     )
@@ -230,7 +230,7 @@ def f7_f9_device_time(spark, sf_dir):
 
 @query("f8_pacific_time")
 def f8_pacific_time(spark, sf_dir):
-    bronze = event_bronze(spark, sf_dir).where("deviceEnqueuedTime is not null")
+    bronze = event_bronze(spark, sf_dir)
     return show(
         bronze.select(
             "rowhash",
@@ -251,8 +251,7 @@ def f10_station_id(spark, sf_dir):
 def f3_envelope_fields(spark, sf_dir):
     """All fields of the envelope, with an object kept as text."""
     template = fx.line_templates()["Line N"]
-    bronze = of_template(bronze_of(fx.line_raw(spark, sf_dir), LOADED), template.asset)
-    parsed = parse_envelope(bronze, template)
+    parsed = parse_envelope(bronze_of(fx.line_raw(spark, sf_dir), LOADED), template)
     names = [f.name for f in schemas.ENVELOPE_FIELDS if f.name != "messageProperties"]
     return parsed.select(
         "rowhash",
@@ -303,7 +302,7 @@ for _asset in fx.EVENT_ASSETS:
 def f3_p3_silver_all_types(spark, sf_dir):
     """Float, double, integer and boolean telemetry."""
     bronze = bronze_of(fx.line_raw(spark, sf_dir), LOADED)
-    silver = to_silver(bronze, fx.line_templates()["Line N"])
+    silver = reduce(DataFrame.unionByName, (to_silver(bronze, t) for t in fx.line_templates().values()))
     return show(silver.withColumn("discount", F.col("discount").cast("double")), drop=["loaddatetime"])
 
 
@@ -357,6 +356,18 @@ def j1_merge_undated(spark, sf_dir):
     return copies_by_hash(target.read(spark))
 
 
+@query("j1_merge_time_of_day")
+def j1_merge_time_of_day(spark, sf_dir):
+    """Device times without a date give no instant, so a message has one place on any day."""
+    target = bronze_target(new_layout(spark, "j1t"))
+    raw = fx.event_raw(spark, sf_dir)
+    dateless = F.regexp_replace("body", '"enqueuedTime":"[0-9-]+T', '"enqueuedTime":"')
+    for batch in (between_positions(raw, end=MID_MONTH), raw):
+        merge_insert(to_bronze(batch.withColumn("body", dateless), LOADED), target)
+    dated = F.bool_or(F.col("deviceEnqueuedTime").isNotNull()).alias("dated")
+    return target.read(spark).groupBy("rowhash").agg(F.count(F.lit(1)).alias("copies"), dated)
+
+
 # -- streams --------------------------------------------------------------------
 
 
@@ -364,13 +375,13 @@ def j1_merge_undated(spark, sf_dir):
 def k2_bootstrap_then_merge(spark, sf_dir):
     """Silver is created from all history, then continued on the same checkpoint."""
     layout = new_layout(spark, "k2")
-    view = {"view": fx.event_templates()["view"]}
+    templates = fx.event_templates()
     raw = fx.event_raw(spark, sf_dir)
     deliver(spark, layout, between_positions(raw, end=MID_MONTH))
-    start_silver(spark, layout, view, trigger=ONCE).wait()
+    start_silver(spark, layout, templates, trigger=ONCE).wait()
     deliver(spark, layout, raw)
-    start_silver(spark, layout, view, trigger=ONCE).wait()
-    return show(silver_target(layout, view["view"]).read(spark), drop=["loaddatetime"])
+    start_silver(spark, layout, templates, trigger=ONCE).wait()
+    return show(read_silver(spark, layout, templates.values()), drop=["loaddatetime"])
 
 
 @query("t6_fanout_all_templates")
@@ -455,6 +466,21 @@ def _silver_tables(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, L
     return database, layout
 
 
+@query("c1_table_over_existing_folder")
+def c1_table_over_existing_folder(spark, sf_dir):
+    """A folder that gets a table name, which is dropped later on, keeps all its messages."""
+    root = scratch_folder(spark, "c1")
+    database = root.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+    raw = fx.event_raw(spark, sf_dir)
+    merge_insert(to_bronze(between_positions(raw, end=MID_MONTH), LOADED), bronze_target(Layout(root)))
+    named = bronze_target(Layout(root, f"{database}.bronze"))
+    merge_insert(to_bronze(between_positions(raw, end=END), LOADED), named)
+    spark.sql(f"DROP TABLE {database}.bronze")
+    merge_insert(to_bronze(between_positions(raw, start=MID_MONTH), LOADED), named)
+    return copies_by_hash(named.read(spark))
+
+
 @query("c2_list_tables")
 def c2_list_tables(spark, sf_dir):
     database, _ = _silver_tables(spark, sf_dir, "c2")
@@ -508,14 +534,15 @@ def d6_drift(spark, sf_dir):
 
 @query("d6_mistyped")
 def d6_mistyped(spark, sf_dir):
-    return reports.mistyped(event_bronze(spark, sf_dir), fx.event_templates()["view"])
+    return reports.mistyped(event_bronze(spark, sf_dir), fx.event_templates().values())
 
 
 @query("d8_rebuild")
 def d8_rebuild(spark, sf_dir):
     layout = new_layout(spark, "d8")
-    view = fx.event_templates()["view"]
+    templates = fx.event_templates()
     merge_insert(to_bronze(fx.event_raw(spark, sf_dir), LOADED), bronze_target(layout), BRONZE_MERGE)
     for _ in range(2):
-        rebuild_silver(spark, layout, view)
-    return show(silver_target(layout, view).read(spark), drop=["loaddatetime"])
+        for t in templates.values():
+            rebuild_silver(spark, layout, t)
+    return show(read_silver(spark, layout, templates.values()), drop=["loaddatetime"])
