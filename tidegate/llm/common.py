@@ -78,6 +78,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             # A copy: some string kernels misread arrays whose buffers do not start at their first row.
             yield batch.take(pa.array(np.arange(start, stop)))
             start = stop
+        # Workers live on between tasks; what one holds in reserve is missing to the others of its executor.
+        pa.default_memory_pool().release_unused()
 
 
 class Words:

@@ -314,6 +314,7 @@ def within(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
             held, count = t.slice(whole).combine_chunks().to_batches(), t.num_rows - whole
         if held:
             yield from pairs_of(pa.Table.from_batches(held))
+        pa.default_memory_pool().release_unused()
 
     return members.mapInArrow(run, PAIRS).distinct()
 
