@@ -78,6 +78,29 @@ def test_jaccard_keeps_one(docs, rows):
     assert {r["doc_id"] for r in stay.collect()} - {None} == set(want.values())
 
 
+def test_jaccard_keeps_one_whatever_the_ids(spark):
+    base = [[f"{g}w{k}" for k in range(60)] for g in range(6)]
+    near = lambda g, k: " ".join(base[g][:-1] + [f"other{k}"])
+    texts = [(g, " ".join(base[g])) for g in range(6)]
+    rows = [
+        (None, texts[0][1]), (None, near(0, 1)), (None, near(0, 2)),  # null ids only
+        (7, texts[1][1]), (None, near(1, 1)), (None, near(1, 1)),  # an id and null ids
+        (5, texts[2][1]), (9, near(2, 1)), (3, texts[3][1]), (5, near(3, 1)),  # 5 names one component and belongs to another
+        (5, near(2, 3)),  # and it is twice in its own
+        (11, texts[4][1]), (11, texts[4][1]),  # a repeated row
+        (None, texts[5][1]), (None, texts[5][1]), (None, texts[5][1]),
+        (20, ""), (20, ""), (20, None), (20, " "), (21, None), (None, ""), (None, ""), (None, None),  # without words
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = [tuple(r) for r in jaccard.distinct_documents(frame).collect()]
+    groups = Counter((t.split("w")[0], i) for i, t in found if t and t.strip())
+    assert groups == Counter({("0", None): 1, ("1", 7): 1, ("2", 5): 1, ("3", 3): 1, ("4", 11): 1, ("5", None): 1})
+    blank = Counter((i, t or "") for i, t in found if not (t and t.strip()))
+    assert blank == Counter({(20, ""): 1, (20, " "): 1, (21, ""): 1, (None, ""): 3})
+    again = [tuple(r) for r in jaccard.distinct_documents(frame.repartition(2)).collect()]
+    assert {r for r in again if r[1]} == {r for r in found if r[1]}
+
+
 def test_jaccard_empty(none):
     assert jaccard.similar(none).count() == 0
 

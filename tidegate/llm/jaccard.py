@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Words, join_groups, mix, slices, stored
+from tidegate.llm.common import SPACE_CHARS, Words, join_groups, mix, slices, stored
 
 BLOCK = 1000  # classes of a group that one task compares
 COUNTED = 8  # fragments by which overlaps are counted
@@ -192,18 +192,21 @@ def set_keys(flat: np.ndarray, bounds: np.ndarray) -> list[bytes | None]:
     return [k.tobytes() if m else None for k, m in zip(keys, n.tolist())]
 
 
-SETS = "doc_id long, n long, key binary, first boolean, scheme int, cells binary, signatures array<long>"
+SETS = "doc_id long, n long, key binary, first boolean, scheme int, cells binary, signatures array<long>, mark binary"
 
 
 def read_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """One row per document and size class it takes part in; ``first`` marks one row of each document."""
+    """One row per document and size class it takes part in; ``first`` marks one row of each document.
+
+    A column ``mark`` of ``docs`` comes along in the first rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             flat, bounds = sets(part.column("text"), width)
             n = np.diff(bounds)
             keys = np.array(set_keys(flat, bounds), object)
-            ids = part.column("doc_id")
+            ids, marks = part.column("doc_id"), part.column("mark")
             main = np.searchsorted(LOWS, n, side="right") - 1
             classes = [(np.arange(len(n)), main)]
             while True:  # the classes of larger sets it may link with
@@ -227,12 +230,12 @@ def read_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                         pa.array(scheme.astype(np.int32)),
                         pa.array(cells(some, limits, grade), pa.binary()),
                         pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64))),
+                        pa.nulls(len(rows), pa.binary()) if turn else marks.take(pa.array(rows)),
                     ],
                     [c.split()[0] for c in SETS.split(", ")],
                 )
 
-    read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return read.mapInArrow(run, SETS)
+    return docs.select("doc_id", "text", "mark").mapInArrow(run, SETS)
 
 
 # --- candidate pairs -------------------------------------------------------------------------------
@@ -423,18 +426,17 @@ def candidates(members: DataFrame, labels: DataFrame | None, percent: int) -> Da
     return within(dealt.select(*order, "block", "key", "n", "cells", "label"), percent, labels is None)
 
 
-def similar(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``."""
+def connected(read: DataFrame, width: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The sets of ``doc_id, text, mark``, and the label of every class that links with another."""
     percent = round(100 * threshold)
     if not 70 <= percent <= 100:
         raise ValueError("the threshold must be from 0.7 to 1")
-    all_sets = stored(read_sets(docs, width, percent), "sets")
+    all_sets = stored(read_sets(read, width, percent), "sets")
     members = stored(members_of(all_sets), "members")
     first = stored(candidates(members, None, percent), "nearest")
     # Texts of the classes in question, by one document each.
     asked = first.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     one = all_sets.where("first").join(asked, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("asked_id"))
-    read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     texts = read.join(one, F.col("doc_id").eqNullSafe(F.col("asked_id")), "left_semi")
     grams = counted_fragments(texts.select("doc_id", "text"), width).join(one.select("key"), "key", "left_semi")
     grams = stored(grams.dropDuplicates(["key", "fragment"]), "grams")
@@ -444,7 +446,13 @@ def similar(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFram
     more = stored(linked(more, grams, percent), "links")
     if not more.isEmpty():
         labels = stored(components(labels.select(F.col("key").alias("a"), F.col("label").alias("b")).unionByName(more)), "labels")
+    return all_sets, labels
+
 
+def similar(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id``."""
+    read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    all_sets, labels = connected(read.withColumn("mark", F.lit(None).cast("binary")), width, threshold)
     own = all_sets.where("first")
     classes = own.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"))
     classes = stored(classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")), "classes")
@@ -458,11 +466,32 @@ def similar(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFram
 
 
 def distinct_documents(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document that gives it its name.
+    """The rows of ``docs`` that stay: one of each component, with the smallest id; null ids come last.
 
-    Rows without a text, or with an id that repeats, stay where that id names a component.
+    Among rows with that id a digest of id and text decides, and of rows that repeat both one stays.  Rows without words are alone:
+    with an id, one of each id and text stays (a null text counts as empty); without an id all stay.
     """
-    found = similar(docs, width, threshold)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stay_id")).distinct()
-    own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("doc_id"))
-    return own.join(stay, F.col("doc_id").eqNullSafe(F.col("stay_id")), "left_semi").select("row.*")
+    ident, text = docs["doc_id"].cast("long"), docs["text"].cast("string")
+    own = F.concat(F.coalesce(ident.cast("string"), F.lit("")), F.lit("\n"), F.coalesce(text, F.lit("")))
+    mark = F.unhex(F.sha2(own, 256)).alias("mark")
+    all_sets, labels = connected(docs.select(ident.alias("doc_id"), text.alias("text"), mark), width, threshold)
+    first = all_sets.where("first")
+    best = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    classes = first.where("n > 0").groupBy("key").agg(F.min(best).alias("best"))
+    classes = classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    chosen = classes.groupBy("label").agg(F.min("best").alias("best")).select("best.mark")
+    chosen = chosen.unionByName(first.where("n = 0 and doc_id is not null").select("mark").distinct()).withColumn("stays", F.lit(True))
+    # All frequent marks are named, those that go too, so that no task gathers their rows.
+    marks = stored(first.where("n > 0 or doc_id is not null").groupBy("mark").agg(F.count(F.lit(1)).alias("times")), "marks")
+    total = marks.agg(F.sum("times")).first()[0] or 0
+    marks = marks.join(chosen, "mark", "left").where(F.col("stays") | (F.col("times") * 1000 > F.lit(total)))
+    marks = stored(marks.withColumn("stays", F.coalesce("stays", F.lit(False))), "stay")
+    wordless = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS)) == ""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), mark, (wordless & ident.isNull()).alias("alone"))
+    named = rows.where("not alone").select("row", "mark")
+    met = join_groups(named, marks, ["mark"], "times", "inner").where("stays")
+    alone = rows.where("alone").select("row.*")
+    if marks.where("stays and times > 1").isEmpty():
+        return met.select("row.*").unionByName(alone)
+    repeated = met.where("times > 1").dropDuplicates(["mark"])
+    return met.where("times = 1").unionByName(repeated).select("row.*").unionByName(alone)
