@@ -280,6 +280,23 @@ def test_urls_learn(spark):
     assert sum(found[1000 + k] == ("block" if k % 2 else "allow") for k in range(40)) >= 36
 
 
+def test_urls_suffixes_of_all_labels(spark):
+    """Only the share of the suffix tells the classes apart, and most suffixes are not in the sample."""
+    rules = (("allow", "net", "/a/"), ("block", "net", "/b/"))
+    rows = [(k, f"http://s{k % 200:03}.net/{'b' if k % 200 % 2 else 'a'}/{k:06}") for k in range(12_000)]
+    rows += [(100_000 + k, f"http://s{k:03}.net/c/000000") for k in range(200)]
+    found = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules, sample=60).collect()}
+    assert len(found) == len(rows)
+    assert sum(found[100_000 + k] == ("block" if k % 2 else "allow") for k in range(200)) >= 190
+
+
+def test_url_suffix_shares(spark):
+    labelled = spark.createDataFrame([("a", "u1", 1.0), ("a", "u1", 1.0), ("a", "u2", 0.0), ("b", "u3", 1.0)], "suffix string, url string, label double")
+    others = spark.createDataFrame([("a",), ("c",), ("c",)], "suffix string")
+    found = {r["suffix"]: (r["suffix_blocked"], r["judged"]) for r in urls.suffix_shares(labelled, others, 0.5).collect()}
+    assert found == {"a": (11 / 22, 1), "b": (11 / 21, 0), "c": (0.5, 2)}
+
+
 def test_urls_empty(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 

@@ -4,8 +4,8 @@ Rules (host, path) fit their host and its subdomains where the path starts with
 are the labelled ones: the trees learn from them and judge all others.  Features: lengths, depth, shares of digits and of marks, character
 entropy, labels of the host, parameters, and what share of its suffix was blocked.
 
-The trees are fitted on at most about ``sample`` labelled urls, taken by the hash of the url; so the table of suffixes is bounded too and may
-be broadcast.  Rules and scores cover all urls.
+The trees are fitted on at most about ``sample`` labelled urls, taken by the hash of the url.  The shares of suffixes come from all labelled
+urls, each counted once, and meet the urls by a join.  Rules and scores cover all urls.
 
 Cases: a null url, and one without ``://``, has an empty host and path, fits no rule and is judged by its other features.  Null and
 repeated ids and rows do not matter, each row is judged alone.  If the rules give one verdict only, or none, all others are allowed.  An empty
@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import stored
+from tidegate.llm.common import join_groups, stored
 
 RULES = (
     ("allow", "org", "/"),
@@ -81,18 +81,30 @@ def features(urls: DataFrame) -> DataFrame:
             "entropy": entropy(F.lower(url)),
             "parameters": F.when(query == "", 0.0).otherwise(F.regexp_count(query, F.lit("&")) + 1.0),
             "fragment": F.contains(url, F.lit("#")).cast("double"),
-            "suffix": F.substring_index("host", ".", -2),
         }
     )
 
 
+def suffix_shares(labelled: DataFrame, others: DataFrame, prior: float) -> DataFrame:
+    """What share of each suffix was blocked, over all its different labelled urls: ``suffix, suffix_blocked, judged``.
+
+    ``judged`` is the number of rows of ``others`` with the suffix.
+    """
+    once = labelled.select("suffix", "url", "label").distinct()
+    each = once.select("suffix", F.lit(1).alias("ruled"), "label", F.lit(0).alias("other"))
+    each = each.unionByName(others.select("suffix", F.lit(0).alias("ruled"), F.lit(0.0).alias("label"), F.lit(1).alias("other")))
+    ruled = F.sum("ruled")
+    share = F.when(ruled > 0, (F.sum("label") + 20 * prior) / (ruled + 20)).otherwise(F.lit(prior))
+    return each.groupBy("suffix").agg(share.alias("suffix_blocked"), F.sum("other").alias("judged"))
+
+
 def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, sample: int = 20_000, rounds: int = 12) -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict, blocked`` (the trees' probability, null where a rule decides)."""
     own = pages.select(pages["page_id"].alias("page_id"), pages["url"].cast("string").alias("url"))
     host, path = host_and_path(F.col("url"))
     urls = own.withColumns({"host": host, "path": path})
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    urls = urls.withColumns({"rule": rule, "says": verdict})
+    urls = urls.withColumns({"rule": rule, "says": verdict, "suffix": F.substring_index("host", ".", -2)})
     labelled = urls.where("says is not null").withColumn("label", (F.col("says") == "block").cast("double"))
     sizes = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     result = ["page_id", "host", "path", "rule"]
@@ -103,16 +115,14 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, sam
     taken = labelled.where(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int(share * (1 << 20))).dropDuplicates(["url"])
     taken = stored(features(taken), "urls")
     prior = sizes[1.0] / sum(sizes.values())
-    smoothed = (F.sum("label") + 20 * prior) / (F.count(F.lit(1)) + 20)
-    suffixes = F.broadcast(taken.groupBy("suffix").agg(smoothed.alias("suffix_blocked")))
+    others = urls.where("says is null")
+    suffixes = stored(suffix_shares(labelled, others, prior), "suffixes")
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-
-    def vectors(rows: DataFrame) -> DataFrame:
-        return assembler.transform(rows.join(suffixes, "suffix", "left").fillna(prior, ["suffix_blocked"]))
-
     trees = GBTClassifier(maxIter=rounds, maxDepth=3, stepSize=0.3, maxBins=32, seed=SEED, cacheNodeIds=False)
-    model = trees.fit(vectors(taken).select("features", "label").repartition(4))
-    rest = model.transform(vectors(features(urls.where("says is null"))))
+    fitted = assembler.transform(taken.join(suffixes, "suffix"))
+    model = trees.fit(fitted.select("features", "label").repartition(4))
+    met = join_groups(others, suffixes.where("judged > 0"), ["suffix"], "judged", "inner")
+    rest = model.transform(assembler.transform(features(met)))
     blocked = vector_to_array("probability")[1]
     judged = rest.select(*result, F.when(blocked >= 0.5, "block").otherwise("allow").alias("verdict"), blocked.alias("blocked"))
     ruled = urls.where("says is not null").select(*result, F.col("says").alias("verdict"), F.lit(None).cast("double").alias("blocked"))
