@@ -44,15 +44,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "left") -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "left", most: int = 1000) -> DataFrame:
     """Join every row with the one row of its group without gathering a large group in one task.
 
     ``groups`` has one row for each key and, in ``size``, the number of ``rows`` with that key.
-    Keys with over a thousandth of all rows are at most 1,000: these are broadcast, the others meet
+    Keys with over 1/``most`` of all rows are at most ``most``: these are broadcast, the others meet
     by an ordinary shuffle.  ``groups`` is read twice, so it should be stored.
     """
     total = groups.agg(F.sum(size)).first()[0] or 0
-    large = F.col(size) * 1000 > F.lit(total)
+    large = F.col(size) * most > F.lit(total)
     others = [c for c in groups.columns if c not in keys]
     hot = groups.where(large).select(*keys, F.struct(*others).alias("_hot"))
     rest = groups.where(~large).select(*keys, F.struct(*others).alias("_rest"))

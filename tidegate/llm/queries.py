@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import classifier, exact, jaccard, lm, mixing, packing, quality, substring, urls, warc
+from tidegate.llm import alignment, classifier, exact, jaccard, lm, mixing, packing, phrases, pieces, quality, substring, urls, warc
 from tidegate.llm.common import table
 
 
@@ -56,6 +56,27 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded=True)
+    return found.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.element_at("ends", -1).cast("long").alias("n_bytes"),
+    )
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_level, piece = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.measure(table(spark, sf_dir, "documents"), byte_level, piece)
+
+
 OPERATORS = (
     op1_quality_rules,
     op2_ngram_jaccard,
@@ -67,6 +88,9 @@ OPERATORS = (
     op8_quality_classifier,
     op9_exact_dedup,
     op10_packing,
+    op11_phrases,
+    op12_sentencepiece,
+    op13_tokenizer_alignment,
 )
 QUERIES = {q.__name__: q for q in OPERATORS} | {"pipeline": corpus_pipeline.run}
 
@@ -148,4 +172,48 @@ with t as (
 select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from n
 """
 
-CHECKS = {"op1_quality_rules": OP1, "op2_ngram_jaccard": OP2, "op9_exact_dedup": OP9}
+OP11 = r"""
+with d as (
+  select row_number() over () as id, coalesce(lang, 'und') as lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0b\x0c\r]')) as piece
+  from documents
+), own as (
+  select row_number() over () as id, lang, regexp_extract_all(piece, '[^ \t]+') as own from d
+), placed as (
+  select id, lang, unnest(own) as w, generate_subscripts(own, 1) as i from own
+), nexts as (
+  select lang, w as a, lead(w) over p as b, lead(w, 2) over p as c from placed window p as (partition by id order by i)
+), found as (
+  select lang, a as phrase, 1 as size, a as first, null as last, count(*) as f from nexts group by all
+  union all
+  select lang, a || ' ' || b, 2, a, b, count(*) from nexts where b is not null group by all having count(*) >= 10
+  union all
+  select lang, a || ' ' || b || ' ' || c, 3, a || ' ' || b, b || ' ' || c, count(*) from nexts where c is not null group by all having count(*) >= 10
+), keyed as (
+  select lang || chr(9) || phrase as key, f from found
+), cuts as (
+  select lang, phrase, size, f, 1 as k, string_split(phrase, ' ')[1] as l, last as r from found where size > 1
+  union all
+  select lang, phrase, size, f, 2, first, string_split(phrase, ' ')[3] from found where size = 3
+), scored as (
+  select c.lang, c.phrase, c.size, c.f as a, c.k, x.f as l, y.f as r,
+    ((1000000::hugeint * c.f * c.f) // (x.f::hugeint * y.f))::bigint as score
+  from cuts c join keyed x on x.key = c.lang || chr(9) || c.l join keyed y on y.key = c.lang || chr(9) || c.r
+), lowest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), longer as (
+  select lang, part, max(f) as f from (
+    select lang, first as part, f from found where size = 3 union all select lang, last, f from found where size = 3
+  ) group by all
+), kept as (
+  select o.* from lowest o left join longer g on g.lang = o.lang and g.part = o.phrase and o.size = 2
+  where g.f is null or 100 * g.f < 50 * o.a
+), words as (
+  select lang, count(*) as n from placed group by lang
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join words using (lang) where rank <= 2000
+"""
+
+CHECKS = {"op1_quality_rules": OP1, "op2_ngram_jaccard": OP2, "op9_exact_dedup": OP9, "op11_phrases": OP11}
