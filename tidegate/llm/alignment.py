@@ -98,14 +98,45 @@ def steps(sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+def text(value: str) -> pa.Scalar:
+    return pa.scalar(value, pa.large_string())
+
+
+def joined(parts: pa.Array, ends: np.ndarray, between: str) -> pa.Array:
+    """Strings of consecutive parts; ``ends`` says where each stops."""
+    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int64()), parts), text(between))
+
+
+def content(values: pa.Array) -> np.ndarray:
+    """The bytes of all values, one after the other."""
+    return np.frombuffer(values.buffers()[2] or b"", np.uint8)
+
+
+def says(table: pa.Array, ids: np.ndarray, sizes: np.ndarray, units: list[str]) -> np.ndarray:
+    """Whether the bytes of a unit's tokens are the unit's."""
+    own, want = table.take(pa.array(ids)), pa.array(units, pa.large_string())
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    lengths = sums(pc.binary_length(own).to_numpy(), ends)
+    good = lengths == pc.binary_length(want).to_numpy()
+    a = content(own)[: int(lengths.sum())][np.repeat(good, lengths)]
+    same = want.filter(pa.array(good))
+    differ = a != content(same)[: len(a)]
+    good[np.flatnonzero(good)] = sums(differ, np.concatenate([[0], np.cumsum(lengths[good])])) == 0
+    return good
+
+
 class Aligner:
     """Aligned units by number; at most ``LIMIT`` are remembered from one slice to the next."""
 
-    LIMIT = 600_000
+    LIMIT = 300_000
+    STEP = 20_000
 
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a, self.b = ByteLevel(path_a), model(path_b)
         self.cuts = bool(self.a.splits) and splits_at_blanks(self.b)
+        self.bytes_a, self.bytes_b = (pa.array(x, pa.large_binary()) for x in (self.a.bytes, self.b.piece_bytes))
+        self.length_a, self.length_b = (pc.binary_length(x).to_numpy() for x in (self.bytes_a, self.bytes_b))
+        self.names = pa.array([str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))], pa.large_string())
         self.forget()
 
     def forget(self) -> None:
@@ -123,20 +154,22 @@ class Aligner:
         return self.a.encode(units), [self.b.encode(u[1:])[0].tolist() for u in units]
 
     def learn(self, units: list[str]) -> None:
+        """Align new units; some at a time, as the library's own results are large."""
+        for start in range(0, len(units), self.STEP):
+            self.add(units[start : start + self.STEP])
+
+    def add(self, units: list[str]) -> None:
         ids_a, ids_b = self.tokens(units)
-        bytes_a, bytes_b = self.a.bytes, self.b.piece_bytes
-        good = np.zeros(len(units), bool)
-        for k, (unit, x, y) in enumerate(zip(units, ids_a, ids_b)):
-            want = unit.encode()
-            good[k] = b"".join([bytes_a[i] for i in x]) == want and b"".join([bytes_b[i] for i in y]) == want
-        some = np.flatnonzero(good).tolist()
-        a, size_a = flat([ids_a[k] for k in some])
-        b, size_b = flat([ids_b[k] for k in some])
+        (a, size_a), (b, size_b) = flat(ids_a), flat(ids_b)
+        del ids_a, ids_b
+        good = says(self.bytes_a, a, size_a, units) & says(self.bytes_b, b, size_b, units)
+        a, b = a[np.repeat(good, size_a)], b[np.repeat(good, size_b)]
+        some = np.flatnonzero(good)
+        size_a, size_b = size_a[some], size_b[some]
         owner = np.repeat(np.arange(len(some)), size_a)
         # Units have as many bytes by either tokenizer, so all of them can lie one after the other.
-        end_a = np.cumsum(np.fromiter((len(bytes_a[i]) for i in a.tolist()), np.int64, len(a)))
-        end_b = np.cumsum(np.fromiter((len(bytes_b[i]) for i in b.tolist()), np.int64, len(b)))
-        start_a, start_b = np.concatenate([[0], end_a[:-1]]), np.concatenate([[0], end_b[:-1]])
+        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        start_a, start_b = end_a - self.length_a[a], end_b - self.length_b[b]
         both = np.intersect1d(end_a, end_b, assume_unique=True)
         first = np.searchsorted(end_b, start_a, side="right")
         linked = np.searchsorted(start_b, end_a, side="left") - first
@@ -148,36 +181,27 @@ class Aligner:
         new[1:] = (pair[1:] != pair[:-1]) | (whose[1:] != whose[:-1])
         at = np.flatnonzero(new)
         counts = np.zeros((len(units), 4), np.int64)
-        last = np.concatenate([[0], np.cumsum(size_a)])
-        byte_ends = end_a[last[1:] - 1] if len(some) else end_a
-        groups_to = np.searchsorted(both, byte_ends, side="right")
-        per_group = np.diff(np.concatenate([[0], groups_to]))
-        counts[some] = np.stack([size_a, size_b, per_group, np.bincount(whose, minlength=len(some))], axis=1)
-        texts = np.full(len(units), "", object)
-        cut_a, cut_b = np.searchsorted(end_a, both).tolist(), np.searchsorted(end_b, both).tolist()
-        name_a, name_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        written, i, j = [], 0, 0
-        for x, y in zip(cut_a, cut_b):
-            written.append(",".join(name_a[i : x + 1]) + "|" + ",".join(name_b[j : y + 1]))
-            i, j = x + 1, y + 1
-        g = 0
-        for k, to in zip(some, groups_to.tolist()):
-            texts[k] = ";".join(written[g:to])
-            g = to
+        byte_ends = end_a[np.cumsum(size_a) - 1] if len(some) else end_a
+        groups_to = np.concatenate([[0], np.searchsorted(both, byte_ends, side="right")])
+        counts[some] = np.stack([size_a, size_b, np.diff(groups_to), np.bincount(whose, minlength=len(some))], axis=1)
+        sides = [joined(self.names.take(pa.array(ids)), np.searchsorted(ends, both, side="right"), ",") for ids, ends in ((a, end_a), (b, end_b))]
+        written = joined(pc.binary_join_element_wise(*sides, text("|")), groups_to[1:], ";")
+        place = np.full(len(units), -1)
+        place[some] = np.arange(len(some))
+        written = pc.fill_null(written.take(pa.array(place, mask=place < 0)), "")
         sizes = np.zeros(len(units), np.int64)
         sizes[some] = np.bincount(whose[at], minlength=len(some))
         self.known.update(zip(units, range(len(self.good), len(self.good) + len(units))))
         self.good = np.concatenate([self.good, good])
         self.counts = np.concatenate([self.counts, counts])
-        self.groups = pa.concat_arrays([self.groups, pa.array(texts.tolist(), pa.large_string())])
+        self.groups = pa.concat_arrays([self.groups, written])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
         self.pairs = np.concatenate([self.pairs, pair[at]])
         self.links = np.concatenate([self.links, np.diff(np.append(at, len(pair)))])
 
     def units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The units of texts by number, and the bounds of each text's."""
-        blank, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
-        texts = pc.binary_join_element_wise(blank, texts.cast(pa.large_string()), nothing)
+        texts = pc.binary_join_element_wise(text(" "), texts.cast(pa.large_string()), text(""))
         if self.cuts:
             held = pc.match_substring(texts, CUT)
             marked = pc.replace_substring_regex(texts, f"({SEEN}) ({SEEN})", rf"\1{CUT} \2")
@@ -207,8 +231,8 @@ class Aligner:
         units, bounds = units[kept], np.concatenate([[0], np.cumsum(sizes)])
         measures = [pa.array(sums(self.counts[units, c], bounds)) for c in range(4)]
         lists = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), self.groups.take(pa.array(units)))
-        joined = pc.binary_join(lists, pa.scalar(";", pa.large_string())).cast(pa.large_binary())
-        digests = [hashlib.sha256(t.as_buffer()).hexdigest() if ok else "" for t, ok in zip(joined, fine.tolist())]
+        written = pc.binary_join(lists, text(";")).cast(pa.large_binary())
+        digests = [hashlib.sha256(t.as_buffer()).hexdigest() if ok else "" for t, ok in zip(written, fine.tolist())]
         # How often each text has each unit, then each pair.
         owner = np.repeat(np.arange(len(fine)), sizes)
         keys = np.sort(owner * len(self.good) + units)
