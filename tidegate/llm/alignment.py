@@ -35,6 +35,7 @@ ALIGNED = (
     " pairs array<long>, links array<int>"
 )
 CUT = "\x01"  # put between units; texts that hold it are one unit
+SLICE = 3_000_000  # bytes of text at once
 SEEN = r"[!-~\p{L}]"  # visible characters: no white space in either tokenizer's eyes
 
 
@@ -271,7 +272,7 @@ def align(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(path_a, path_b)
-        for part in slices(batches):
+        for part in slices(batches, size=SLICE):
             columns = [part.column("digest"), part.column("times"), *own(part.column("text"))]
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in ALIGNED.split(", ")])
 

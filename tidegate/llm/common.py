@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_folder(spark, f"llm-{label}")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once nothing reads it any more: what came of it has to be stored itself."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def words(text: Column) -> Column:
@@ -62,19 +73,42 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     return met.unionByName(cold.select(*rows.columns, *[F.col(f"_rest.{c}").alias(c) for c in others]))
 
 
+class Bitmap:
+    """A set of 64-bit hashes by their upper bits: says no only for those not in it."""
+
+    def __init__(self, flags: np.ndarray, bits: int) -> None:
+        self.flags, self.bits = flags, bits
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        index = hashes >> np.uint64(64 - self.bits)
+        return (self.flags[(index >> np.uint64(3)).astype(np.int64)] >> (index & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def bitmap(found: DataFrame, column: str) -> Bitmap:
+    """The 64-bit hashes of a column, with sixteen bits or more for each, from 2**20 to 2**28 in all: at most 32 MB, whatever the input."""
+    bits = min(28, max(20, math.ceil(math.log2(16 * max(1, found.count())))))
+    index = F.shiftrightunsigned(column, 64 - bits) + 1
+    parts = found.groupBy(F.bitmap_bucket_number(index).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(index)).alias("flags"))
+    flags = np.zeros((1 << bits) // 8, np.uint8)
+    for row in parts.collect():  # at most 2**28 bits
+        own = np.frombuffer(row["flags"], np.uint8)
+        flags[(row["part"] - 1) * len(own) : row["part"] * len(own)] = own
+    return Bitmap(flags, bits)
+
+
 # --- inside tasks -------------------------------------------------------------------------------
 
 SLICE_BYTES = 6_000_000
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of the batches with some megabytes of text each (one longer text is a part of its own)."""
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(ends, base + size, side="right")))
             # A copy: some string kernels misread arrays whose buffers do not start at their first row.
             yield batch.take(pa.array(np.arange(start, stop)))
             start = stop

@@ -9,10 +9,12 @@ set with it.  Three uses of the fragments follow one another:
   differ than linked sets may have n-grams that do;
 * counts: for what is left, the overlap is counted for each fragment by itself and summed per pair.
 
+Verdicts come from the counts alone; equal fragments only say which pairs are worth counting, an addition to the plain method.
+
 Documents with the same set are one class and enter once.  Groups that meet in a fragment are split into blocks
-of ``BLOCK`` classes.  A first round tries each class with its nearest partner in every group; a second one tries all other
-candidates that the links so far leave in different components.  So every link is either found or joins what is
-joined already, and a group of near copies does not become all its pairs.
+of ``BLOCK`` classes.  Inside a group each class ranks its partners by the bound.  Rounds go through the ranks, 1, 2 to 4, 5 to 16 and so on, and
+try only pairs that the links so far leave in different components.  So every link is either found or joins what is
+joined already, and the pairs of a group of near copies, which its first ranks connect, never leave their task.
 
 Cases: null, empty and blank texts have an empty set and are alone in their component.  A text of fewer words than the width has
 one n-gram, its whole sequence.  A component is called by its smallest id; null ids count as larger than
@@ -28,10 +30,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import SPACE_CHARS, Words, join_groups, mix, slices, stored
+from tidegate.llm.common import SPACE_CHARS, Words, bitmap, join_groups, mix, release, slices, stored
 
 BLOCK = 1000  # classes of a group that one task compares
 COUNTED = 8  # fragments by which overlaps are counted
@@ -192,7 +195,7 @@ def set_keys(flat: np.ndarray, bounds: np.ndarray) -> list[bytes | None]:
     return [k.tobytes() if m else None for k, m in zip(keys, n.tolist())]
 
 
-SETS = "doc_id long, n long, key binary, first boolean, scheme int, cells binary, signatures array<long>, mark binary"
+SETS = "doc_id long, text_key long, n long, key binary, first boolean, scheme int, cells binary, signatures array<long>, mark binary"
 
 
 def read_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -206,7 +209,7 @@ def read_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
             flat, bounds = sets(part.column("text"), width)
             n = np.diff(bounds)
             keys = np.array(set_keys(flat, bounds), object)
-            ids, marks = part.column("doc_id"), part.column("mark")
+            ids, texts, marks = part.column("doc_id"), part.column("text_key"), part.column("mark")
             main = np.searchsorted(LOWS, n, side="right") - 1
             classes = [(np.arange(len(n)), main)]
             while True:  # the classes of larger sets it may link with
@@ -224,6 +227,7 @@ def read_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(rows)),
+                        texts.take(pa.array(rows)),
                         pa.array(n[rows]),
                         pa.array(keys[rows], pa.binary()),
                         pa.array(np.full(len(rows), not turn)),
@@ -235,20 +239,21 @@ def read_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     [c.split()[0] for c in SETS.split(", ")],
                 )
 
-    return docs.select("doc_id", "text", "mark").mapInArrow(run, SETS)
+    return docs.select("doc_id", "text_key", "text", "mark").mapInArrow(run, SETS)
 
 
 # --- candidate pairs -------------------------------------------------------------------------------
 
-PAIRS = "a binary, b binary, n_a long, n_b long"
+PAIRS = "a long, b long, n_a long, n_b long"
+RANKS = ((1, 1), (2, 4), (5, 16), (17, 64), (65, 256), (257, BLOCK * 2))  # a block, or two that meet, have no higher ranks
 
 
-def within(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs of classes that share a fragment and may link by their sizes and cells, each with ``a < b``.
+def within(members: DataFrame, percent: int, ranks: tuple[int, int]) -> DataFrame:
+    """Pairs of classes that share a fragment, may link by their sizes and cells, and have different labels, each with ``a < b``.
 
-    ``members``: ``scheme, signature, low, high`` (the blocks that meet), ``block, key, n, cells, label``, sorted
-    by the first four.  ``nearest`` gives for each class only the partner with the fewest cells that differ; else all
-    pairs with different labels.
+    ``members``: ``scheme, signature, low, high`` (the blocks that meet), ``block, id, n, cells, label``, sorted
+    by the first four.  A pair is given if either class ranks the other within ``ranks`` by the cells that differ.  A row of nulls says
+    that there are pairs of higher ranks.
     """
 
     def pairs_of(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -256,13 +261,10 @@ def within(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
         for s in np.unique(scheme):
             rows = t.filter(pa.array(scheme == s))
             matrix = np.frombuffer(b"".join(rows["cells"].to_pylist()), U).reshape(rows.num_rows, -1)
-            n, block, label = (rows[c].to_numpy() for c in ("n", "block", "label"))
+            n, block, label, ids = (rows[c].to_numpy() for c in ("n", "block", "label", "id"))
             ident = np.stack([rows[c].to_numpy() for c in ("signature", "low", "high")])
             crossing = ident[1] != ident[2]
-            keys = rows["key"].to_pylist()
-            most = np.full(len(n), 1 << 30)
-            partner = np.full(len(n), -1)
-            found: list[tuple[int, int]] = []
+            found = []
             alive = np.arange(len(n))
             k = 0
             while True:
@@ -272,7 +274,7 @@ def within(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
                 if not len(alive):
                     break
                 i, j = alive, alive + k
-                ok = (label[i] != label[j]) & ~(crossing[i] & (block[i] == block[j]))
+                ok = ~(crossing[i] & (block[i] == block[j]))
                 ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
                 i, j = i[ok], j[ok]
                 both = n[i] + n[j]
@@ -282,21 +284,23 @@ def within(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
                 for at in range(0, len(i), step):
                     unlike[at : at + step] = unlike_cells(matrix[i[at : at + step]], matrix[j[at : at + step]])
                 ok = unlike <= differ
-                i, j, unlike = i[ok], j[ok], unlike[ok]
-                if nearest:
-                    for x, y in ((i, j), (j, i)):
-                        better = unlike < most[x]
-                        most[x[better]], partner[x[better]] = unlike[better], y[better]
-                else:
-                    found.extend(zip(i.tolist(), j.tolist()))
-            if nearest:
-                i = np.flatnonzero(partner >= 0)
-                found = list(zip(i.tolist(), partner[i].tolist()))
-            known = {(x, y) if keys[x] < keys[y] else (y, x) for x, y in found}
-            known = {(keys[x], keys[y], int(n[x]), int(n[y])) for x, y in known}
-            columns = list(zip(*known)) or [()] * 4
-            types = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, types)], ["a", "b", "n_a", "n_b"])
+                found.append((i[ok], j[ok], unlike[ok]))
+            i, j, unlike = (np.concatenate([f[c] for f in found] or [np.empty(0, np.int64)]) for c in range(3))
+            # The rank of each pair in the eyes of either side, the same in every round.
+            own, other, far = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([unlike, unlike])
+            by = np.lexsort((ids[other], far, own))
+            start = np.searchsorted(own[by], own[by])
+            rank = np.empty(len(by), np.int64)
+            rank[by] = np.arange(len(by)) - start + 1
+            rank = np.minimum(rank[: len(i)], rank[len(i) :])
+            crosses = label[i] != label[j]
+            chosen = crosses & (rank >= ranks[0]) & (rank <= ranks[1])
+            x, y = i[chosen], j[chosen]
+            x, y = np.where(ids[x] < ids[y], x, y), np.where(ids[x] < ids[y], y, x)
+            columns = [pa.array(c) for c in (ids[x], ids[y], n[x], n[y])]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n_a", "n_b"])
+            if (crosses & (rank > ranks[1])).any():
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 4, ["a", "b", "n_a", "n_b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -326,7 +330,7 @@ def within(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
 
 
 def counted_fragments(docs: DataFrame, width: int) -> DataFrame:
-    """The sets of ``docs`` by fragment: ``key, fragment, grams``."""
+    """The sets of ``docs`` by fragment: ``id, fragment, grams``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -334,24 +338,23 @@ def counted_fragments(docs: DataFrame, width: int) -> DataFrame:
             owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
             piece = ((flat >> U(32)) * U(COUNTED)) >> U(32)
             start = runs(owner, piece)
-            keys = set_keys(flat, bounds)
             offsets = pa.array(np.append(start, len(flat)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([keys[i] for i in owner[start].tolist()], pa.binary()),
+                    part.column("id").take(pa.array(owner[start])),
                     pa.array(piece[start].astype(np.int32)),
                     pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int64))),
                 ],
-                ["key", "fragment", "grams"],
+                ["id", "fragment", "grams"],
             )
 
-    return docs.mapInArrow(run, "key binary, fragment int, grams array<long>")
+    return docs.select("id", "text").mapInArrow(run, "id long, fragment int, grams array<long>")
 
 
 def linked(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     """The pairs that link: partial overlaps are counted in each fragment and summed per pair."""
-    left = grams.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("grams_a"))
-    right = grams.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("grams_b"))
+    left = grams.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("grams_a"))
+    right = grams.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("grams_b"))
     overlap = F.size(F.array_intersect("grams_a", "grams_b"))
     total = (
         pairs.join(left, "a")
@@ -367,9 +370,9 @@ def linked(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``key, label`` for every end of a link: the smallest key it reaches.
+    """``id, label`` for every end of a link: the smallest id it reaches.
 
-    Large and small stars in turn: each round hangs the larger (then the smaller) neighbours of a key on the smallest one.
+    Large and small stars in turn: each round hangs the larger (then the smaller) neighbours of an id on the smallest one.
     The rounds grow with the logarithm of the longest path.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
@@ -382,84 +385,129 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         star = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(star.where("u <> v").distinct(), "stars")
+        turned = stored(star.where("u <> v").distinct(), "stars")
+        release(edges)
+        edges = turned
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         small = edges.join(least, "u")
         star = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        edges = stored(star.where("u <> v").distinct(), "stars")
+        turned = stored(star.where("u <> v").distinct(), "stars")
+        release(edges)
+        edges = turned
         was, now = now, state(edges)
         if was == now:
             break
-    least = edges.select(F.col("u").alias("key"), F.col("v").alias("label"))
-    return least.unionByName(edges.select(F.col("v").alias("key"), F.col("v").alias("label")).distinct())
+    least = edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
+    labels = stored(least.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()), "labels")
+    release(edges)
+    return labels
 
 
 # --- the join ------------------------------------------------------------------------------------------
 
 
-def members_of(all_sets: DataFrame) -> DataFrame:
-    """Classes that share a fragment with another class: ``signature, scheme, key, n, cells`` and their blocks."""
-    each = all_sets.where("n > 0").select(
-        "key", "scheme", F.xxhash64("key").alias("short"), F.explode("signatures").alias("signature")
-    )
+def shared_signatures(all_sets: DataFrame) -> DataFrame:
+    """``key, scheme, signature`` of the fragments that a set shares with another.
+
+    All signatures are shuffled once, as two numbers.  Those that meet are few: a bitmap of them filters the second look at the lists before
+    anything of it is shuffled.
+    """
+    each = all_sets.where("n > 0").select(F.xxhash64("key").alias("short"), F.explode("signatures").alias("signature"))
     shared = each.groupBy("signature").agg(F.min("short").alias("x"), F.max("short").alias("y")).where("x <> y")
     shared = stored(shared.select("signature"), "shared")
-    met = each.join(shared, "signature", "left_semi").select("signature", "scheme", "key").distinct()
-    met = stored(met, "met")
-    detail = all_sets.where("n > 0").join(met.select("key").distinct(), "key", "left_semi")
-    detail = stored(detail.select("key", "scheme", "n", "cells").dropDuplicates(["key", "scheme"]), "cells")
+    known = all_sets.sparkSession.sparkContext.broadcast(bitmap(shared, "signature"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = known.value
+        for batch in batches:
+            lists = batch.column("signatures")
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(seen(flat.view(U)))
+            row = pc.list_parent_indices(lists).take(pa.array(at))
+            columns = [batch.column("key").take(row), batch.column("scheme").take(row), pa.array(flat[at])]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "scheme", "signature"])
+
+    likely = all_sets.where("n > 0").select("key", "scheme", "signatures").mapInArrow(run, "key binary, scheme int, signature long")
+    met = stored(likely.distinct().join(shared, "signature", "left_semi"), "met")
+    release(shared)
+    return met
+
+
+def members_of(all_sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes that share a fragment with another class: ``signature, scheme, id, n, cells`` and their blocks; and the numbers of the classes, ``key, id``."""
+    met = shared_signatures(all_sets)
+    own = all_sets.where("n > 0").join(met.select("key").distinct(), "key", "left_semi")
+    detail = stored(own.select("key", "scheme", "n", "cells").dropDuplicates(["key", "scheme"]), "cells")
+    numbered = stored(detail.select("key").distinct().withColumn("id", F.monotonically_increasing_id()), "numbers")
     blocks = met.groupBy("signature").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    met = met.join(blocks, "signature").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    return met.select("signature", "scheme", "low", "high", "block", "key").join(detail, ["key", "scheme"])
+    dealt = met.join(blocks, "signature").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    wide = detail.join(numbered, "key")
+    members = dealt.select("signature", "scheme", "low", "high", "block", "key").join(wide, ["key", "scheme"]).drop("key")
+    members = stored(members, "members")
+    release(met, detail)
+    return members, numbered
 
 
-def candidates(members: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
+def candidates(members: DataFrame, labels: DataFrame | None, percent: int, ranks: tuple[int, int]) -> DataFrame:
     if labels is None:
-        members = members.withColumn("label", F.xxhash64("key"))
+        members = members.withColumn("label", F.col("id"))
     else:
-        known = labels.select("key", F.xxhash64("label").alias("known"))
-        members = members.join(known, "key", "left").withColumn("label", F.coalesce("known", F.xxhash64("key"))).drop("known")
+        known = labels.withColumnRenamed("label", "known")
+        members = members.join(known, "id", "left").withColumn("label", F.coalesce("known", "id")).drop("known")
     order = ["scheme", "signature", "low", "high"]
-    dealt = members.repartition(*order).sortWithinPartitions(*order, "key")
-    return within(dealt.select(*order, "block", "key", "n", "cells", "label"), percent, labels is None)
+    dealt = members.repartition(*order).sortWithinPartitions(*order, "id")
+    return within(dealt.select(*order, "block", "id", "n", "cells", "label"), percent, ranks)
 
 
 def connected(read: DataFrame, width: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """The sets of ``doc_id, text, mark``, and the label of every class that links with another."""
+    """The sets of ``doc_id, text, mark``, and ``key, label`` of every class that links with another."""
     percent = round(100 * threshold)
     if not 70 <= percent <= 100:
         raise ValueError("the threshold must be from 0.7 to 1")
+    read = read.withColumn("text_key", F.xxhash64("text"))
     all_sets = stored(read_sets(read, width, percent), "sets")
-    members = stored(members_of(all_sets), "members")
-    first = stored(candidates(members, None, percent), "nearest")
-    # Texts of the classes in question, by one document each.
-    asked = first.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    one = all_sets.where("first").join(asked, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("asked_id"))
-    texts = read.join(one, F.col("doc_id").eqNullSafe(F.col("asked_id")), "left_semi")
-    grams = counted_fragments(texts.select("doc_id", "text"), width).join(one.select("key"), "key", "left_semi")
-    grams = stored(grams.dropDuplicates(["key", "fragment"]), "grams")
-    links = stored(linked(first, grams, percent), "links")
-    labels = stored(components(links), "labels")
-    more = candidates(members, labels, percent).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    more = stored(linked(more, grams, percent), "links")
-    if not more.isEmpty():
-        labels = stored(components(labels.select(F.col("key").alias("a"), F.col("label").alias("b")).unionByName(more)), "labels")
-    return all_sets, labels
+    members, numbered = members_of(all_sets)
+    slim = stored(all_sets.where("first").select("doc_id", "text_key", "n", "key", "mark"), "documents")
+    release(all_sets)
+    grams: DataFrame | None = None
+    labels: DataFrame | None = None
+    for ranks in RANKS:
+        asked = stored(candidates(members, labels, percent, ranks), "pairs")
+        pairs = asked.where("a is not null")
+        if grams is None:
+            # Every class that has a partner at all is in a pair of the first round.  Its set is read from one document.
+            classes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(numbered, "id")
+            one = slim.join(classes, "key").groupBy("id").agg(
+                F.min_by("doc_id", "text_key").alias("asked_id"), F.min("text_key").alias("asked_text")
+            )
+            same = (F.col("text_key") == F.col("asked_text")) & F.col("doc_id").eqNullSafe(F.col("asked_id"))
+            texts = read.join(one, same).select("id", "text")
+            grams = stored(counted_fragments(texts, width).dropDuplicates(["id", "fragment"]), "grams")
+        links = linked(pairs, grams, percent)
+        if labels is not None:
+            links = links.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
+        before, labels = labels, components(links)
+        more = not asked.where("a is null").isEmpty()
+        release(asked, *([before] if before is not None else []))
+        if not more:
+            break
+    release(members, grams)
+    return slim, labels.join(numbered, "id").select("key", "label")
 
 
 def similar(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``."""
     read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    all_sets, labels = connected(read.withColumn("mark", F.lit(None).cast("binary")), width, threshold)
-    own = all_sets.where("first")
+    own, labels = connected(read.withColumn("mark", F.lit(None).cast("binary")), width, threshold)
     classes = own.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"))
-    classes = stored(classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")), "classes")
-    parts = classes.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members"))
-    alone = classes.join(parts.where("members = 1").select("label"), "label", "left_semi")
-    joined = classes.join(stored(parts.where("members > 1"), "parts"), "label").select("key", "size", "component_id")
-    named = stored(alone.select("key", "size", F.col("least").alias("component_id")).unionByName(joined), "named")
+    classes = stored(classes.join(labels, "key", "left"), "classes")
+    alone = classes.where("label is null").select("key", "size", F.col("least").alias("component_id"))
+    linked_ones = classes.where("label is not null")
+    parts = linked_ones.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    joined = join_groups(linked_ones.select("key", "size", "label"), stored(parts, "parts"), ["label"], "members", "inner")
+    named = stored(alone.unionByName(joined.select("key", "size", "component_id")), "named")
     full = join_groups(own.where("n > 0").select("doc_id", "n", "key"), named, ["key"], "size", "inner")
     empty = own.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return full.select("doc_id", "n", "component_id").unionByName(empty).withColumnRenamed("n", "n_shingles")
@@ -474,12 +522,12 @@ def distinct_documents(docs: DataFrame, width: int = 5, threshold: float = 0.8)
     ident, text = docs["doc_id"].cast("long"), docs["text"].cast("string")
     own = F.concat(F.coalesce(ident.cast("string"), F.lit("")), F.lit("\n"), F.coalesce(text, F.lit("")))
     mark = F.unhex(F.sha2(own, 256)).alias("mark")
-    all_sets, labels = connected(docs.select(ident.alias("doc_id"), text.alias("text"), mark), width, threshold)
-    first = all_sets.where("first")
+    first, labels = connected(docs.select(ident.alias("doc_id"), text.alias("text"), mark), width, threshold)
     best = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
     classes = first.where("n > 0").groupBy("key").agg(F.min(best).alias("best"))
-    classes = classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    chosen = classes.groupBy("label").agg(F.min("best").alias("best")).select("best.mark")
+    classes = stored(classes.join(labels, "key", "left"), "classes")
+    chosen = classes.where("label is not null").groupBy("label").agg(F.min("best").alias("best")).select("best.mark")
+    chosen = chosen.unionByName(classes.where("label is null").select("best.mark"))
     chosen = chosen.unionByName(first.where("n = 0 and doc_id is not null").select("mark").distinct()).withColumn("stays", F.lit(True))
     # All frequent marks are named, those that go too, so that no task gathers their rows.
     marks = stored(first.where("n > 0 or doc_id is not null").groupBy("mark").agg(F.count(F.lit(1)).alias("times")), "marks")

@@ -14,7 +14,6 @@ Very long texts are a slice of their own.  An empty table gives no rows.  Other
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Words, mix, slices, stored
+from tidegate.llm.common import Bitmap, Words, bitmap, mix, slices, stored
 
 ENTRIES = "fp long, check int, times long, key long, pos int"
 PHRASES = "lang string, size int, phrase string, times long"
 BREAKS = r"[.,;:!?\n\x0b\x0c\r]"
 BREAK = "."  # stands between pieces; no word holds it
+SLICE = 3_000_000  # bytes of text at once
 WHOLE = -1  # the place that stands for all words of a language
 
 U = np.uint64
@@ -92,29 +92,6 @@ def counted(grams: Grams, at: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     return prints[chosen], checks[chosen], np.diff(np.append(begin, len(order))), at[chosen]
 
 
-class Bitmap:
-    """A set of fingerprints by their upper bits: says no only for those not in it."""
-
-    def __init__(self, flags: np.ndarray, bits: int) -> None:
-        self.flags, self.bits = flags, bits
-
-    def __call__(self, prints: np.ndarray) -> np.ndarray:
-        index = prints >> U(64 - self.bits)
-        return (self.flags[(index >> U(3)).astype(np.int64)] >> (index & U(7)).astype(np.uint8)) & 1 == 1
-
-
-def bitmap(found: DataFrame) -> Bitmap:
-    """Sixteen bits or more for each fingerprint, from 2**20 to 2**28 in all."""
-    bits = min(28, max(20, math.ceil(math.log2(16 * max(1, found.count())))))
-    index = F.shiftrightunsigned("fp", 64 - bits) + 1
-    parts = found.groupBy(F.bitmap_bucket_number(index).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(index)).alias("flags"))
-    flags = np.zeros((1 << bits) // 8, np.uint8)
-    for row in parts.collect():  # at most 2**28 bits
-        own = np.frombuffer(row["flags"], np.uint8)
-        flags[(row["part"] - 1) * len(own) : row["part"] * len(own)] = own
-    return Bitmap(flags, bits)
-
-
 def entries(docs: DataFrame, size: int, parts: Bitmap | None, bits: int) -> DataFrame:
     """The n-grams of one size whose parts of one word less are in ``parts``, added up in each slice.
 
@@ -124,7 +101,7 @@ def entries(docs: DataFrame, size: int, parts: Bitmap | None, bits: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for part in slices(batches):
+        for part in slices(batches, size=SLICE):
             # By key, so that the first occurrence has the least pointer.
             part = part.take(pc.sort_indices(part.column("key")))
             keys = part.column("key").to_numpy()
@@ -199,7 +176,7 @@ def frequent_phrases(docs: DataFrame, width: int = 3, least: int = 10, bits: int
     for size in range(1, width + 1):
         levels.append(stored(frequent(read, size, parts, least, bits), f"size-{size}"))
         if size < width:
-            parts = bitmap(levels[-1].where(F.col("size") == size))
+            parts = bitmap(levels[-1].where(F.col("size") == size), "fp")
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)
