@@ -330,39 +330,26 @@ def within(members: DataFrame, percent: int, ranks: tuple[int, int]) -> DataFram
 
 
 def counted_fragments(docs: DataFrame, width: int) -> DataFrame:
-    """The sets of ``docs`` by fragment: ``id, fragment, grams``."""
+    """The sets of ``docs`` (``id, text``), cut into ``COUNTED`` fragments: ``id, fragments``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             flat, bounds = sets(part.column("text"), width)
             owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-            piece = ((flat >> U(32)) * U(COUNTED)) >> U(32)
-            start = runs(owner, piece)
-            offsets = pa.array(np.append(start, len(flat)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("id").take(pa.array(owner[start])),
-                    pa.array(piece[start].astype(np.int32)),
-                    pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int64))),
-                ],
-                ["id", "fragment", "grams"],
-            )
+            piece = (((flat >> U(32)) * U(COUNTED)) >> U(32)).astype(np.int64)
+            sizes = np.bincount(owner * COUNTED + piece, minlength=part.num_rows * COUNTED)
+            inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat.view(np.int64)))
+            outer = pa.array((np.arange(part.num_rows + 1) * COUNTED).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(outer, inner)], ["id", "fragments"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, fragment int, grams array<long>")
+    return docs.select("id", "text").mapInArrow(run, "id long, fragments array<array<long>>")
 
 
 def linked(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     """The pairs that link: partial overlaps are counted in each fragment and summed per pair."""
-    left = grams.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("grams_a"))
-    right = grams.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    overlap = F.size(F.array_intersect("grams_a", "grams_b"))
-    total = (
-        pairs.join(left, "a")
-        .join(right, ["b", "fragment"])
-        .select("a", "b", "n_a", "n_b", overlap.alias("part"))
-        .groupBy("a", "b", "n_a", "n_b")
-        .agg(F.sum("part").alias("both"))
-    )
+    met = pairs.join(grams.toDF("a", "own"), "a").join(grams.toDF("b", "other"), "b")
+    parts = [F.size(F.array_intersect(F.col("own")[k], F.col("other")[k])) for k in range(COUNTED)]
+    total = met.select("a", "b", "n_a", "n_b", sum(parts[1:], parts[0]).alias("both"))
     return total.where(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
 
 
@@ -433,8 +420,11 @@ def shared_signatures(all_sets: DataFrame) -> DataFrame:
     return met
 
 
-def members_of(all_sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Classes that share a fragment with another class: ``signature, scheme, id, n, cells`` and their blocks; and the numbers of the classes, ``key, id``."""
+def members_of(all_sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes that share a fragment with another class: ``signature, scheme, low, high, block, id``.
+
+    Also ``id, scheme, n, cells`` of the classes, and their numbers, ``key, id``.
+    """
     met = shared_signatures(all_sets)
     own = all_sets.where("n > 0").join(met.select("key").distinct(), "key", "left_semi")
     detail = stored(own.select("key", "scheme", "n", "cells").dropDuplicates(["key", "scheme"]), "cells")
@@ -443,21 +433,23 @@ def members_of(all_sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     dealt = met.join(blocks, "signature").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    wide = detail.join(numbered, "key")
-    members = dealt.select("signature", "scheme", "low", "high", "block", "key").join(wide, ["key", "scheme"]).drop("key")
-    members = stored(members, "members")
+    members = stored(dealt.join(numbered, "key").select("signature", "scheme", "low", "high", "block", "id"), "members")
+    classes = stored(detail.join(numbered, "key").select("id", "scheme", "n", "cells"), "classes")
     release(met, detail)
-    return members, numbered
+    return members, classes, numbered
 
 
-def candidates(members: DataFrame, labels: DataFrame | None, percent: int, ranks: tuple[int, int]) -> DataFrame:
+def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None, percent: int, ranks: tuple[int, int]) -> DataFrame:
+    order = ["scheme", "signature", "low", "high"]
     if labels is None:
         members = members.withColumn("label", F.col("id"))
     else:
+        # Groups that the links so far have joined go before the cells come in.
         known = labels.withColumnRenamed("label", "known")
         members = members.join(known, "id", "left").withColumn("label", F.coalesce("known", "id")).drop("known")
-    order = ["scheme", "signature", "low", "high"]
-    dealt = members.repartition(*order).sortWithinPartitions(*order, "id")
+        open_ones = members.groupBy("signature").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+        members = members.join(open_ones.select("signature"), "signature", "left_semi")
+    dealt = members.join(classes, ["id", "scheme"]).repartition(*order).sortWithinPartitions(*order, "id")
     return within(dealt.select(*order, "block", "id", "n", "cells", "label"), percent, ranks)
 
 
@@ -468,23 +460,23 @@ def connected(read: DataFrame, width: int, threshold: float) -> tuple[DataFrame,
         raise ValueError("the threshold must be from 0.7 to 1")
     read = read.withColumn("text_key", F.xxhash64("text"))
     all_sets = stored(read_sets(read, width, percent), "sets")
-    members, numbered = members_of(all_sets)
+    members, classes, numbered = members_of(all_sets)
     slim = stored(all_sets.where("first").select("doc_id", "text_key", "n", "key", "mark"), "documents")
     release(all_sets)
     grams: DataFrame | None = None
     labels: DataFrame | None = None
     for ranks in RANKS:
-        asked = stored(candidates(members, labels, percent, ranks), "pairs")
+        asked = stored(candidates(members, classes, labels, percent, ranks), "pairs")
         pairs = asked.where("a is not null")
         if grams is None:
             # Every class that has a partner at all is in a pair of the first round.  Its set is read from one document.
-            classes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(numbered, "id")
-            one = slim.join(classes, "key").groupBy("id").agg(
+            named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(numbered, "id")
+            one = slim.join(named, "key").groupBy("id").agg(
                 F.min_by("doc_id", "text_key").alias("asked_id"), F.min("text_key").alias("asked_text")
             )
             same = (F.col("text_key") == F.col("asked_text")) & F.col("doc_id").eqNullSafe(F.col("asked_id"))
             texts = read.join(one, same).select("id", "text")
-            grams = stored(counted_fragments(texts, width).dropDuplicates(["id", "fragment"]), "grams")
+            grams = stored(counted_fragments(texts, width).dropDuplicates(["id"]), "grams")
         links = linked(pairs, grams, percent)
         if labels is not None:
             links = links.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
@@ -493,7 +485,7 @@ def connected(read: DataFrame, width: int, threshold: float) -> tuple[DataFrame,
         release(asked, *([before] if before is not None else []))
         if not more:
             break
-    release(members, grams)
+    release(members, classes, grams)
     return slim, labels.join(numbered, "id").select("key", "label")
 
 
