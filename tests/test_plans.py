@@ -6,6 +6,7 @@ import re
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tidegate import fixtures as fx
@@ -73,7 +74,7 @@ def test_history_scan_is_pruned_to_the_key(spark, lake):
 def test_undated_messages_are_looked_for_among_the_undated_only(spark, lake):
     target, batch = lake
     undated = to_bronze(batch.selectExpr("concat('x', body) as body", "enqueuedTime"))
-    spec = MergeSpec()
+    spec = MergeSpec(filter_keys=10)
     both = batch.unionByName(undated)
     fp = footprint(both, spec)
     assert set(fp.slots) == {(1997, 3), (1997, 4), (None, None)} and fp.undated
@@ -83,6 +84,41 @@ def test_undated_messages_are_looked_for_among_the_undated_only(spark, lake):
     assert re.search(r"PushedFilters: \[.*IsNull\(deviceEnqueuedTime\),And\(GreaterThanOrEqual", text), text[-900:]
 
 
+def scanned(df) -> int:
+    """Rows that the scan of an executed plan without shuffles gave, after row groups were skipped."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_few_undated_keys_read_few_undated_files(spark, tmp_path):
+    """A key's files are found by its beginning and by the key filters, not by reading all."""
+    target = bronze_target(Layout(str(tmp_path)))
+    small = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    before = {k: spark.conf.get(k) for k in small}
+    for key in small:
+        spark.conf.set(key, "100k")
+    bodies = spark.range(20_000).selectExpr("concat('no json ', id) as body", "timestamp '2024-01-01' as enqueuedTime")
+    merge_insert(to_bronze(bodies), target)
+    for key, value in before.items():
+        spark.conf.set(key, value)
+    files = target.read(spark).inputFiles()
+    assert len(files) >= 8
+    spec = MergeSpec()
+    batch = to_bronze(bodies.limit(1).unionByName(bodies.limit(1).withColumn("body", F.lit("new"))))
+    fp = footprint(batch, spec)
+    assert fp.slots == ((None, None),) and len(fp.undated_keys) == 2
+    history = history_keys(target, batch, fp, spec)
+    assert "EqualTo(rowhash," in plan(history)
+    assert scanned(history) <= 20_000 * 3 / len(files)
+    assert scanned(history_keys(target, batch, replace(fp, undated_keys=None), spec)) == 20_000
+    stats = merge_insert(batch, target, spec)
+    assert (stats.matched_keys, stats.inserted) == (1, 1)
+    assert merge_insert(batch, target, spec).inserted == 0
+    many = merge_insert(to_bronze(bodies), target, spec)
+    assert (many.matched_keys, many.inserted) == (20_000, 0)
+
+
 def test_history_of_a_table_is_pruned(spark, lake, tmp_path):
     name = "plans_bronze_table"
     target = Target(str(tmp_path / "bronze"), lake[1].schema, name)

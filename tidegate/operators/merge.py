@@ -6,6 +6,9 @@ The target is history and far larger than a batch, so history is only scanned:
   batch touches.  That loses nothing, because the key, the partition columns and
   the device time are all functions of the message body: equal keys have equal
   partitions and times;
+* messages without a device time have no range.  While a batch has few of them,
+  their keys themselves are the predicate, which the key filters of the files answer
+  without reading them;
 * the distinct keys of the batch are broadcast to that scan while their number is
   within ``broadcast_rows``; beyond it both sides are reduced to distinct keys
   before they are shuffled, so a key with very many copies is one row per task.
@@ -57,6 +60,7 @@ class MergeSpec:
     max_days: int = 4_000
     max_months: int = 1_200
     max_ranges: int = 32
+    filter_keys: int = 200
 
     def __post_init__(self) -> None:
         if self.mode not in MODES:
@@ -88,7 +92,8 @@ class Footprint:
 
     ``copies`` tells whether a key may occur more than once.
     ``slots`` is None when the batch spans too many months to be worth listing; the
-    target is then read whole, which is slower but just as exact.
+    target is then read whole, which is slower but just as exact.  ``undated_keys`` are
+    the keys of its rows without a device time, None if there are too many to name.
     """
 
     rows: int
@@ -97,6 +102,7 @@ class Footprint:
     slots: tuple[Slot, ...] | None
     ranges: tuple[tuple[int, int], ...]
     undated: bool
+    undated_keys: tuple[str, ...] | None = None
 
 
 @dataclass(frozen=True)
@@ -145,16 +151,26 @@ def footprint(batch: DataFrame, spec: MergeSpec = BRONZE_MERGE) -> Footprint:
             slots = tuple(dict.fromkeys(tuple(r[c] for c in spec.partition_by) for r in rows))
             if len(rows) > limit or len(slots) > spec.max_months:
                 continue
+        undated = any(r.lo is None for r in rows)
         return Footprint(
             sum(r.n for r in rows),
             sum(r.null_keys for r in rows),
             any((r.copies or 0) > 1 for r in rows),
             slots,
             _time_ranges([(r.lo, r.hi) for r in rows if r.lo is not None], spec.max_ranges),
-            any(r.lo is None for r in rows),
+            undated,
+            _undated_keys(batch, spec) if undated and slots is not None else None,
         )
 
 
+def _undated_keys(batch: DataFrame, spec: MergeSpec) -> tuple[str, ...] | None:
+    """The distinct keys without a device time, if a predicate can name them."""
+    key = F.col(spec.key)
+    keys = batch.where(F.col(spec.time).isNull() & key.isNotNull()).select(key).distinct()
+    found = keys.limit(spec.filter_keys + 1).collect()
+    return tuple(sorted(r[0] for r in found)) if len(found) <= spec.filter_keys else None
+
+
 def _time_ranges(spans: Sequence[tuple[int, int]], limit: int) -> tuple[tuple[int, int], ...]:
     """At most ``limit`` ranges that cover all the spans, split at the widest gaps."""
     spans = sorted(spans)
@@ -168,9 +184,16 @@ def _time_ranges(spans: Sequence[tuple[int, int]], limit: int) -> tuple[tuple[in
 
 
 def in_footprint(fp: Footprint, spec: MergeSpec) -> Column:
-    """Device-time predicate with literal bounds, which Parquet statistics can use."""
+    """Predicate with literal bounds of the device time, which Parquet statistics can use.
+
+    Keys without a time are compared one by one, as key filters answer equality only.
+    """
     instant = F.col(spec.time)
-    found = [instant.isNull()] if fp.undated else []
+    found = []
+    if fp.undated and fp.undated_keys is None:
+        found.append(instant.isNull())
+    elif fp.undated_keys:
+        found.append(instant.isNull() & any_of([F.col(spec.key) == F.lit(k) for k in fp.undated_keys]))
     for lo, hi in fp.ranges:
         bounds = (F.timestamp_micros(F.lit(v).cast("long")) for v in (lo, hi))
         found.append(instant.between(*bounds))

@@ -162,6 +162,13 @@ CHECKS: dict[str, str] = {
                cast(1 as bigint) as copies, false as dated
         from raw where body is not null""",
     "j1_merge_undated": "select distinct sha256(text) as rowhash, cast(1 as bigint) as copies from documents",
+    "j1_merge_undated_again": """
+        with base as (select distinct sha256(text) as rowhash from documents where text is not null),
+        chosen as (select distinct text from documents where starts_with(sha256(text), '0')),
+        batch as (select sha256(text) as rowhash from chosen union select sha256(text || ' again') from chosen)
+        select rowhash, cast(1 as bigint) as copies,
+               (select count(*) from batch join base using (rowhash)) as known_in_batch
+        from (select rowhash from base union select rowhash from batch) r""",
     "k2_bootstrap_then_merge": _silver(EVENTS, f"template in ({_names(fx.EVENT_ASSETS)})"),
     "t6_fanout_all_templates": _silver(EVENTS, f"template in ({_names(fx.EVENT_ASSETS)})"),
     "t6_fanout_rejects": f"""{EVENTS}

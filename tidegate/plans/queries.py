@@ -356,6 +356,19 @@ def j1_merge_undated(spark, sf_dir):
     return copies_by_hash(target.read(spark))
 
 
+@query("j1_merge_undated_again")
+def j1_merge_undated_again(spark, sf_dir):
+    """Few undated messages come again, between new ones: their keys alone say where they are looked for."""
+    target = bronze_target(new_layout(spark, "j1v"))
+    raw = fx.document_raw(spark, sf_dir)
+    merge_insert(to_bronze(raw, LOADED), target)
+    some = raw.where(row_hash(F.col("body")).startswith("0"))
+    changed = some.withColumn("body", F.concat("body", F.lit(" again")))
+    stats = merge_insert(to_bronze(some.unionByName(changed), LOADED), target)
+    found = target.read(spark).groupBy("rowhash").agg(F.count(F.lit(1)).alias("copies"))
+    return found.withColumn("known_in_batch", F.lit(stats.matched_keys))
+
+
 @query("j1_merge_time_of_day")
 def j1_merge_time_of_day(spark, sf_dir):
     """Device times without a date give no instant, so a message has one place on any day."""

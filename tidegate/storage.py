@@ -20,6 +20,12 @@ from tidegate.schemas import PARTITION_COLUMNS
 # and the merge relies on them to skip history by device time.
 WRITE_CONF = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
 
+# Messages without a device time are told apart by their key alone.  They are dealt to
+# files by this many leading characters of it, and a filter of the keys in each row group
+# lets a merge skip the files of other keys.  The filter's size follows the keys.
+KEY_PREFIX = 2
+SPREAD = "_spread"
+
 Slot = tuple[int | None, ...]
 
 
@@ -122,6 +128,7 @@ class Target:
     table: str | None = None
     partition_by: tuple[str, ...] = PARTITION_COLUMNS
     sort_by: tuple[str, ...] = ()
+    key: str = "rowhash"
 
     def exists(self, spark: SparkSession) -> bool:
         """Whether there is anything to merge with.
@@ -185,19 +192,29 @@ class Target:
         ``rebalance`` gathers each partition into files of the advisory size and
         splits one that holds most of the rows, so neither many small files nor
         one endless task results.  Sorting inside a file keeps the statistics of
-        its row groups narrow for template and time filters.
+        its row groups narrow for template and time filters.  Rows without a
+        partition are dealt by the beginning of their key, so a key is in one file
+        of each batch, and the other files' key filters rule it out.
         """
         spark = rows.sparkSession
         rows = rows.select(*self.schema.names)
         if self.table is not None:
             rows = self._evolve(spark, rows)
         written = Observation()
+        keyed = self.key in rows.columns
+        if keyed:
+            undated = F.col(self.partition_by[0]).isNull()
+            rows = rows.withColumn(SPREAD, F.when(undated, F.substring(self.key, 1, KEY_PREFIX)))
         rows = (
-            rows.hint("rebalance", *[F.col(c) for c in self.partition_by])
+            rows.hint("rebalance", *[F.col(c) for c in self.partition_by], *([F.col(SPREAD)] if keyed else []))
             .observe(written, F.count(F.lit(1)).alias("rows"))
-            .sortWithinPartitions(*self.partition_by, *self.sort_by)
+            .sortWithinPartitions(*self.partition_by, *self.sort_by, *([self.key] if keyed else []))
+            .drop(SPREAD)
         )
         writer = rows.write.mode("append").partitionBy(*self.partition_by).option("compression", "zstd")
+        if keyed:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{self.key}", "true")
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         set_write_conf(spark)
         if self.table is None:
             writer.parquet(self.path)
