@@ -71,7 +71,8 @@ def reset_layer(
         "bronze": [layout.bronze(), layout.checkpoint("bronze"), layout.start("bronze")],
         "silver": [
             layout.silver(),
-            *[layout.checkpoint(c) for c in ("silver", "silver_single", "quarantine")],
+            *[layout.checkpoint(c) for c in ("silver", "silver_single", "silver_single_templates", "quarantine")],
+            layout.quarantine("silver_superseded"),
         ],
     }[layer] + [layout.quarantine(layer)]
     for name in sorted(children(spark, layout.metrics())):

@@ -125,3 +125,62 @@ def _lost_fields(template: Template) -> Column:
         return F.array_compact(F.array(*nulls))
 
     return F.transform(F.array(typed.getField("telemetry")), names).getItem(0)
+
+
+MONTH = ("templateName", "yearDevice", "monthDevice")
+
+
+def _layer(df: DataFrame, name: str, times: Column | None = None) -> DataFrame:
+    """The rows of one layer as hashes; ``times`` is how often each counts."""
+    times = F.lit(1) if times is None else times
+    return df.select(*MONTH, F.lit(name).alias("layer"), times.cast("long").alias("n"), F.xxhash64("rowhash").alias("h"))
+
+
+def fingerprint(df: DataFrame) -> DataFrame:
+    """Per template and month: ``rows``, and the sum and the xor of 64-bit hashes of the messages.
+
+    Two sets of messages with one fingerprint are the same but for a chance of 2**-64;
+    order, files and copies of the layer do not matter.
+    """
+    return _layer(df, "").groupBy(*MONTH).agg(*_totals("layer", {"": 1}, "rows"))
+
+
+def _totals(layer: str, signs: dict[str, int], rows: str) -> list[Column]:
+    sign = F.coalesce(*[F.when(F.col(layer) == name, F.lit(s)) for name, s in signs.items()])
+    hashes = sign * F.col("n").cast("decimal(19,0)") * F.col("h").cast("decimal(19,0)")
+    odd = F.when(sign.isNotNull() & (F.col("n") % 2 == 1), F.col("h")).otherwise(0)
+    return [
+        F.sum(sign * F.col("n")).alias(rows),
+        F.coalesce(F.sum(hashes.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("hash_sum"),
+        F.bit_xor(odd).alias("hash_xor"),
+    ]
+
+
+def balance(whole: DataFrame, **parts: DataFrame) -> DataFrame:
+    """Whether every message of ``whole`` is in exactly one of ``parts``, per template and month.
+
+    One row each with the number of rows everywhere, and the differences of rows, hash
+    sums and hash xors between the whole and its parts: all zero if nothing was lost,
+    doubled or changed.  Only hashes are read, and they are added up before they are
+    shuffled.  A frame may have a column ``times`` that says how often its row counts.
+    """
+    frames = {"whole": whole, **parts}
+    union = None
+    for name, df in frames.items():
+        layer = _layer(df, name, F.col("times") if "times" in df.columns else None)
+        union = layer if union is None else union.unionByName(layer)
+    signs = {name: 1 if name == "whole" else -1 for name in frames}
+    counts = [F.coalesce(F.sum(F.when(F.col("layer") == name, F.col("n"))), F.lit(0)).alias(name) for name in frames]
+    totals = _totals("layer", signs, "rows_left")
+    return union.groupBy(*MONTH).agg(*counts, *totals).withColumnsRenamed({"hash_sum": "sum_left", "hash_xor": "xor_left"})
+
+
+def received_balance(received: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Everything received is in bronze, a copy of what is there, or without a body.
+
+    ``received`` are the rows before the merge.  Copies are counted per hash of a message.
+    """
+    by = [*MONTH, "rowhash"]
+    deliveries = received.where(F.col("rowhash").isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("deliveries"))
+    copies = deliveries.select(*by, (F.col("deliveries") - 1).alias("times")).where("times > 0")
+    return balance(received, bronze=bronze, copies=copies, bodiless=received.where(F.col("rowhash").isNull()))

@@ -97,6 +97,11 @@ metrics as (
 REASON = f"""case when body is null then 'null_body' when template is null then 'no_template'
        when template not in ({_names(KNOWN_ASSETS)}) then 'unknown_template' else 'no_telemetry' end"""
 
+PLACES = f"""{EVENTS}
+    select rowhash, case when coalesce(template in ({_names(fx.EVENT_ASSETS)}) and {HAS_TELEMETRY}, false) then 'silver'
+           else {REASON.replace(_names(KNOWN_ASSETS), _names(fx.EVENT_ASSETS))} end as place
+    from bronze"""
+
 CHECKS: dict[str, str] = {
     "s1_source_replay": f"{EVENTS} {RAW_ROWS}",
     "s2_start_position": f"{EVENTS} {RAW_ROWS} where enq >= timestamp '{START}'",
@@ -199,6 +204,24 @@ CHECKS: dict[str, str] = {
                {REASON} as reason
         from everything
         where not coalesce(template in ({_names(KNOWN_ASSETS)}) and {HAS_TELEMETRY}, false)""",
+    "d8_conservation": f"""{EVENTS},
+        received as (select b.template, b.sent, b.rowhash, r.body from raw r left join bronze b on r.body = b.body),
+        places as (
+          select template, year(sent) as y, month(sent) as m, count(*) as received,
+                 count(distinct rowhash) as bronze, count(rowhash) - count(distinct rowhash) as copies,
+                 count(*) filter (body is null) as bodiless
+          from received group by 1, 2, 3),
+        refined as (
+          select template, year(sent) as y, month(sent) as m,
+                 count(*) filter (coalesce(template in ({_names(KNOWN_ASSETS)}) and {HAS_TELEMETRY}, false)) as silver,
+                 count(*) as n
+          from bronze group by 1, 2, 3)
+        select p.template as "templateName", cast(p.y as int) as "yearDevice", cast(p.m as int) as "monthDevice", received, bronze,
+               copies, bodiless, coalesce(silver, 0) as silver, coalesce(n - silver, 0) as rejected, true as balanced
+        from places p left join refined r on p.template is not distinct from r.template
+             and p.y is not distinct from r.y and p.m is not distinct from r.m""",
+    "d1_release": PLACES,
+    "t6_template_joins_later": PLACES,
     "d2_orphans": f"""{EVENTS}
         select template as "templateName", count(*) as messages from bronze
         where template is null or template not in ({_names(KNOWN_ASSETS)}) group by 1""",

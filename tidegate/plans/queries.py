@@ -26,7 +26,7 @@ from tidegate.plans.rebuild import bronze_of, rebuild_silver
 from tidegate.sources.replay import between_positions, bronze_stream, bus_batch, bus_stream
 from tidegate.sources.templates import Template, template_fields
 from tidegate.storage import Target, scratch_folder
-from tidegate.streaming import metrics
+from tidegate.streaming import metrics, rejects
 from tidegate.streaming.ingest import (
     append_sink,
     bronze_target,
@@ -524,6 +524,61 @@ def d1_quarantine(spark, sf_dir):
     return show(rejected, drop=["loadDatetime"])
 
 
+@query("d8_conservation")
+def d8_conservation(spark, sf_dir):
+    """From the bus to silver, per template and month: where the messages are, and that none is lost or doubled."""
+    layout = new_layout(spark, "d8c")
+    templates = {a: t for a, t in fx.event_templates().items() if a in KNOWN_ASSETS}
+    raw = fx.event_raw(spark, sf_dir)
+    for batch in (between_positions(raw, end=MID_MONTH), raw):
+        merge_insert(to_bronze(batch, LOADED), bronze_target(layout))
+    run_for(start_silver_single(spark, layout, templates, trigger=ONCE))
+    bronze = bronze_target(layout).read(spark)
+    received = reports.received_balance(to_bronze(raw, LOADED), bronze)
+    silver = read_silver(spark, layout, templates.values())
+    refined = reports.balance(bronze, silver=silver, rejected=rejects.written(spark, layout))
+    left = ["rows_left", "sum_left", "xor_left"]
+    even = [*[F.col(f"{side}.{c}") == 0 for side in ("x", "y") for c in left]]
+    both = received.alias("x").join(refined.alias("y"), [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in reports.MONTH], "left")
+    # What has no body is in no bronze.
+    even = reduce(lambda a, b: a & b, [F.coalesce(c, F.lit(True)) for c in even])
+    return both.select(
+        *[F.col(f"x.{c}").alias(c) for c in reports.MONTH],
+        F.col("x.whole").alias("received"), "x.bronze", "x.copies", "x.bodiless",
+        *[F.coalesce(F.col(f"y.{c}"), F.lit(0)).alias(c) for c in ("silver", "rejected")], even.alias("balanced"),
+    )
+
+
+@query("d1_release")
+def d1_release(spark, sf_dir):
+    """A template that comes later takes its messages out of quarantine; a second release finds none."""
+    layout = new_layout(spark, "d1r")
+    templates = fx.event_templates()
+    merge_insert(to_bronze(fx.event_raw(spark, sf_dir), LOADED), bronze_target(layout))
+    some = {a: t for a, t in templates.items() if a in KNOWN_ASSETS}
+    run_for(start_silver_single(spark, layout, some, trigger=ONCE))
+    for _ in range(2):
+        rejects.release(spark, layout, templates)
+    silver = read_silver(spark, layout, templates.values()).select("rowhash", F.lit("silver").alias("place"))
+    left = rejects.current(spark, layout).select("rowhash", F.col("reason").alias("place"))
+    return silver.unionByName(left)
+
+
+@query("t6_template_joins_later")
+def t6_template_joins_later(spark, sf_dir):
+    """The single stream meets a new template in its second run and fills it from history by itself."""
+    layout = new_layout(spark, "t6j")
+    templates = fx.event_templates()
+    raw = fx.event_raw(spark, sf_dir)
+    merge_insert(to_bronze(between_positions(raw, end=MID_MONTH), LOADED), bronze_target(layout))
+    run_for(start_silver_single(spark, layout, {a: templates[a] for a in KNOWN_ASSETS}, trigger=ONCE))
+    merge_insert(to_bronze(raw, LOADED), bronze_target(layout))
+    run_for(start_silver_single(spark, layout, templates, trigger=ONCE))
+    silver = read_silver(spark, layout, templates.values()).select("rowhash", F.lit("silver").alias("place"))
+    left = rejects.current(spark, layout).select("rowhash", F.col("reason").alias("place"))
+    return silver.unionByName(left)
+
+
 @query("d2_orphans")
 def d2_orphans(spark, sf_dir):
     return reports.orphans(event_bronze(spark, sf_dir), KNOWN_ASSETS)

@@ -28,8 +28,8 @@ from tidegate.operators.merge import (
 from tidegate.operators.silver import to_silver
 from tidegate.sources.replay import bronze_stream
 from tidegate.sources.templates import Template
-from tidegate.storage import Target, path_exists, write_batch_folder
-from tidegate.streaming import metrics
+from tidegate.storage import Target, children, path_exists, write_batch_folder
+from tidegate.streaming import metrics, rejects
 from tidegate.streaming.runner import OnBatch, await_within, run_stream
 
 
@@ -208,6 +208,35 @@ def silver_sink(
     return on_batch
 
 
+def adopt(spark: SparkSession, layout: Layout, templates: Mapping[str, Template], mode: str = "strict") -> list[str]:
+    """Bring templates that the single stream has not fed before up to its position.
+
+    Each template has a mark with the stream's last batch at the time it joined.  One
+    without a mark, if the stream has run before, is filled from all of bronze, and its
+    messages leave quarantine.  What the stream reads of that later is found to be there.
+    The mark comes last: a run that ended before it starts anew and inserts what is missing.
+    """
+    names = asset_names(templates)
+    marks = layout.checkpoint("silver_single_templates")
+    known = set(children(spark, marks))
+    new = [asset for asset in templates if names[asset] not in known]
+    batches = [int(b) for b in children(spark, f"{layout.checkpoint('silver_single')}/commits") if b.isdigit()]
+    filled = []
+    if new and batches:
+        bronze = bronze_target(layout).read(spark)
+        for asset in new:
+            target = silver_target(layout, templates[asset])
+            stats = merge_insert(to_silver(bronze, templates[asset]), target, SILVER_MERGE.with_mode(mode))
+            metrics.record(spark, layout.metrics(), f"silver_{names[asset]}", -1, stats)
+            filled.append(asset)
+        rejects.release(spark, layout, templates, mode)
+    position = max(batches, default=-1)
+    for asset in new:
+        place = f"{marks}/{names[asset]}"
+        spark.range(0, 1, 1, 1).select(F.lit(str(position))).write.mode("overwrite").text(place)
+    return filled
+
+
 def start_silver_single(
     spark: SparkSession,
     layout: Layout,
@@ -219,10 +248,11 @@ def start_silver_single(
 ) -> StreamingQuery:
     """All templates from one query: bronze is read once, rejects are kept.
 
-    Cheaper than one query per template when there are many, but its checkpoint is
-    shared: fill a template that is added later with ``rebuild_silver`` first.
+    Cheaper than one query per template when there are many.  Its checkpoint is
+    shared, so a template that comes later is filled from history before the stream goes on.
     """
     _refuse_other_form(spark, layout, ["silver", "quarantine"])
+    adopt(spark, layout, templates, mode)
     bronze = bronze_stream(spark, bronze_target(layout), max_files, max_bytes)
     sink = silver_sink(layout, templates, mode)
     return run_stream(bronze, sink, layout.checkpoint("silver_single"), trigger)
