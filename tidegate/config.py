@@ -83,6 +83,9 @@ class Layout:
     def metrics(self) -> str:
         return self._at("metrics")
 
+    def progress(self) -> str:
+        return self._at("progress")
+
 
 @dataclass(frozen=True)
 class RunConfig:

@@ -75,9 +75,10 @@ def reset_layer(
             layout.quarantine("silver_superseded"),
         ],
     }[layer] + [layout.quarantine(layer)]
-    for name in sorted(children(spark, layout.metrics())):
-        if (name == "target=bronze") == (layer == "bronze"):
-            folders.append(f"{layout.metrics()}/{name}")
+    for place in (layout.metrics(), f"{layout.metrics()}_rolled"):
+        for name in sorted(children(spark, place)):
+            if (name == "target=bronze") == (layer == "bronze"):
+                folders.append(f"{place}/{name}")
     paths = tuple(p for p in folders if path_exists(spark, p))
     tables = tuple(_layer_tables(spark, layout, layer))
     if not dry_run:

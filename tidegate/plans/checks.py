@@ -188,6 +188,11 @@ CHECKS: dict[str, str] = {
         f"coalesce(min(enq) filter (enq >= timestamp '{MID_MONTH}'), min(enq)) as enq",
     ),
     "a1_batch_metrics": f"{BATCHES} select * from metrics",
+    "a1_stream_progress": f"""{EVENTS}
+        select 'kept' as query, cast(0 as bigint) as batch_id, count(*) filter (enq <= timestamp '{MID_MONTH}') as rows_in,
+               true as timed, true as marked from raw
+        union all
+        select 'kept', 1, count(*) filter (enq >= timestamp '{MID_MONTH}'), true, true from raw""",
     "l2_last_batch": f"{BATCHES} select * from metrics order by batch_id desc limit 1",
     "c1_table_over_existing_folder": f"{EVENTS} select rowhash, cast(1 as bigint) as copies from bronze",
     "c2_list_tables": "select distinct 'silver_' || event_type as \"tableName\" from events",

@@ -26,7 +26,7 @@ from tidegate.plans.rebuild import bronze_of, rebuild_silver
 from tidegate.sources.replay import between_positions, bronze_stream, bus_batch, bus_stream
 from tidegate.sources.templates import Template, template_fields
 from tidegate.storage import Target, scratch_folder
-from tidegate.streaming import metrics, rejects
+from tidegate.streaming import metrics, progress, rejects
 from tidegate.streaming.ingest import (
     append_sink,
     bronze_target,
@@ -461,7 +461,28 @@ def a1_batch_metrics(spark, sf_dir):
 def l2_last_batch(spark, sf_dir):
     layout = new_layout(spark, "l2")
     two_deliveries(spark, sf_dir, layout)
-    return metrics.last_batch(metrics.read(spark, layout.metrics())).drop("at")
+    return metrics.latest(spark, layout.metrics()).drop("at")
+
+
+@query("a1_stream_progress")
+def a1_stream_progress(spark, sf_dir):
+    """Rows of each batch as Spark reports them, kept by a listener in one file per query and day."""
+    layout = new_layout(spark, "a1p")
+    raw = fx.event_raw(spark, sf_dir)
+    reports_of = progress.ProgressLog()
+    spark.streams.addListener(reports_of)
+    try:
+        for batch in (between_positions(raw, end=MID_MONTH), between_positions(raw, start=MID_MONTH)):
+            batch.write.mode("append").parquet(f"{layout.root}/raw")
+            stream = bus_stream(spark, f"{layout.root}/raw", watermark="1 hour")
+            started = run_stream(stream, append_sink(f"{layout.root}/kept"), layout.checkpoint("kept"), ONCE, name="kept")
+            run_for(started)
+            reports_of.wait(started.runId)
+            reports_of.flush(spark, layout.progress())
+    finally:
+        spark.streams.removeListener(reports_of)
+    found = progress.read(spark, layout.progress())
+    return found.select("query", "batch_id", "rows_in", (F.col("batch_ms") > 0).alias("timed"), F.col("watermark").isNotNull().alias("marked"))
 
 
 # -- catalog ----------------------------------------------------------------------
