@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate import schemas
 from tidegate.operators.quarantine import telemetry_text
 from tidegate.sources.templates import Template
 
@@ -127,6 +128,92 @@ def _lost_fields(template: Template) -> Column:
     return F.transform(F.array(typed.getField("telemetry")), names).getItem(0)
 
 
+# Types of a reading that a column of a template's type holds without loss.
+FITS = {"boolean": ("boolean",), "integer": ("integer",), "float": ("integer", "double"), "double": ("integer", "double")}
+
+
+def _kind(value: Column) -> Column:
+    """JSON type of a variant: integer, double, boolean, string, object, array or null."""
+    name = F.schema_of_variant(value)
+    return (
+        F.when(value.isNull() | (name == "VOID"), "null")
+        .when(name.startswith("OBJECT"), "object")
+        .when(name.startswith("ARRAY"), "array")
+        .when(name == "BOOLEAN", "boolean")
+        .when(name.rlike(r"^(BIGINT|DECIMAL\(\d+,0\))$"), "integer")
+        .when(name.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "double")
+        .otherwise("string")
+    )
+
+
+def readings(bronze: DataFrame, depth: int = 3) -> DataFrame:
+    """Telemetry as found: ``templateName, path, type, value``, one row per field down to ``depth``.
+
+    Names of nested fields are joined by dots, elements of arrays are called ``[]``.  Bodies
+    are parsed as variants, so a field's type needs no schema.  Messages that are
+    no JSON, name a field twice, or whose telemetry is no object give nothing.
+    """
+    parsed = F.expr("try_variant_get(try_parse_json(body), '$.telemetry', 'variant')")
+    level = bronze.select("templateName", F.lit("").alias("path"), parsed.alias("value"))
+    level = level.where(F.col("value").isNotNull() & (_kind(F.col("value")) == "object"))
+    found = None
+    for _ in range(depth):
+        tvf = bronze.sparkSession.tvf
+        inner = level.withColumnsRenamed({"path": "above", "value": "whole"})
+        inner = inner.lateralJoin(tvf.variant_explode(F.col("whole").outer()))
+        name = F.concat_ws(".", F.nullif("above", F.lit("")), F.coalesce("key", F.lit("[]")))
+        level = inner.select("templateName", name.alias("path"), "value")
+        rows = level.select("templateName", "path", _kind(F.col("value")).alias("type"), "value")
+        found = rows if found is None else found.unionByName(rows)
+        level = level.where(_kind(F.col("value")).isin("object", "array"))
+    return found
+
+
+def typed_drift(bronze: DataFrame, templates: Iterable[Template], depth: int = 3) -> DataFrame:
+    """Readings that their template does not take as they are: ``templateName, path, type, messages``.
+
+    These are fields it lacks, nested ones too, and fields of another type.  A reading of null
+    fits everywhere.  Counted before they are shuffled; a message that holds a path
+    twice (elements of an array) counts once for each.
+    """
+    templates = sorted(templates, key=lambda t: t.asset)
+    spark = bronze.sparkSession
+    if not templates:
+        return spark.createDataFrame([], "templateName string, path string, type string, messages bigint")
+    kinds = {v.simpleString(): k for k, v in schemas.TELEMETRY_TYPES.items()}
+    fits = [
+        (t.asset, [f"{name}={kind}" for name, _, column in t.columns for kind in FITS[kinds[column.simpleString()]]])
+        for t in templates
+    ]
+    known = spark.createDataFrame(fits, "templateName string, fits array<string>")
+    named = bronze.where(F.col("templateName").isin([t.asset for t in templates]))
+    found = readings(named, depth).where("type <> 'null'").join(F.broadcast(known), "templateName")
+    odd = found.where(~F.array_contains("fits", F.concat("path", F.lit("="), F.col("type"))))
+    return odd.groupBy("templateName", "path", "type").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def propose(drift: DataFrame, templates: Iterable[Template], least: int = 1) -> dict[str, list[dict]]:
+    """Template files that also take the new fields of ``typed_drift`` found ``least`` times.
+
+    Only fields at the top whose readings have one type, or are whole and broken numbers, can become
+    columns; fields of a template stay as they are.  The rows are one per field.
+    """
+    kinds = {v.simpleString(): k for k, v in schemas.TELEMETRY_TYPES.items()}
+    fields = {t.asset: {name: kinds[kind.simpleString()] for name, _, kind in t.columns} for t in templates}
+    top = drift.where(~F.contains("path", F.lit(".")) & (F.col("path") != "[]"))
+    seen = top.groupBy("templateName", "path").agg(F.collect_set("type").alias("types"), F.sum("messages").alias("messages"))
+    for row in seen.where(F.col("messages") >= least).collect():
+        own, types = fields[row.templateName], set(row.types)
+        taken = {name.lower() for name in own}
+        if row.path.lower() in taken or not (types <= {"integer", "double"} or types == {"boolean"}):
+            continue
+        own[row.path] = "double" if "double" in types else types.pop()
+    return {
+        asset: [{"contents": [{"name": name, "schema": kind} for name, kind in sorted(own.items())]}]
+        for asset, own in fields.items()
+    }
+
+
 MONTH = ("templateName", "yearDevice", "monthDevice")
 
 

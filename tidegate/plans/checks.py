@@ -245,5 +245,27 @@ CHECKS: dict[str, str] = {
     "d6_mistyped": f"""{EVENTS}
         select template as "templateName", 'value' as field, count(*) as messages from bronze
         where template in ({_names(fx.EVENT_ASSETS)}) and json_type(jb, '$.telemetry.value') = 'VARCHAR' group by 1""",
+    "d6_typed_drift": f"""{EVENTS},
+        found as (select template, unnest(json_keys(jb, '$.telemetry')) as path, jb from bronze
+                   where template in ({_names(fx.EVENT_ASSETS)}) and {HAS_TELEMETRY}),
+        typed as (select template, path, json_type(jb, '$.telemetry.' || path) as t from found)
+        select template as "templateName", path,
+               case when t in ('UBIGINT', 'BIGINT') then 'integer' when t = 'DOUBLE' then 'double' else 'string' end as type,
+               count(*) as messages
+        from typed
+        where not ((path = 'value' and t in ('UBIGINT', 'BIGINT', 'DOUBLE')) or (path = 'k' and t in ('UBIGINT', 'BIGINT')))
+        group by 1, 2, 3""",
+    "d7_compiled_templates": f"""{EVENTS},
+        new_fields as (select template, unnest(json_keys(jb, '$.telemetry')) as name from bronze
+                       where template in ({_names(fx.EVENT_ASSETS)}) and {HAS_TELEMETRY}),
+        every as (select distinct template, name from new_fields
+                   union select unnest([{_names(fx.EVENT_ASSETS)}]), unnest(['k', 'k', 'k', 'k', 'k'])
+                   union select unnest([{_names(fx.EVENT_ASSETS)}]), unnest(['value', 'value', 'value', 'value', 'value']))
+        select 'new ' || template as asset,
+               cast(row_number() over (partition by template order by name) - 1 as int) as position, name, name as column,
+               case name when 'value' then 'double' else 'int' end as type, cast(null as varchar) as error
+        from every
+        union all
+        select distinct event_type, cast(null as int), null, null, null, 'props: unknown type string' from events""",
     "d8_rebuild": _silver(EVENTS, f"template in ({_names(fx.EVENT_ASSETS)})"),
 }

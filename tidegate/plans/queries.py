@@ -6,6 +6,7 @@ The load time is fixed or left out, as it differs between runs.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 from functools import reduce, wraps
 
@@ -24,7 +25,7 @@ from tidegate.operators.quarantine import quarantine
 from tidegate.operators.silver import of_template, parse_envelope, to_silver
 from tidegate.plans.rebuild import bronze_of, rebuild_silver
 from tidegate.sources.replay import between_positions, bronze_stream, bus_batch, bus_stream
-from tidegate.sources.templates import Template, template_fields
+from tidegate.sources.templates import Template, compile_templates, template_fields
 from tidegate.storage import Target, scratch_folder
 from tidegate.streaming import metrics, progress, rejects
 from tidegate.streaming.ingest import (
@@ -154,15 +155,14 @@ def s4_bronze_as_stream(spark, sf_dir):
     return show(kept, drop=["loadDatetime"])
 
 
-@query("s5_template_fields")
-def s5_template_fields(spark, sf_dir):
+def _template_files(spark: SparkSession, sf_dir: str, label: str) -> dict[str, str]:
     """Template files written from the telemetry seen per event type, then compiled.
 
     Each file first lists every field as float and then, in a second object, with
     its real type, which has to win.  The properties as a whole are text, a type
     telemetry cannot have.
     """
-    root = scratch_folder(spark, "s5")
+    root = scratch_folder(spark, label)
     events = fx.table(spark, sf_dir, "events")
     names = F.array_append(F.json_object_keys("props"), "value")
     kinds = F.create_map(F.lit("value"), F.lit("double"), F.lit("props"), F.lit("string"))
@@ -180,8 +180,36 @@ def s5_template_fields(spark, sf_dir):
     files = seen.groupBy("event_type").agg(F.to_json(objects).alias("value"))
     files.write.partitionBy("event_type").text(root)
     places = spark.read.text(root).select("event_type", "_metadata.file_path").distinct()
-    found = {r.event_type: r.file_path for r in places.collect()}
-    return template_fields(spark, found).select("asset", "name", "type", "error")
+    return {r.event_type: r.file_path for r in places.collect()}
+
+
+@query("s5_template_fields")
+def s5_template_fields(spark, sf_dir):
+    return template_fields(spark, _template_files(spark, sf_dir, "s5")).select("asset", "name", "type", "error")
+
+
+@query("d7_compiled_templates")
+def d7_compiled_templates(spark, sf_dir):
+    """Columns of the silver datasets as compiled from files: those found in the events, with new fields proposed.
+
+    Files with a type that telemetry cannot have are reported, one row each.
+    """
+    bad = _template_files(spark, sf_dir, "d7")
+    templates = list(fx.event_templates().values())
+    files = reports.propose(reports.typed_drift(event_bronze(spark, sf_dir), templates), templates)
+    root = scratch_folder(spark, "d7p")
+    rows = [(asset, json.dumps(content)) for asset, content in files.items()]
+    spark.createDataFrame(rows, "asset string, value string").write.partitionBy("asset").text(root)
+    places = spark.read.text(root).select("asset", "_metadata.file_path").distinct().collect()
+    good = {f"new {r.asset}": r.file_path for r in places}
+    compiled, errors = compile_templates(spark, bad | good)
+    columns = [
+        (asset, at, name, column, kind.simpleString(), None)
+        for asset, t in compiled.items()
+        for at, (name, column, kind) in enumerate(t.columns)
+    ]
+    columns += [(asset, None, None, None, None, error) for asset, error in errors.items()]
+    return spark.createDataFrame(columns, "asset string, position int, name string, column string, type string, error string")
 
 
 # -- scalar functions and projections -----------------------------------------------
@@ -626,6 +654,11 @@ def d6_mistyped(spark, sf_dir):
     return reports.mistyped(event_bronze(spark, sf_dir), fx.event_templates().values())
 
 
+@query("d6_typed_drift")
+def d6_typed_drift(spark, sf_dir):
+    return reports.typed_drift(event_bronze(spark, sf_dir), fx.event_templates().values())
+
+
 @query("d8_rebuild")
 def d8_rebuild(spark, sf_dir):
     layout = new_layout(spark, "d8")
