@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import threading
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from tidegate.config import Layout
 from tidegate.operators.merge import MergeStats
 from tidegate.storage import children
 from tidegate.streaming import metrics, progress
-from tidegate.streaming.runner import ONCE, run_for, run_stream
+from tidegate.streaming.runner import ONCE, Drain, run_for, run_stream, trigger_of
 
 
 def stats(n: int) -> MergeStats:
@@ -91,3 +95,42 @@ def test_progress_row_of_a_source_that_lags():
     assert (row.day, row.batch_ms, row.source_ms, row.behind, row.watermark) == ("2024-01-02", 9, 4, 12, "2024-01-02T00:00:00.000Z")
     assert progress._row({"name": None, "numInputRows": 5}) is None
     assert progress._row({"name": "bus", "numInputRows": 0}) is None
+
+
+@pytest.mark.parametrize("seconds", [0.7, 1.6, 2.5])
+def test_time_boxed_run_ends_between_batches(spark, folder, seconds):
+    """Under load, with a batch always at work, each batch that began is finished and committed."""
+    spark.range(0, 60, 1, 60).write.parquet(f"{folder}/in")
+    began, ended = [], []
+
+    def on_batch(df, batch_id):
+        began.append(batch_id)
+        time.sleep(0.4)
+        df.write.mode("overwrite").parquet(f"{folder}/out/batch_id={batch_id}")
+        ended.append(batch_id)
+
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    run_for(run_stream(stream, on_batch, f"{folder}/checkpoint", trigger_of(0)), seconds)
+    commits = sorted(int(c) for c in children(spark, f"{folder}/checkpoint/commits"))
+    assert began == ended == commits
+    # The next run takes up what is left; every record comes once.
+    run_for(run_stream(stream, on_batch, f"{folder}/checkpoint", ONCE))
+    assert sorted(r.id for r in spark.read.parquet(f"{folder}/out").select("id").collect()) == list(range(60))
+
+
+def test_drain_does_not_wait_for_ever(spark, folder):
+    spark.range(3).write.parquet(f"{folder}/in")
+    begun, go = threading.Event(), threading.Event()
+
+    def on_batch(df, batch_id):
+        begun.set()
+        go.wait(20)
+
+    drain = Drain()
+    stream = spark.readStream.schema("id long").parquet(f"{folder}/in")
+    writer = stream.writeStream.foreachBatch(drain.guard(on_batch)).option("checkpointLocation", f"{folder}/checkpoint")
+    query = writer.start()
+    assert begun.wait(20)
+    threading.Timer(1.5, go.set).start()
+    assert not drain.stop(query, 0.5)
+    assert not query.isActive
