@@ -68,7 +68,7 @@ def reset_layer(
     if not layout.root.strip("/") or layout.root.rstrip("/").endswith(":"):
         raise ValueError("refusing to reset a layout at the root of a file system")
     folders = {
-        "bronze": [layout.bronze(), layout.checkpoint("bronze"), layout.start("bronze")],
+        "bronze": [layout.bronze(), f"{layout.bronze()}_staged", layout.checkpoint("bronze"), layout.start("bronze")],
         "silver": [
             layout.silver(),
             *[layout.checkpoint(c) for c in ("silver", "silver_single", "silver_single_templates", "quarantine")],

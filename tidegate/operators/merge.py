@@ -16,9 +16,10 @@ The target is history and far larger than a batch, so history is only scanned:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
@@ -289,17 +290,23 @@ def persisted(df: DataFrame):
             df.unpersist()
 
 
-def merge_insert(batch: DataFrame, target: Target, spec: MergeSpec = BRONZE_MERGE) -> MergeStats:
+def merge_insert(
+    batch: DataFrame,
+    target: Target,
+    spec: MergeSpec = BRONZE_MERGE,
+    append: Callable[[DataFrame], int] | None = None,
+) -> MergeStats:
     """Merge one batch into the target and report what happened.
 
     Each step is chosen by a measured size: copies are removed only if there are
     any, and the batch is joined only if some of its keys were found.
     Repeating a batch, even after a half-finished write, inserts only what is
-    missing (for rows with a key).
+    missing (for rows with a key).  ``append`` takes the rows to insert, by default the target.
     """
+    append = append or target.append
     batch = batch.select(*target.schema.names)
     if not target.exists(batch.sparkSession):
-        return _first_load(batch, target, spec)
+        return _first_load(batch, append, spec)
     with persisted(batch) as batch:
         fp = footprint(batch, spec)
         if fp.rows == 0:
@@ -314,10 +321,32 @@ def merge_insert(batch: DataFrame, target: Target, spec: MergeSpec = BRONZE_MERG
             n_hits = hits.count()
             if n_hits:
                 rows = without(rows, hits, spec, n_hits, fp.rows)
-            return MergeStats(fp.rows, fp.null_keys, n_hits, target.append(rows))
+            return MergeStats(fp.rows, fp.null_keys, n_hits, append(rows))
 
 
-def _first_load(batch: DataFrame, target: Target, spec: MergeSpec) -> MergeStats:
+def merge_once(
+    batch: DataFrame, target: Target, spec: MergeSpec, stream: str, batch_id: int
+) -> MergeStats:
+    """Merge one batch of a stream exactly once, however often it is tried.
+
+    Its rows are first written beside the target, which stays as it was; a note says that
+    they are complete.  From then on a repetition only moves what is left to move, and
+    compares nothing with a target that holds half of the batch.  The note
+    is kept until the next batch, for a batch whose commit was lost.
+    """
+    spark = batch.sparkSession
+    name = f"{stream}-{batch_id}"
+    known = target.noted(spark, name)
+    if known is None:
+        stats = merge_insert(batch, target, spec, lambda rows: target.stage(rows, name))
+        target.note(spark, name, json.dumps(asdict(stats)))
+    else:
+        stats = MergeStats(**json.loads(known))
+    target.publish(spark, name, f"{stream}-{batch_id - 1}")
+    return stats
+
+
+def _first_load(batch: DataFrame, append: Callable[[DataFrame], int], spec: MergeSpec) -> MergeStats:
     """Create the target, possibly from all of history, without keeping the batch."""
     seen = Observation()
     totals = (F.count(F.lit(1)).alias("rows"), F.count_if(F.col(spec.key).isNull()).alias("null_keys"))
@@ -326,7 +355,7 @@ def _first_load(batch: DataFrame, target: Target, spec: MergeSpec) -> MergeStats
         rows = rows.where(F.col(spec.key).isNotNull())
         if spec.copies == "expected" or (spec.copies == "unknown" and has_copies(batch, spec.key)):
             rows = first_copy(rows, spec)
-    inserted = target.append(rows)
+    inserted = append(rows)
     # A batch without any key leaves an empty plan and no metrics; its rows still count.
     counts = observed(seen) or batch.agg(*totals).first().asDict()
     return MergeStats(counts["rows"], counts["null_keys"], 0, inserted)

@@ -187,7 +187,57 @@ class Target:
         return reader.parquet(*folders).where(self._in_slots(slots))
 
     def append(self, rows: DataFrame) -> int:
-        """Write the rows and return how many there were.
+        """Write the rows into the dataset and return how many there were."""
+        return self._write(rows, self.path, self.table)
+
+    def stage(self, rows: DataFrame, batch: str) -> int:
+        """Write the rows of one batch beside the dataset, over what an earlier try left."""
+        delete_path(rows.sparkSession, self._staged(batch))
+        return self._write(rows, self._staged(batch), None)
+
+    def _staged(self, batch: str = "") -> str:
+        return f"{self.path.rstrip('/')}_staged/{batch}".rstrip("/")
+
+    def note(self, spark: SparkSession, batch: str, text: str) -> None:
+        """State that a staged batch is complete; the text is kept with it."""
+        spark.range(0, 1, 1, 1).select(F.lit(text)).write.mode("overwrite").text(f"{self._staged(batch)}.note")
+
+    def noted(self, spark: SparkSession, batch: str) -> str | None:
+        """The text of a batch that was staged completely, published or not."""
+        place = f"{self._staged(batch)}.note"
+        return spark.read.text(place).first().value if path_exists(spark, f"{place}/_SUCCESS") else None
+
+    def publish(self, spark: SparkSession, batch: str, before: str | None = None) -> int:
+        """Move what is left of a staged batch into the dataset; the note of an older batch goes.
+
+        A file keeps its name behind the batch's, so a move that was cut off goes on where it
+        ended.  There is one move per file and no reading.
+        """
+        staged = self._staged(batch)
+        moved = 0
+        if path_exists(spark, staged):
+            root, fs = _path(spark, staged)
+            start = len(fs.makeQualified(root).toString().rstrip("/")) + 1
+            files = fs.listFiles(root, True)
+            while files.hasNext():
+                place = files.next().getPath()
+                folder, _, name = place.toString()[start:].rpartition("/")
+                if name.startswith(("_", ".")):
+                    continue
+                target, _ = _path(spark, f"{self.path.rstrip('/')}/{folder}/{batch}-{name}")
+                fs.mkdirs(target.getParent())
+                if not fs.rename(place, target):
+                    raise OSError(f"could not move {place} to {target}")
+                moved += 1
+            if moved and self.table is not None and self.exists(spark):
+                spark.sql(f"MSCK REPAIR TABLE {self.table}")
+            delete_path(spark, staged)
+        if before is not None:
+            delete_path(spark, f"{self._staged(before)}.note")
+        return moved
+
+    def _write(self, rows: DataFrame, path: str, table: str | None) -> int:
+        """Write the rows as the dataset's files and return how many there were.
 
         ``rebalance`` gathers each partition into files of the advisory size and
         splits one that holds most of the rows, so neither many small files nor
@@ -216,10 +266,10 @@ class Target:
             writer = writer.option(f"parquet.bloom.filter.enabled#{self.key}", "true")
             writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         set_write_conf(spark)
-        if self.table is None:
-            writer.parquet(self.path)
+        if table is None:
+            writer.parquet(path)
         else:
-            writer.format("parquet").option("path", self.path).saveAsTable(self.table)
+            writer.format("parquet").option("path", path).saveAsTable(table)
         # Without metrics the plan was found to be empty: nothing was written.
         return (observed(written) or {}).get("rows", 0)
 

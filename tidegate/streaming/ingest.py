@@ -23,6 +23,7 @@ from tidegate.operators.merge import (
     MergeStats,
     has_copies,
     merge_insert,
+    merge_once,
     persisted,
 )
 from tidegate.operators.silver import to_silver
@@ -64,11 +65,23 @@ def append_sink(folder: str) -> OnBatch:
     return on_batch
 
 
+def merge_batch(batch: DataFrame, batch_id: int, target: Target, spec: MergeSpec) -> MergeStats:
+    """Merge a micro-batch.
+
+    A strict merge may be repeated as it is.  In ``compat`` mode copies inside a batch are all
+    kept, and rows without a key always, so a batch is merged once by its stream and number.
+    """
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if spec.mode == "strict" or stream is None:
+        return merge_insert(batch, target, spec)
+    return merge_once(batch, target, spec, stream, batch_id)
+
+
 def merge_sink(target: Target, spec: MergeSpec, layout: Layout, name: str) -> OnBatch:
     """Batch callback: insert-only merge into the target, then one metrics row."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        stats = merge_insert(batch, target, spec)
+        stats = merge_batch(batch, batch_id, target, spec)
         metrics.record(batch.sparkSession, layout.metrics(), name, batch_id, stats)
 
     return on_batch
@@ -82,7 +95,7 @@ def bronze_sink(
     spec = BRONZE_MERGE.with_mode(mode).with_arrival([f.name for f in bus])
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        stats = merge_insert(batch, target, spec)
+        stats = merge_batch(batch, batch_id, target, spec)
         quarantined = stats.null_keys if mode == "strict" else 0
         if quarantined:
             rejected = batch.where(F.col("body").isNull()).withColumn("reason", F.lit("null_body"))
