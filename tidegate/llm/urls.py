@@ -4,7 +4,8 @@ Rules (host, path) fit their host and its subdomains where the path starts with
 are the labelled ones: the trees learn from them and judge all others.  Features: lengths, depth, shares of digits and of marks, character
 entropy, labels of the host, parameters, and what share of its suffix was blocked.
 
-The trees are fitted on at most about ``sample`` labelled urls, taken by the hash of the url.  The shares of suffixes come from all labelled
+The trees are fitted on at most about ``sample`` labelled urls, half of each class if there are as many, taken by the hash of the url; a url that
+repeats counts once, and weights restore the proportions.  The shares of suffixes come from all labelled
 urls, each counted once, and meet the urls by a join.  Rules and scores cover all urls.
 
 Cases: a null url, and one without ``://``, has an empty host and path, fits no rule and is judged by its other features.  Null and
@@ -98,6 +99,18 @@ def suffix_shares(labelled: DataFrame, others: DataFrame, prior: float) -> DataF
     return each.groupBy("suffix").agg(share.alias("suffix_blocked"), F.sum("other").alias("judged"))
 
 
+def quotas(sizes: dict[float, int], sample: int) -> dict[float, int]:
+    """How many urls of each class are fitted: half of the sample, or what a smaller class leaves."""
+    half = max(1, sample // 2)
+    least = min(min(sizes.values()), half)
+    return {label: min(n, max(half, sample - least)) for label, n in sizes.items()}
+
+
+def last_hash(quota: int, n: int, least: int) -> int:
+    """The largest hash that is drawn, for about ``quota`` of ``n`` urls and at least the one with the ``least`` hash."""
+    return 2**63 - 1 if quota >= n else max(least, quota * 2**64 // n - 2**63 - 1)
+
+
 def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, sample: int = 20_000, rounds: int = 12) -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict, blocked`` (the trees' probability, null where a rule decides)."""
     own = pages.select(pages["page_id"].alias("page_id"), pages["url"].cast("string").alias("url"))
@@ -106,21 +119,26 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, sam
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     urls = urls.withColumns({"rule": rule, "says": verdict, "suffix": F.substring_index("host", ".", -2)})
     labelled = urls.where("says is not null").withColumn("label", (F.col("says") == "block").cast("double"))
-    sizes = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Equal urls share a label; those that repeat count once.
+    once = labelled.groupBy("label", "url").agg(F.count(F.lit(1)).alias("rows")).withColumn("hash", F.xxhash64("url"))
+    found = once.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("least")).collect()
+    sizes = {r["label"]: r["n"] for r in found}
     result = ["page_id", "host", "path", "rule"]
     if len(sizes) < 2:
         return urls.select(*result, F.coalesce("says", F.lit("allow")).alias("verdict"), F.lit(None).cast("double").alias("blocked"))
-    # A url's hash decides; equal urls share a label, so those that repeat count once.
-    share = min(1.0, sample / sum(sizes.values()))
-    taken = labelled.where(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int(share * (1 << 20))).dropDuplicates(["url"])
-    taken = stored(features(taken), "urls")
+    quota = quotas(sizes, sample)
+    drawn = [(F.col("label") == r["label"]) & (F.xxhash64("url") <= F.lit(last_hash(quota[r["label"]], r["n"], r["least"]))) for r in found]
+    taken = labelled.where(drawn[0] | drawn[1]).dropDuplicates(["url"])
+    # A class that was drawn more thinly counts more.
+    weight = F.when(F.col("label") == 1.0, F.lit(sizes[1.0] / quota[1.0])).otherwise(F.lit(sizes[0.0] / quota[0.0]))
+    taken = stored(features(taken).withColumn("weight", weight), "urls")
     prior = sizes[1.0] / sum(sizes.values())
     others = urls.where("says is null")
     suffixes = stored(suffix_shares(labelled, others, prior), "suffixes")
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    trees = GBTClassifier(maxIter=rounds, maxDepth=3, stepSize=0.3, maxBins=32, seed=SEED, cacheNodeIds=False)
+    trees = GBTClassifier(maxIter=rounds, maxDepth=3, stepSize=0.3, maxBins=32, seed=SEED, cacheNodeIds=False, weightCol="weight")
     fitted = assembler.transform(taken.join(suffixes, "suffix"))
-    model = trees.fit(fitted.select("features", "label").repartition(4))
+    model = trees.fit(fitted.select("features", "label", "weight").repartition(4))
     met = join_groups(others, suffixes.where("judged > 0"), ["suffix"], "judged", "inner")
     rest = model.transform(assembler.transform(features(met)))
     blocked = vector_to_array("probability")[1]
