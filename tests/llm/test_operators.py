@@ -186,6 +186,55 @@ def test_mixing(docs, rows):
     assert all(abs(totals[s] - t) <= 128 + 0.02 * t for s, t in target.items())
 
 
+def test_mixing_targets(docs, rows):
+    """Sizes, and targets by filling all sources at one rate until their limits."""
+    size = Counter()
+    for r in rows:
+        size[r[3]] += len(brute.words(r[1]))
+    sources = sorted(size, key=lambda s: (s is None, s or ""))
+    weight = {s: (1, 2, 3)[k % 3] for k, s in enumerate(sources)}
+    target, left, full = {}, float(sum(size.values())), set()
+    while True:
+        rate = left / sum(weight[s] for s in sources if s not in full)
+        over = {s for s in sources if s not in full and rate * weight[s] > 3 * size[s]}
+        if not over:
+            break
+        full |= over
+        left -= sum(3 * size[s] for s in over)
+    target = {s: 3 * size[s] if s in full else rate * weight[s] for s in sources}
+    source = {r[0]: r[3] for r in rows}
+    for r in mixing.taken(docs).collect():
+        assert r["source_size"] == size[source[r["doc_id"]]]
+        assert math.isclose(r["target"], target[source[r["doc_id"]]], rel_tol=1e-9, abs_tol=1e-6)
+
+
+def test_mixing_shards(docs, monkeypatch):
+    """Every block taken lies in a shard, the draw decides in which; no task lists more than its share of the slots."""
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 8)
+    monkeypatch.setattr(mixing, "TASK_SLOTS", 16)
+    monkeypatch.setattr(mixing, "CHUNK_SLOTS", 4)
+    counts = mixing.shard_counts(docs, block=16)
+    slots = sum(r["blocks"] for r in counts.collect())
+    shards = -(-slots // 8)
+    found = counts.groupBy("shard").agg(F.sum("blocks").alias("n")).collect()
+    assert {r["shard"] for r in found} <= set(range(shards)) and len(found) > shards / 2
+    assert max(r["n"] for r in found) < 40  # about 8 each
+    _, sources = mixing.placed(docs, (1, 2, 3), 3.0)
+    uses = mixing.block_uses(sources, 16, 7)
+    parts = uses.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 4 and max(r["count"] for r in parts) < slots / 4
+    assert all((r["shards"] > 0) == (r["taken"] > 0) for r in mixing.taken(docs, block=16).collect())
+
+
+def test_mixing_null_ids(spark):
+    """A third of the rows has no id; they are put in order by many tasks."""
+    rows = [(None if k % 3 == 0 else k, f"w{k} " * (k % 40), f"s{k % 2}") for k in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.taken(frame).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in found) == Counter((d, len(t.split())) for d, t, _ in rows)
+    assert Counter(map(tuple, found)) == Counter(map(tuple, mixing.taken(frame.repartition(3)).collect()))
+
+
 def test_mix_texts(docs, rows):
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns
@@ -290,6 +339,30 @@ def test_urls_suffixes_of_all_labels(spark):
     assert sum(found[100_000 + k] == ("block" if k % 2 else "allow") for k in range(200)) >= 190
 
 
+@pytest.mark.parametrize("few", [1, 3])
+def test_urls_rare_and_repeated(spark, few):
+    """Thousands of rows over few urls, and one blocked url among thousands: both classes are always fitted."""
+    rules = (("allow", "good.net", "/"), ("block", "bad.net", "/"))
+    rows = [(k, f"http://good.net/abc{k % 20 if few == 3 else k}") for k in range(4_000)]
+    rows += [(10_000 + k, f"http://bad.net/{'9' * 12}{k % few}") for k in range(few)]
+    rows += [(20_000 + k, f"http://other{k}.net/{'9' * 12 if k % 2 else 'abc'}{k}") for k in range(40)]
+    found = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules, sample=2).collect()}
+    assert len(found) == len(rows) and {found[20_000 + k] for k in range(40)} <= {"allow", "block"}
+    fitted = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules, sample=400).collect()
+    verdicts = {r["page_id"]: r["verdict"] for r in fitted}
+    assert len(verdicts) == len(rows) and {verdicts[20_000 + k] for k in range(40)} <= {"allow", "block"}
+
+
+def test_url_quotas():
+    assert urls.quotas({0.0: 10**6, 1.0: 10**6}, 20_000) == {0.0: 10_000, 1.0: 10_000}
+    assert urls.quotas({0.0: 10**6, 1.0: 7}, 20_000) == {0.0: 19_993, 1.0: 7}
+    assert urls.quotas({0.0: 1, 1.0: 1}, 0) == {0.0: 1, 1.0: 1}
+    # Of 2**35 urls some 10,000 are drawn, not none; and always the first.
+    share = (urls.last_hash(10_000, 2**35, -(2**63)) + 2**63 + 1) / 2**64
+    assert abs(share * 2**35 - 10_000) < 1
+    assert urls.last_hash(1, 2**62, 5) == 5 and urls.last_hash(7, 7, 0) == 2**63 - 1
+
+
 def test_url_suffix_shares(spark):
     labelled = spark.createDataFrame([("a", "u1", 1.0), ("a", "u1", 1.0), ("a", "u2", 0.0), ("b", "u3", 1.0)], "suffix string, url string, label double")
     others = spark.createDataFrame([("a",), ("c",), ("c",)], "suffix string")

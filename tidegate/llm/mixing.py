@@ -22,7 +22,8 @@ from tidegate.llm.common import join_groups, stored, word_count, words
 
 BUCKET_DOCS = 4096  # about so many documents are put in order by one task
 SHARD_SLOTS = 8192  # mean number of blocks in an output shard
-CHUNK_SLOTS = 1 << 16  # slots that one row draws for
+CHUNK_SLOTS = 1 << 13  # slots that one row draws for
+TASK_SLOTS = 1 << 14  # slots that one task lists
 ROUNDS = 24
 
 
@@ -73,7 +74,7 @@ def placed(docs: DataFrame, weights: tuple[int, ...], most: float) -> tuple[Data
     sources = rows.groupBy("source_key").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
     sources = stored(targets(sources, weights, most), "sources")
     total = sources.agg(F.sum("docs")).first()[0] or 0
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(total // BUCKET_DOCS + 1))
+    bucket = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(total // BUCKET_DOCS + 1))
     rows = join_groups(rows, sources.select("source_key", "number", "docs"), ["source_key"], "docs", "inner")
     rows = rows.select("doc_id", "text_hash", "size", "number", bucket.alias("bucket"))
     order = W.partitionBy("number", "bucket").orderBy("doc_id", "text_hash", "size")
@@ -100,9 +101,12 @@ def block_uses(sources: DataFrame, block: int, seed: int) -> DataFrame:
         .where("slots > 0")
         .select("number", "blocks", "slots")
     )
-    shards = -(-(quota.agg(F.sum("slots")).first()[0] or 0) // SHARD_SLOTS) or 1
+    total = quota.agg(F.sum("slots")).first()[0] or 0
+    shards = -(-total // SHARD_SLOTS) or 1
+    # So many tasks list the slots; a number of their own, as the rows they come from are too few to be spread by size.
+    tasks = total // TASK_SLOTS + 1
     chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK_SLOTS)))
-    chunks = quota.withColumn("chunk", chunk).repartition("number", "chunk")
+    chunks = quota.withColumn("chunk", chunk).repartition(tasks, "number", "chunk")
     first = F.col("chunk") * CHUNK_SLOTS
     drawn = chunks.withColumn("draw", F.explode(F.sequence(first, F.least(first + CHUNK_SLOTS, F.col("slots")) - 1)))
     shard = F.pmod(F.xxhash64(F.lit(seed), F.lit("shard"), "number", "draw"), F.lit(shards))
@@ -110,7 +114,7 @@ def block_uses(sources: DataFrame, block: int, seed: int) -> DataFrame:
     before = W.partitionBy("number").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     counts = counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
     slot = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1))
-    slots = counts.repartition("number", "shard").withColumn("slot", slot)
+    slots = counts.repartition(tasks, "number", "shard").withColumn("slot", slot)
     slots = slots.select("number", "shard", "blocks", F.floor(F.col("slot") / F.col("blocks")).alias("pass"), "slot")
     index = permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("number"), F.col("pass"))
     return slots.select("number", "pass", index.alias("index"), "shard")
@@ -132,18 +136,26 @@ def pieces(docs: DataFrame, weights: tuple[int, ...], most: float, block: int, s
 def taken(
     docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, block: int = 128, seed: int = 7
 ) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken``."""
+    """One row per document: ``doc_id, size, source_size, target, taken``, and in how many output ``shards`` its blocks are."""
     places, sources, parts = pieces(docs, weights, most, block, seed)
-    sums = parts.groupBy("number", "bucket", "turn").agg(F.sum("length").alias("taken"))
+    sums = parts.groupBy("number", "bucket", "turn").agg(F.sum("length").alias("taken"), F.size(F.collect_set("shard")).alias("shards"))
     rows = places.join(sums, ["number", "bucket", "turn"], "left")
     rows = join_groups(
-        rows.select("doc_id", "size", "number", F.coalesce("taken", F.lit(0)).alias("taken")),
+        rows.select("doc_id", "size", "number", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("taken", "shards")]),
         sources.select("number", "docs", "source_size", "target"),
         ["number"],
         "docs",
         "inner",
     )
-    return rows.select("doc_id", "size", "source_size", "target", "taken")
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "shards")
+
+
+def shard_counts(
+    docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, block: int = 128, seed: int = 7
+) -> DataFrame:
+    """The multinomial counts: how many blocks of each source an output shard takes, ``shard, number, blocks``."""
+    _, sources = placed(docs, weights, most)
+    return block_uses(sources, block, seed).groupBy("shard", "number").agg(F.count(F.lit(1)).alias("blocks"))
 
 
 def mix(
