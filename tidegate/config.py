@@ -86,6 +86,9 @@ class Layout:
     def progress(self) -> str:
         return self._at("progress")
 
+    def summaries(self, layer: str) -> str:
+        return self._at("summaries", layer)
+
 
 @dataclass(frozen=True)
 class RunConfig:

@@ -16,7 +16,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegate.config import SESSION_CONF, Layout, RunConfig
-from tidegate.maintenance import Reset, reset_layer
+from tidegate.maintenance import Reset, compact_layer, reset_layer
+from tidegate.operators.compact import GOAL
 from tidegate.sources.replay import (
     between_positions,
     bus_stream,
@@ -44,10 +45,10 @@ def _pace(config: RunConfig) -> tuple[dict, float | None]:
     return trigger_of(config.trigger_minutes), timeout_seconds(config.job_minutes)
 
 
-def run_bronze(raw: DataFrame, config: RunConfig) -> float:
+def run_bronze(raw: DataFrame, config: RunConfig, summarize: bool = False) -> float:
     """Land bus records for the job time; returns the seconds it ran."""
     trigger, seconds = _pace(config)
-    return run_for(start_bronze(raw, config.layout, config.mode, trigger), seconds)
+    return run_for(start_bronze(raw, config.layout, config.mode, trigger, summarize=summarize), seconds)
 
 
 def run_silver(
@@ -83,7 +84,7 @@ def run_silver(
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tidegate")
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("bronze", "silver", "reset"):
+    for name in ("bronze", "silver", "reset", "compact"):
         job = jobs.add_parser(name)
         job.add_argument("--root", required=True, help="folder of the lake")
         job.add_argument("--bronze-table", help="catalog name of the bronze table")
@@ -92,6 +93,10 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--layer", choices=("bronze", "silver"), required=True)
             job.add_argument("--yes", action="store_true", help="delete instead of listing")
             continue
+        if name == "compact":
+            job.add_argument("--layer", choices=("bronze", "silver"), required=True)
+            job.add_argument("--goal", type=int, default=GOAL, help="bytes of a packed file")
+            continue
         job.add_argument("--trigger", type=float, default=1, help="minutes between batches, 0 for none")
         job.add_argument("--minutes", type=float, default=15, help="job time, 0 for no end")
         job.add_argument("--mode", choices=("strict", "compat"), default="strict")
@@ -107,6 +112,8 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--max-offsets", type=int, default=100_000_000, help="Kafka records of one batch")
             job.add_argument("--end", help="take records enqueued up to this instant")
             job.add_argument("--archive", help="move files of --source here when they are done with")
+            job.add_argument("--bus-columns", help="DDL of the bus columns in --source, '' for none; else those that have landed")
+            job.add_argument("--summarize", action="store_true", help="keep sketches of devices and delays for each batch")
         else:
             job.add_argument("--templates", required=True, help="JSON file: asset name to template file")
             job.add_argument("--template-folder", default="")
@@ -127,6 +134,10 @@ def main(argv: Sequence[str] | None = None) -> Reset | None:
         reset = reset_layer(spark, layout, args.layer, dry_run=not args.yes)
         print(json.dumps({"tables": reset.tables, "paths": reset.paths, "dry_run": reset.dry_run}))
         return reset
+    if args.job == "compact":
+        done = compact_layer(spark, layout, args.layer, args.goal)
+        print(json.dumps({name: vars(d) for name, d in done.items()}))
+        return None
     config = RunConfig(
         layout,
         trigger_minutes=args.trigger,
@@ -151,10 +162,10 @@ def main(argv: Sequence[str] | None = None) -> Reset | None:
                 args.end,
                 config.max_files_per_trigger,
                 config.max_bytes_per_trigger,
-                schema=landing_schema(spark, args.source),
+                schema=landing_schema(spark, args.source, args.bus_columns),
                 archive=args.archive,
             )
-        seconds = run_bronze(raw, config)
+        seconds = run_bronze(raw, config, args.summarize)
         print(f"bronze ran {seconds / 60:.1f} minutes")
         return None
     listing = spark.read.option("wholetext", True).text(args.templates).first().value

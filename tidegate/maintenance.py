@@ -7,8 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate import schemas
 from tidegate.config import Layout
-from tidegate.storage import children, delete_path, file_uri, path_exists
+from tidegate.operators.compact import GOAL, Compaction, compact
+from tidegate.storage import Target, children, delete_path, file_uri, path_exists
 
 LAYERS = ("bronze", "silver")
 
@@ -68,7 +70,11 @@ def reset_layer(
     if not layout.root.strip("/") or layout.root.rstrip("/").endswith(":"):
         raise ValueError("refusing to reset a layout at the root of a file system")
     folders = {
-        "bronze": [layout.bronze(), f"{layout.bronze()}_staged", layout.checkpoint("bronze"), layout.start("bronze")],
+        "bronze": [
+            layout.bronze(),
+            *[f"{layout.bronze()}_{own}" for own in ("staged", "compacting")],
+            *[layout.checkpoint("bronze"), layout.start("bronze"), layout.summaries("bronze")],
+        ],
         "silver": [
             layout.silver(),
             *[layout.checkpoint(c) for c in ("silver", "silver_single", "silver_single_templates", "quarantine")],
@@ -87,3 +93,23 @@ def reset_layer(
         for path in paths:
             delete_path(spark, path)
     return Reset(tables, paths, dry_run)
+
+
+def compact_layer(spark: SparkSession, layout: Layout, layer: str, goal: int = GOAL) -> dict[str, Compaction]:
+    """Pack the small files of bronze, or of every silver dataset; the layer's streams must be stopped.
+
+    The datasets are those that exist, so their templates need not be known.
+    """
+    if layer not in LAYERS:
+        raise ValueError(f"unknown layer {layer!r}")
+    if layer == "bronze":
+        target = Target(layout.bronze(), schemas.BRONZE, layout.bronze_table, sort_by=("templateName", "deviceEnqueuedTime"))
+        return {"bronze": compact(spark, target, goal)}
+    done = {}
+    for name in sorted(children(spark, layout.silver())):
+        if name.endswith(("_staged", "_compacting")):
+            continue
+        # Partitions and the sort order are all that is needed of a template's schema.
+        target = Target(layout.silver(name), schemas.BRONZE, layout.silver_table_of(name), sort_by=("Device_EnqueuedTime",))
+        done[name] = compact(spark, target, goal)
+    return done

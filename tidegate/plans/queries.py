@@ -20,14 +20,15 @@ from tidegate.functions import local_time, row_hash, station_id, utc_date, utc_t
 from tidegate.maintenance import list_tables, reset_layer
 from tidegate.operators import reports
 from tidegate.operators.bronze import to_bronze
+from tidegate.operators.compact import compact, files
 from tidegate.operators.merge import BRONZE_MERGE, MergeSpec, merge_insert
 from tidegate.operators.quarantine import quarantine
 from tidegate.operators.silver import of_template, parse_envelope, to_silver
 from tidegate.plans.rebuild import bronze_of, rebuild_silver
 from tidegate.sources.replay import between_positions, bronze_stream, bus_batch, bus_stream
 from tidegate.sources.templates import Template, compile_templates, template_fields
-from tidegate.storage import Target, scratch_folder
-from tidegate.streaming import metrics, progress, rejects
+from tidegate.storage import Target, children, scratch_folder
+from tidegate.streaming import metrics, progress, rejects, summaries
 from tidegate.streaming.ingest import (
     append_sink,
     bronze_target,
@@ -145,6 +146,34 @@ def s3_end_position(spark, sf_dir):
     return show(between_positions(fx.event_raw(spark, sf_dir), start=START, end=END))
 
 
+@query("s3_end_position_stream")
+def s3_end_position_stream(spark, sf_dir):
+    """A stream that ends at a position: what lies behind it is read past, also when a later run finds it."""
+    layout = new_layout(spark, "s3")
+    raw = fx.event_raw(spark, sf_dir)
+    for part in (raw.where(F.col("enqueuedTime") < MID_MONTH), raw.where(F.col("enqueuedTime") >= MID_MONTH)):
+        part.write.mode("append").parquet(f"{layout.root}/raw")
+        stream = bus_stream(spark, f"{layout.root}/raw", start=START, end=END)
+        run_for(run_stream(stream, append_sink(f"{layout.root}/kept"), layout.checkpoint("kept"), ONCE))
+    return show(bus_batch(spark, f"{layout.root}/kept/*"))
+
+
+@query("k4_compaction")
+def k4_compaction(spark, sf_dir):
+    """Bronze of eight batches, packed: its rows, and the files of each month, which one bin holds here."""
+    layout = new_layout(spark, "k4")
+    target = bronze_target(layout)
+    bronze = to_bronze(fx.event_raw(spark, sf_dir), LOADED)
+    for k in range(8):
+        merge_insert(bronze.where(F.pmod(F.xxhash64("body"), F.lit(8)) == k), target)
+    compact(spark, target)
+    slot = target.partition_by
+    counted = files(spark, target).groupBy(*slot).agg(F.count(F.lit(1)).alias("files"))
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in slot]
+    both = target.read(spark).alias("x").join(F.broadcast(counted).alias("y"), same)  # one row per month
+    return both.select(*[F.col(f"x.{c}").alias(c) for c in slot], "x.rowhash", "x.templateName", "y.files")
+
+
 @query("s4_bronze_as_stream")
 def s4_bronze_as_stream(spark, sf_dir):
     layout = new_layout(spark, "s4")
@@ -549,6 +578,22 @@ def c2_list_tables(spark, sf_dir):
     return list_tables(spark, database, "silver").select("tableName")
 
 
+@query("c3_c4_reset")
+def c3_c4_reset(spark, sf_dir):
+    """Silver really dropped and deleted: bronze per template as it was, and what is left of silver."""
+    database, layout = _silver_tables(spark, sf_dir, "c3")
+    reset = reset_layer(spark, layout, "silver", dry_run=False)
+    tables = [r.tableName for r in list_tables(spark, database, "silver").collect()]
+    left = bronze_target(layout).read(spark).groupBy("templateName").agg(F.count(F.lit(1)).alias("messages"))
+    return left.withColumns(
+        {
+            "tables_dropped": F.lit(len(reset.tables)).cast("long"),
+            "tables_left": F.lit(len(tables)).cast("long"),
+            "folders_left": F.lit(len(children(spark, layout.silver()))).cast("long"),
+        }
+    )
+
+
 @query("d5_reset_dry_run")
 def d5_reset_dry_run(spark, sf_dir):
     """A dry run removes nothing: what it lists can still be read."""
@@ -638,6 +683,33 @@ def d3_redelivery(spark, sf_dir):
     return reports.redelivery(to_bronze(fx.event_raw(spark, sf_dir), LOADED))
 
 
+@query("d3_summaries")
+def d3_summaries(spark, sf_dir):
+    """Deliveries per template from the sketches of all batches, and whether the estimates keep their errors."""
+    layout = new_layout(spark, "d3s")
+    raw = fx.event_raw(spark, sf_dir)
+    for part in (raw.where(F.col("enqueuedTime") < MID_MONTH), raw.where(F.col("enqueuedTime") >= MID_MONTH)):
+        part.write.mode("append").parquet(f"{layout.root}/raw")
+        stream = bus_stream(spark, f"{layout.root}/raw")
+        run_for(start_bronze(stream, layout, trigger=ONCE, load_time=LOADED, summarize=True))
+    found = summaries.read(spark, layout.summaries("bronze"), [0.5])
+    found = found.select(F.coalesce("templateName", F.lit("")).alias("name"), "deliveries", "devices", F.col("delays")[0].alias("middle"))
+    # The messages themselves are read only to hold the estimates against them.
+    received = to_bronze(raw, LOADED).withColumn("name", F.coalesce("templateName", F.lit("")))
+    delay = F.unix_micros("enqueuedTime") - F.unix_micros("deviceEnqueuedTime")
+    exact = received.join(F.broadcast(found.select("name", "middle")), "name").groupBy("name").agg(
+        F.count_distinct("deviceId").alias("exact"), F.count(delay).alias("n"),
+        F.count_if(delay < F.col("middle")).alias("below"), F.count_if(delay <= F.col("middle")).alias("upto"),
+    )
+    met = found.join(exact, "name")
+    rank = F.col("n") * 0.5
+    return met.select(
+        F.nullif("name", F.lit("")).alias("templateName"), "deliveries",
+        (F.abs(F.col("devices") - F.col("exact")) <= 0.05 * F.col("exact")).alias("devices_within"),
+        ((F.col("below") - 0.01 * F.col("n") <= rank) & (rank <= F.col("upto") + 0.01 * F.col("n"))).alias("delay_within"),
+    )
+
+
 @query("d3_copies_whole_texts")
 def d3_copies_whole_texts(spark, sf_dir):
     received = to_bronze(fx.document_raw(spark, sf_dir), LOADED)

@@ -66,9 +66,18 @@ def bus_batch(
     return between_positions(spark.read.schema(schema).parquet(location), start, end)
 
 
-def landing_schema(spark: SparkSession, location: str) -> T.StructType:
-    """Body and enqueued time, and all further bus columns of the files that have landed."""
-    found = spark.read.parquet(location).schema if children(spark, location) else []
+def landing_schema(spark: SparkSession, location: str, columns: str | None = None) -> T.StructType:
+    """Body and enqueued time, and the further bus columns: ``columns`` as DDL, or all those of the files that have landed.
+
+    Files may have different columns, but not one column with two types.  Where nothing has landed the columns
+    must be named (an empty text for none), as those of later files would be left out unseen.
+    """
+    if columns is not None:
+        found = T.StructType.fromDDL(columns) if columns.strip() else T.StructType()
+    elif children(spark, location):
+        found = spark.read.option("mergeSchema", "true").parquet(location).schema
+    else:
+        raise ValueError(f"nothing has landed in {location}: name its bus columns, or '' for none")
     taken = {n.lower() for n in (*schemas.RAW.names, *schemas.BRONZE.names)}
     return T.StructType([*schemas.RAW, *(f for f in found if f.name.lower() not in taken)])
 

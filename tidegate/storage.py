@@ -6,11 +6,11 @@ import os
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,37 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop, True)
 
 
+def delete_file(spark: SparkSession, uri: str) -> bool:
+    """Delete one file, named as ``_metadata.file_path`` does."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.delete(hadoop, False)
+
+
+def move_files(spark: SparkSession, source: str, place: Callable[[str, str], str]) -> int:
+    """Move all data files under ``source`` to ``place(folder below it, name)``; without reading them.
+
+    A move that was cut off goes on where it ended, as long as places depend on the names alone.
+    """
+    if not path_exists(spark, source):
+        return 0
+    moved = 0
+    root, fs = _path(spark, source)
+    start = len(fs.makeQualified(root).toString().rstrip("/")) + 1
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        found = files.next().getPath()
+        folder, _, name = found.toString()[start:].rpartition("/")
+        if name.startswith(("_", ".")):
+            continue
+        goal, _ = _path(spark, place(folder, name))
+        fs.mkdirs(goal.getParent())
+        if not fs.rename(found, goal):
+            raise OSError(f"could not move {found} to {goal}")
+        moved += 1
+    return moved
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder every executor can reach: under ``spark.checkpoint.dir``.
 
@@ -181,7 +212,7 @@ class Target:
         reader = spark.read.schema(self.schema).option("basePath", self.path)
         if slots is None:
             return reader.parquet(self.path)
-        folders = [f for f in map(self._folder, slots) if path_exists(spark, f)]
+        folders = [f for f in map(self.folder, slots) if path_exists(spark, f)]
         if not folders:
             return spark.createDataFrame([], self.schema)
         return reader.parquet(*folders).where(self._in_slots(slots))
@@ -216,19 +247,8 @@ class Target:
         staged = self._staged(batch)
         moved = 0
         if path_exists(spark, staged):
-            root, fs = _path(spark, staged)
-            start = len(fs.makeQualified(root).toString().rstrip("/")) + 1
-            files = fs.listFiles(root, True)
-            while files.hasNext():
-                place = files.next().getPath()
-                folder, _, name = place.toString()[start:].rpartition("/")
-                if name.startswith(("_", ".")):
-                    continue
-                target, _ = _path(spark, f"{self.path.rstrip('/')}/{folder}/{batch}-{name}")
-                fs.mkdirs(target.getParent())
-                if not fs.rename(place, target):
-                    raise OSError(f"could not move {place} to {target}")
-                moved += 1
+            home = self.path.rstrip("/")
+            moved = move_files(spark, staged, lambda folder, name: f"{home}/{folder}/{batch}-{name}")
             if moved and self.table is not None and self.exists(spark):
                 spark.sql(f"MSCK REPAIR TABLE {self.table}")
             delete_path(spark, staged)
@@ -261,11 +281,7 @@ class Target:
             .sortWithinPartitions(*self.partition_by, *self.sort_by, *([self.key] if keyed else []))
             .drop(SPREAD)
         )
-        writer = rows.write.mode("append").partitionBy(*self.partition_by).option("compression", "zstd")
-        if keyed:
-            writer = writer.option(f"parquet.bloom.filter.enabled#{self.key}", "true")
-            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
-        set_write_conf(spark)
+        writer = self.writer(rows)
         if table is None:
             writer.parquet(path)
         else:
@@ -273,6 +289,15 @@ class Target:
         # Without metrics the plan was found to be empty: nothing was written.
         return (observed(written) or {}).get("rows", 0)
 
+    def writer(self, rows: DataFrame, *below: str) -> DataFrameWriter:
+        """A writer of the dataset's files, with folders for the columns ``below`` in each partition."""
+        set_write_conf(rows.sparkSession)
+        writer = rows.write.mode("append").partitionBy(*self.partition_by, *below).option("compression", "zstd")
+        if self.key in rows.columns:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{self.key}", "true")
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+        return writer
+
     def _evolve(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
         """Add new columns to the table; columns the rows lack are filled with null."""
         if not self.exists(spark):
@@ -298,7 +323,7 @@ class Target:
             ]
         )
 
-    def _folder(self, slot: Slot) -> str:
+    def folder(self, slot: Slot) -> str:
         parts = [
             f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"
             for c, v in zip(self.partition_by, slot)

@@ -16,6 +16,7 @@ from tidegate import schemas
 from tidegate.config import Layout, asset_name, asset_names
 from tidegate.operators import quarantine
 from tidegate.operators.bronze import to_bronze
+from tidegate.operators.compact import finish
 from tidegate.operators.merge import (
     BRONZE_MERGE,
     SILVER_MERGE,
@@ -30,7 +31,7 @@ from tidegate.operators.silver import to_silver
 from tidegate.sources.replay import bronze_stream
 from tidegate.sources.templates import Template
 from tidegate.storage import Target, children, path_exists, write_batch_folder
-from tidegate.streaming import metrics, rejects
+from tidegate.streaming import metrics, rejects, summaries
 from tidegate.streaming.runner import OnBatch, await_within, run_stream
 
 
@@ -88,9 +89,12 @@ def merge_sink(target: Target, spec: MergeSpec, layout: Layout, name: str) -> On
 
 
 def bronze_sink(
-    layout: Layout, mode: str = "strict", bus: Sequence[T.StructField] = ()
+    layout: Layout, mode: str = "strict", bus: Sequence[T.StructField] = (), summarize: bool = False
 ) -> OnBatch:
-    """Merge into bronze; in strict mode messages without a body go to quarantine."""
+    """Merge into bronze; in strict mode messages without a body go to quarantine.
+
+    With ``summarize`` each batch is read once more, for the sketches of its deliveries.
+    """
     target = bronze_target(layout, bus)
     spec = BRONZE_MERGE.with_mode(mode).with_arrival([f.name for f in bus])
 
@@ -100,6 +104,8 @@ def bronze_sink(
         if quarantined:
             rejected = batch.where(F.col("body").isNull()).withColumn("reason", F.lit("null_body"))
             write_batch_folder(rejected, layout.quarantine("bronze"), batch_id)
+        if summarize:
+            summaries.record(batch, layout.summaries("bronze"), batch_id)
         metrics.record(batch.sparkSession, layout.metrics(), "bronze", batch_id, stats, quarantined)
 
     return on_batch
@@ -111,13 +117,14 @@ def start_bronze(
     mode: str = "strict",
     trigger: dict[str, Any] | None = None,
     load_time: Any = None,
+    summarize: bool = False,
 ) -> StreamingQuery:
     """Land bus records in bronze, with all their bus columns."""
     known = {"body", *schemas.BRONZE.names}
     bus = [f for f in raw.schema if f.name not in known]
-    return run_stream(
-        to_bronze(raw, load_time), bronze_sink(layout, mode, bus), layout.checkpoint("bronze"), trigger
-    )
+    finish(raw.sparkSession, bronze_target(layout, bus))
+    sink = bronze_sink(layout, mode, bus, summarize)
+    return run_stream(to_bronze(raw, load_time), sink, layout.checkpoint("bronze"), trigger)
 
 
 def _refuse_other_form(spark: SparkSession, layout: Layout, checkpoints: Sequence[str]) -> None:
@@ -173,6 +180,7 @@ def start_silver(
         )
     for asset, template in templates.items():
         try:
+            finish(spark, silver_target(layout, template))
             bronze = bronze_stream(spark, bronze_target(layout), max_files, max_bytes)
             sink = merge_sink(
                 silver_target(layout, template), SILVER_MERGE.with_mode(mode), layout, f"silver_{asset_name(asset)}"
@@ -265,6 +273,8 @@ def start_silver_single(
     shared, so a template that comes later is filled from history before the stream goes on.
     """
     _refuse_other_form(spark, layout, ["silver", "quarantine"])
+    for template in templates.values():
+        finish(spark, silver_target(layout, template))
     adopt(spark, layout, templates, mode)
     bronze = bronze_stream(spark, bronze_target(layout), max_files, max_bytes)
     sink = silver_sink(layout, templates, mode)
