@@ -161,6 +161,41 @@ select d.doc_id, coalesce(sizes.n, 0)::bigint as n_shingles, c.component_id
 from d left join sizes using (doc_id) join (select doc_id, min(other) as component_id from reached group by doc_id) c using (doc_id)
 """
 
+OP3 = """
+with p as (
+  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages
+), n as (
+  select *, max(page_id) over (partition by html) as newest from p
+)
+select page_id, strlen(html)::bigint as payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(hex, (k // 4 * 5 + 1)::int, 5))::int >> (15 - 5 * (k % 4))::int) & 31) + 1)::int, 1) for k in range(32)], '') as payload_digest,
+  case when page_id is distinct from newest then 'revisit' else 'response' end as record_type,
+  case when page_id is distinct from newest then newest end as refers_to
+from n
+"""
+
+OP7 = r"""
+with d as (
+  select row_number() over () as id, doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\x0c\r]+') as own from documents
+), starts as (
+  select id, own, unnest(range(1, len(own) - 33)) as i from d where len(own) >= 35
+), windows as (
+  select id, i, array_to_string(own[i:i + 34], ' ') as words from starts
+), repeated as (
+  select id, i from windows qualify count(*) over (partition by words) > 1
+), gone as (
+  select distinct id, unnest(range(i, i + 35)) as i from repeated
+), placed as (
+  select id, unnest(own) as w, generate_subscripts(own, 1) as i from d
+), cut as (
+  select p.id, count(g.i) as n_removed, string_agg(w, ' ' order by p.i) filter (where g.i is null) as kept
+  from placed p left join gone g on g.id = p.id and g.i = p.i group by p.id
+)
+select doc_id, len(own)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join cut using (id)
+"""
+
 OP9 = r"""
 with t as (
   select doc_id, sha256(regexp_replace(coalesce(text, ''), '[ \t\n\x0b\x0c\r]+', ' ', 'g')) as text_sha256 from documents
@@ -216,4 +251,11 @@ with d as (
 select lang, rank, phrase, a, l, r, n, score from ranked join words using (lang) where rank <= 2000
 """
 
-CHECKS = {"op1_quality_rules": OP1, "op2_ngram_jaccard": OP2, "op9_exact_dedup": OP9, "op11_phrases": OP11}
+CHECKS = {
+    "op1_quality_rules": OP1,
+    "op2_ngram_jaccard": OP2,
+    "op3_warc": OP3,
+    "op7_substring_dedup": OP7,
+    "op9_exact_dedup": OP9,
+    "op11_phrases": OP11,
+}
