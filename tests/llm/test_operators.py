@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -284,6 +285,52 @@ def test_lm_is_normalised_and_learns():
     assert after[second, first, token].mean() > before[second, first, token].mean() + 0.2
 
 
+def test_lm_classes_share_all_mass():
+    """Over all known tokens and the unknown one, shares of a class add up to 1; named tokens are alone in theirs."""
+    draw = np.random.default_rng(5)
+    hashes = np.append(draw.permutation(500)[:299] + 1, lm.END)
+    counts = np.sort(np.exp2(draw.uniform(0, 12, 300)))[::-1].astype(np.int64)
+    held, total = 120, int(counts.sum())
+    keep = np.append(np.arange(held - 1), 299)  # the end is held whatever its count
+    classes = lm.Classes(hashes[keep], counts[keep], 10, total, 300)
+    of = np.append(classes.of(hashes), classes.rest)
+    share = np.append(counts + 0.5, 0.5) / 10 ** classes.mass[of]
+    assert np.allclose(np.bincount(of, share), 1)
+    assert classes.rest > 12 and (np.bincount(of)[:11] == 1).all()
+    assert {int(np.log2(c)) for c in counts[keep][of[keep] == 12]} == {int(np.log2(counts[keep][of[keep] == 12][0]))}
+
+
+def test_lm_scores_by_hand(docs, rows, monkeypatch):
+    """Scores against a plain sum over tokens, with the table of the model that the query trained."""
+    tables = []
+    table = lm.LogBilinear.table
+    monkeypatch.setattr(lm.LogBilinear, "table", lambda model: tables.append(table(model)) or tables[-1])
+    found = by_id((r["doc_id"], r["score"]) for r in lm.score(docs, vocabulary=16, steps=50).collect())
+    tokens = [brute.words((r[1] or "").translate(brute.LOWER)) + ["\n"] for r in rows]
+    held = [zlib.crc32(str("" if r[0] is None else r[0]).encode()) % 5 == 1 for r in rows]
+    counts = Counter(t for own, h in zip(tokens, held) if not h for t in own)
+    code = {t: (0 if t == "\n" else int(lm.Words(pa.array([t])).hashes().astype(np.int64)[0])) for own in tokens for t in own}
+    ranked = sorted(counts, key=lambda t: (-counts[t], code[t]))
+    named = {t: k for k, t in enumerate(t for i, t in enumerate(ranked) if i < 16 or t == "\n")}
+    levels = {v: k for k, v in enumerate(sorted({counts[t].bit_length() for t in counts if t not in named}))}
+    rest = len(named) + len(levels)
+
+    def of(t):
+        return named[t] if t in named else len(named) + levels[counts[t].bit_length()] if t in counts else rest
+
+    mass = Counter({rest: 0.5})
+    for t in counts:
+        mass[of(t)] += counts[t] + 0.5
+    own = tables[0].reshape(rest + 2, rest + 2, rest + 1)
+    want = []
+    for r, line in zip(rows, tokens):
+        seen = [rest + 1, rest + 1, *map(of, line)]
+        want.append((r[0], sum(own[a, b, c] + math.log10((counts[t] + 0.5) / mass[c]) for a, b, c, t in zip(seen, seen[1:], seen[2:], line))))
+    want = by_id(want)
+    assert [f[0] for f in found] == [w[0] for w in want]
+    assert np.allclose([f[1] for f in found], [w[1] for w in want])
+
+
 def test_lm_empty(none, spark):
     assert lm.score(none).count() == 0
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 1)
