@@ -45,10 +45,10 @@ def _pace(config: RunConfig) -> tuple[dict, float | None]:
     return trigger_of(config.trigger_minutes), timeout_seconds(config.job_minutes)
 
 
-def run_bronze(raw: DataFrame, config: RunConfig, summarize: bool = False) -> float:
+def run_bronze(raw: DataFrame, config: RunConfig, summarize: bool = False, recent_minutes: float | None = None) -> float:
     """Land bus records for the job time; returns the seconds it ran."""
     trigger, seconds = _pace(config)
-    return run_for(start_bronze(raw, config.layout, config.mode, trigger, summarize=summarize), seconds)
+    return run_for(start_bronze(raw, config.layout, config.mode, trigger, summarize=summarize, recent_minutes=recent_minutes), seconds)
 
 
 def run_silver(
@@ -114,6 +114,7 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--archive", help="move files of --source here when they are done with")
             job.add_argument("--bus-columns", help="DDL of the bus columns in --source, '' for none; else those that have landed")
             job.add_argument("--summarize", action="store_true", help="keep sketches of devices and delays for each batch")
+            job.add_argument("--recent", type=float, metavar="MINUTES", help="drop copies that follow within this time before the merge")
         else:
             job.add_argument("--templates", required=True, help="JSON file: asset name to template file")
             job.add_argument("--template-folder", default="")
@@ -165,7 +166,7 @@ def main(argv: Sequence[str] | None = None) -> Reset | None:
                 schema=landing_schema(spark, args.source, args.bus_columns),
                 archive=args.archive,
             )
-        seconds = run_bronze(raw, config, args.summarize)
+        seconds = run_bronze(raw, config, args.summarize, args.recent)
         print(f"bronze ran {seconds / 60:.1f} minutes")
         return None
     listing = spark.read.option("wholetext", True).text(args.templates).first().value

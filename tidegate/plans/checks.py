@@ -191,6 +191,11 @@ CHECKS: dict[str, str] = {
         "min(enq) as enq",
         f"coalesce(min(enq) filter (enq >= timestamp '{MID_MONTH}'), min(enq)) as enq",
     ),
+    "t8_recent_copies": f"""{EVENTS}
+        select rowhash, template as "templateName", cast(year(sent) as int) as "yearDevice", cast(month(sent) as int) as "monthDevice",
+               cast(0 as bigint) as known,
+               (select count(*) + count(*) filter (enq = timestamp '{MID_MONTH}') from raw where body is null) as keyless
+        from bronze""",
     "a1_batch_metrics": f"{BATCHES} select * from metrics",
     "a1_stream_progress": f"""{EVENTS}
         select 'kept' as query, cast(0 as bigint) as batch_id, count(*) filter (enq <= timestamp '{MID_MONTH}') as rows_in,

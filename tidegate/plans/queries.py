@@ -507,6 +507,20 @@ def t8_late_rows_kept(spark, sf_dir):
     return show(bronze_target(layout).read(spark), drop=["loadDatetime"])
 
 
+@query("t8_recent_copies")
+def t8_recent_copies(spark, sf_dir):
+    """Both halves of the month, then all of it again, with copies dropped by the stream's state: no row is lost as late."""
+    layout = new_layout(spark, "t8r")
+    raw = fx.event_raw(spark, sf_dir)
+    for part in (between_positions(raw, start=MID_MONTH), between_positions(raw, end=MID_MONTH), raw.where("body is not null")):
+        part.write.mode("append").parquet(f"{layout.root}/raw")
+        stream = bus_stream(spark, f"{layout.root}/raw")
+        run_for(start_bronze(stream, layout, trigger=ONCE, load_time=LOADED, recent_minutes=600))
+    offered = metrics.read(spark, layout.metrics()).agg(F.sum("matched_keys"), F.sum("quarantined")).first()
+    landed = bronze_target(layout).read(spark).select("rowhash", "templateName", "yearDevice", "monthDevice")
+    return landed.withColumn("known", F.lit(offered[0]).cast("long")).withColumn("keyless", F.lit(offered[1]).cast("long"))
+
+
 @query("a1_batch_metrics")
 def a1_batch_metrics(spark, sf_dir):
     layout = new_layout(spark, "a1")

@@ -32,6 +32,7 @@ from tidegate.sources.replay import bronze_stream
 from tidegate.sources.templates import Template
 from tidegate.storage import Target, children, path_exists, write_batch_folder
 from tidegate.streaming import metrics, rejects, summaries
+from tidegate.streaming.prefilter import computed_once, without_recent_copies
 from tidegate.streaming.runner import OnBatch, await_within, run_stream
 
 
@@ -118,13 +119,23 @@ def start_bronze(
     trigger: dict[str, Any] | None = None,
     load_time: Any = None,
     summarize: bool = False,
+    recent_minutes: float | None = None,
 ) -> StreamingQuery:
-    """Land bus records in bronze, with all their bus columns."""
+    """Land bus records in bronze, with all their bus columns.
+
+    With ``recent_minutes`` copies that follow within that time go before the merge
+    and are in no metric or summary.
+    """
+    if recent_minutes is not None and mode != "strict":
+        raise ValueError("copies go before the merge in strict mode only")
     known = {"body", *schemas.BRONZE.names}
     bus = [f for f in raw.schema if f.name not in known]
     finish(raw.sparkSession, bronze_target(layout, bus))
     sink = bronze_sink(layout, mode, bus, summarize)
-    return run_stream(to_bronze(raw, load_time), sink, layout.checkpoint("bronze"), trigger)
+    messages = to_bronze(raw, load_time)
+    if recent_minutes is not None:
+        messages, sink = without_recent_copies(messages, recent_minutes), computed_once(sink)
+    return run_stream(messages, sink, layout.checkpoint("bronze"), trigger)
 
 
 def _refuse_other_form(spark: SparkSession, layout: Layout, checkpoints: Sequence[str]) -> None:
