@@ -479,6 +479,18 @@ def test_classifier_without_labels(spark, docs, none):
     assert classifier.classify(none, marks).count() == 0
 
 
+def test_classifier_draw_is_bounded(spark):
+    """One id repeated very often, one id with two texts, null texts: at most so many of each class, each text once."""
+    rows = [(7, "again", 1)] * 3000 + [(8, None, 0)] * 50 + [(k, f"text {k}", k % 2) for k in range(100, 160)] + [(100, "other", 0)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(5)
+    few = classifier.drawn(known, 10, 3).collect()
+    assert Counter(r["label"] for r in few) == {0: 10, 1: 10} and len({r["place"] for r in few}) == 20
+    every = classifier.drawn(known, 1000, 3).collect()
+    assert Counter((r["text"], r["label"]) for r in every) == Counter({(t, c) for _, t, c in rows})
+    assert {tuple(r) for r in few} < {tuple(r) for r in every}
+    assert classifier.drawn(known.where("label > 1"), 10, 3).count() == 0
+
+
 # 9 -----------------------------------------------------------------------------------------------
 
 

@@ -2,13 +2,13 @@
 
 A text is the set of its n-grams, hashed into ``BUCKETS``: words and word pairs, and one to three word shapes in a row (runs of capitals,
 small letters, digits and other letters as one character each, marks as they are).  All labelled training texts count towards the log
-ratios of the classes' n-gram counts; these scale the indicators of a linear hinge-loss model that dual coordinate descent fits on at most about
-``sample`` of the training texts.  A fifth of the sample is not fitted but calibrates margins to probabilities.
+ratios of the classes' n-gram counts; these scale the indicators of a linear hinge-loss model that dual coordinate descent fits on at most
+``sample`` of the training texts, half of them of each class.  A fifth of the sample is not fitted but calibrates margins to probabilities.
 
 A row of counts has at most ``BUCKETS`` entries, the sample at most ``sample * BUCKETS``; both are what the driver holds.
 
 Cases: null, empty and blank texts have no n-grams; their score follows from the bias alone.  Null ids count as the empty text in the split and
-have no label.  Of several labels of one id the mean decides, a half is good; null labels are none.  Repeated rows are texts of their own.
+have no label.  Of several labels of one id the mean decides, a half is good; null labels are none.  Repeated rows are texts of their own, but come into the sample once: however often an id is there, the driver gets no more.
 Without labels of both classes the score is the smoothed share of good labels.  Very long texts are read whole.  Other columns are not read.
 """
 
@@ -137,6 +137,21 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(*ngrams(texts)) + self.offset, -30, 30)))
 
 
+def drawn(known: DataFrame, most: int, seed: int) -> DataFrame:
+    """``place, label, text`` of at most ``most`` texts of each class, drawn by a hash: those with the smallest ``place``.
+
+    Rows that repeat id and text have one place and count once.  Only places travel until the largest that is taken is known.
+    """
+    placed = known.withColumn("place", F.xxhash64("doc_id", F.coalesce("text", F.lit("")), F.lit(seed)))
+    places = placed.select("label", "place").distinct()
+    first = [places.where(F.col("label") == k).orderBy("place").limit(most) for k in (0, 1)]
+    ends = dict(first[0].unionByName(first[1]).groupBy("label").agg(F.max("place")).collect())
+    inside = F.lit(False)
+    for label, end in ends.items():
+        inside |= (F.col("label") == label) & (F.col("place") <= end)
+    return placed.where(inside).groupBy("place", "label").agg(F.min("text").alias("text"))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = 3000, epochs: int = 15, broadcast_rows: int = 1_000_000, seed: int = 17) -> Model | float:
     """The model of ``docs`` (doc_id, text) with ``labels`` (doc_id, label); a number if there is but one class."""
     labels = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
@@ -154,10 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 3000, epochs: int =
     p[bucket[inside]] += good[inside]
     q[bucket[inside]] += bad[inside]
     ratio = np.log((p / (n_good + 2)) / (q / (n_bad + 2)))
-    # Each class gives up to half the sample, so that the rarer one is learnt as well.
-    place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30))
-    share = F.when(F.col("label") == 1, sample / 2 / n_good).otherwise(sample / 2 / n_bad)
-    taken = known.withColumn("place", place).where(F.col("place") < share * (1 << 30)).select("place", "label", "text")
+    taken = drawn(known, max(1, sample // 2), seed)
     rows = taken.mapInArrow(sampled, "place long, label int, grams array<int>").toArrow().combine_chunks().sort_by([("place", "ascending"), ("label", "ascending")])
     lists, good = rows.column("grams").combine_chunks(), rows.column("label").to_numpy()
     ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))])
