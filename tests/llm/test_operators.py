@@ -541,6 +541,44 @@ def test_packing(docs, rows):
         assert at <= 2048 and at & (at - 1) == 0  # no padding at all
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_packing_places_by_sum_of_squares(seed):
+    """Every placement against all choices, each tried on the list of fill levels; the sequences that close are full."""
+    draw, size = np.random.default_rng(seed), 32
+    packer, levels, closed = packing.Packer(size), [], []
+
+    def squares(filled):
+        return sum(n * n for n in Counter(f for f in filled if f < size).values())
+
+    for doc in range(400):
+        length = int(draw.integers(1, 3 * size)) if seed else int(draw.choice([3, 5, 32, 20]))
+        need = length % size
+        choices = {0: squares([*levels, need])}
+        for h in sorted(set(levels)):
+            if h + need <= size:
+                left = list(levels)
+                left.remove(h)
+                choices[h] = squares([*left, h + need])
+        level = packer.level_for(need) if need else 0
+        full = list(packer.add(doc, np.arange(length, dtype=np.uint32)))
+        closed += full
+        assert all(sum(len(ids) for _, _, ids in pieces) == size for pieces in full)
+        assert len(full) == length // size + (need > 0 and level + need == size)
+        if need:
+            least = min(choices.values())
+            raised = [h for h in choices if h and choices[h] == least]
+            assert level == (max(raised) if raised else 0)  # the fullest of equal ones; a new sequence only if that is better
+            if level:
+                levels.remove(level)
+            if level + need < size:
+                levels.append(level + need)
+        assert np.array_equal(np.bincount(levels, minlength=size + 1), packer.levels)
+    closed += packer.rest()
+    ids = sorted((doc, start + k) for pieces in closed for doc, start, own in pieces for k in range(len(own)))
+    assert len(ids) == len(set(ids)) and {d for d, _ in ids} == set(range(400))
+    assert all((n := sum(len(own) for _, _, own in pieces)) & (n - 1) == 0 for pieces in closed)
+
+
 def test_packing_empty(none):
     assert packing.pack(none, VOCABULARY).count() == 0
 
