@@ -331,6 +331,29 @@ def test_lm_scores_by_hand(docs, rows, monkeypatch):
     assert np.allclose([f[1] for f in found], [w[1] for w in want])
 
 
+def test_lm_sums_equal_the_table():
+    """Values added up for single codes are those of the table of all trigrams."""
+    draw = np.random.default_rng(7)
+    model = lm.LogBilinear(40, draw.integers(0, 1000, 40), 8, 1)
+    model.train(draw.integers(0, 41, 4000), draw.integers(0, 41, 4000), draw.integers(0, 40, 4000), np.ones(4000), 50)
+    assert np.allclose(lm.Sums(model, 16)[np.arange(41 * 41 * 40)], model.table().ravel())
+    model.params["bias"] = model.params["bias"] * 0
+    for name, sign in (("first", 1), ("second", -1)):  # peaks of the two tokens so far apart that exponentials vanish
+        model.params[name] = sign * 2000 * np.eye(8)
+    assert np.allclose(lm.Sums(model)[np.arange(41 * 41 * 40)], model.table().ravel(), atol=1e-2)
+
+
+def test_lm_tells_frequent_tokens_apart(spark):
+    """Words of one frequency, 300 of them, are told apart by what follows them."""
+    pairs = [f"a{k} b{k}" for k in range(300)]
+    docs = spark.createDataFrame([(k, " ".join(pairs[k % 50 :] + pairs[: k % 50])) for k in range(60)], "doc_id long, text string")
+    ids = [i for i in range(900, 999) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    shuffled = " ".join(f"a{k} b{(k + 7) % 300}" for k in range(300))
+    docs = docs.unionByName(spark.createDataFrame([(ids[0], " ".join(pairs)), (ids[1], shuffled)], docs.schema))
+    scores = {r["doc_id"]: r["score"] for r in lm.score(docs, steps=300).collect()}
+    assert scores[ids[0]] > scores[ids[1]] + 100
+
+
 def test_lm_empty(none, spark):
     assert lm.score(none).count() == 0
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 1)
