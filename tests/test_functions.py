@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate import functions as fn
+from tidegate.operators import bronze
 from tidegate.operators.bronze import first_delivery, to_bronze
 from tidegate.operators.quarantine import no_telemetry, quarantine
 from tidegate.operators.silver import parse_envelope, to_silver
@@ -155,3 +156,19 @@ def test_quarantine_reasons(spark):
         '{"templateName":"x"}': "unknown_template",
         '{"templateName":"t"}': "no_telemetry",
     }
+
+
+def test_first_delivery_brings_only_repeated_bodies_together(spark, monkeypatch):
+    """The same rows whether bodies that occur twice go apart or not; a body that occurs once is not shuffled."""
+    rows = [(f"b{k % 40}" if k % 3 else f"c{k}", f"2024-01-{k % 28 + 1:02d}", f"p{k}") for k in range(90)]
+    rows += [(None, "2024-01-01", "p"), ("late", None, "p"), ("twice", None, "p"), ("twice", "2024-01-05", "q")]
+    raw = spark.createDataFrame(rows, "body string, at string, publisher string")
+    raw = raw.selectExpr("body", "cast(at as timestamp) as enqueuedTime", "publisher")
+    for columns in (raw.columns, ["body", "enqueuedTime"]):
+        some = raw.select(*columns)
+        monkeypatch.setattr(bronze, "REPEATED", 0)
+        want = sorted(map(str, first_delivery(some).collect()))
+        monkeypatch.setattr(bronze, "REPEATED", 1000)
+        assert sorted(map(str, first_delivery(some).collect())) == want
+        unique = some.where("body like 'c%'")
+        assert "Exchange" not in first_delivery(unique)._jdf.queryExecution().executedPlan().toString()
