@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import replace
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,9 +22,10 @@ from tidegate.operators.merge import (
     merge_insert,
     without,
 )
-from tidegate.operators.silver import to_silver
+from tidegate.operators.silver import silver_of_all, to_silver
 from tidegate.plans.rebuild import bronze_of
 from tidegate.sources.replay import between_positions, bronze_stream
+from tidegate.sources.templates import template
 from tidegate.storage import Target
 from tidegate.streaming.ingest import bronze_target
 
@@ -59,6 +61,21 @@ def test_silver_parses_once_and_pushes_the_template_down(spark, lake):
     assert "Exchange" not in text
 
 
+def test_templates_with_the_same_fields_take_one_pass(spark, lake):
+    """Rows are those of each template by itself; bodies are parsed once for all templates alike."""
+    bronze = lake[0].read(spark)
+    templates = [*fx.line_templates().values()]
+    both = silver_of_all(bronze, templates)
+    text = plan(both)
+    assert "Union" not in text and text.count("from_json") == 1
+    alone = reduce(lambda a, b: a.unionByName(b), (to_silver(bronze, t) for t in templates))
+    assert both.columns == alone.columns
+    assert both.exceptAll(alone).isEmpty() and alone.exceptAll(both).isEmpty()
+    other = template("Line R", {"returned": "boolean"})
+    mixed = silver_of_all(bronze, [*templates[:2], other])
+    assert mixed.count() == alone.count() and mixed.where("templateName = 'Line R' and discount is not null").isEmpty()
+
+
 def test_history_scan_is_pruned_to_the_key(spark, lake):
     target, batch = lake
     spec = MergeSpec()
