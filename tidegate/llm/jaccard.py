@@ -5,7 +5,7 @@ set with it.  Three uses of the fragments follow one another:
 
 * candidates: sets of a size class are cut into one fragment more than two linked sets can differ in n-grams, so linked
   sets have a whole fragment in common; only a hash per fragment is shuffled;
-* a bound: two bits per fragment of a finer cut tell apart most fragments that differ; two sets cannot link if more of these
+* a bound: four bits per fragment of a finer cut tell apart most fragments that differ; two sets cannot link if more of these
   differ than linked sets may have n-grams that do;
 * counts: for what is left, the overlap is counted for each fragment by itself and summed per pair.
 
@@ -13,7 +13,7 @@ Verdicts come from the counts alone; equal fragments only say which pairs are wo
 
 Documents with the same set are one class and enter once.  Groups that meet in a fragment are split into blocks
 of ``BLOCK`` classes.  Inside a group each class ranks its partners by the bound.  Rounds go through the ranks, 1, 2 to 4, 5 to 16 and so on, and
-try only pairs that the links so far leave in different components.  So every link is either found or joins what is
+try only pairs that the links so far leave in different components; groups without such pairs of higher ranks leave after each.  So every link is either found or joins what is
 joined already, and the pairs of a group of near copies, which its first ranks connect, never leave their task.
 
 Cases: null, empty and blank texts have an empty set and are alone in their component.  A text of fewer words than the width has
@@ -155,13 +155,16 @@ def signatures(flat: np.ndarray, bounds: np.ndarray, scheme: np.ndarray, percent
 
 
 def cell_count(scheme: int) -> int:
-    """Cells of a size class, of two bits each: 64 to 1,024 bytes."""
-    low = int(LOWS[scheme])
-    return 256 if low < 1000 else 1024 if low < 4000 else 4096
+    """Cells of a size class, of four bits each: 64 to 2,048 bytes.
+
+    About one for each n-gram up to 4,096; with fewer, n-grams that differ fall into one cell and sets that are
+    far from linked pass the bound.
+    """
+    return 1 << min(12, max(7, int(LOWS[scheme] - 1).bit_length()))
 
 
 def cells(flat: np.ndarray, bounds: np.ndarray, scheme: np.ndarray) -> list[bytes]:
-    """Two bits for each fragment of a fine cut, equal where the fragments are."""
+    """Four bits for each fragment of a fine cut, equal where the fragments are."""
     owner = np.repeat(np.arange(len(scheme)), np.diff(bounds))
     size = np.array([cell_count(s) for s in scheme.tolist()], np.int64)
     at = np.concatenate([[0], np.cumsum(size)])
@@ -171,15 +174,16 @@ def cells(flat: np.ndarray, bounds: np.ndarray, scheme: np.ndarray) -> list[byte
     out = np.zeros(int(at[-1]), np.uint8)
     if len(start):
         sums = mix(np.add.reduceat(mix(flat), start))
-        out[at[owner[start]] + piece[start].astype(np.int64)] = (sums & U(3)).astype(np.uint8)
-    packed = out.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
-    return [packed[a:b].tobytes() for a, b in zip((at[:-1] // 4).tolist(), (at[1:] // 4).tolist())]
+        out[at[owner[start]] + piece[start].astype(np.int64)] = (sums & U(15)).astype(np.uint8)
+    packed = out.reshape(-1, 2) @ np.array([1, 16], np.uint8)
+    return [packed[a:b].tobytes() for a, b in zip((at[:-1] // 2).tolist(), (at[1:] // 2).tolist())]
 
 
 def unlike_cells(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """How many cells differ, for each pair of rows."""
     z = x ^ y
-    return np.bitwise_count((z | (z >> U(1))) & U(0x5555555555555555)).sum(axis=1, dtype=np.int64)
+    z |= z >> U(2)
+    return np.bitwise_count((z | (z >> U(1))) & U(0x1111111111111111)).sum(axis=1, dtype=np.int64)
 
 
 def set_keys(flat: np.ndarray, bounds: np.ndarray) -> list[bytes | None]:
@@ -244,7 +248,7 @@ def read_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 # --- candidate pairs -------------------------------------------------------------------------------
 
-PAIRS = "a long, b long, n_a long, n_b long"
+PAIRS = "a long, b long, n_a long, n_b long, later long"
 RANKS = ((1, 1), (2, 4), (5, 16), (17, 64), (65, 256), (257, BLOCK * 2))  # a block, or two that meet, have no higher ranks
 
 
@@ -252,8 +256,8 @@ def within(members: DataFrame, percent: int, ranks: tuple[int, int]) -> DataFram
     """Pairs of classes that share a fragment, may link by their sizes and cells, and have different labels, each with ``a < b``.
 
     ``members``: ``scheme, signature, low, high`` (the blocks that meet), ``block, id, n, cells, label``, sorted
-    by the first four.  A pair is given if either class ranks the other within ``ranks`` by the cells that differ.  A row of nulls says
-    that there are pairs of higher ranks.
+    by the first four.  A pair is given if either class ranks the other within ``ranks`` by the cells that differ.  A row without a
+    pair names in ``later`` a signature whose group has pairs of higher ranks.
     """
 
     def pairs_of(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -297,10 +301,13 @@ def within(members: DataFrame, percent: int, ranks: tuple[int, int]) -> DataFram
             chosen = crosses & (rank >= ranks[0]) & (rank <= ranks[1])
             x, y = i[chosen], j[chosen]
             x, y = np.where(ids[x] < ids[y], x, y), np.where(ids[x] < ids[y], y, x)
-            columns = [pa.array(c) for c in (ids[x], ids[y], n[x], n[y])]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n_a", "n_b"])
-            if (crosses & (rank > ranks[1])).any():
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 4, ["a", "b", "n_a", "n_b"])
+            names = [c.split()[0] for c in PAIRS.split(", ")]
+            # A pair of several groups that this task holds is given once.
+            pairs, first = np.unique(np.stack([ids[x], ids[y]], axis=1), axis=0, return_index=True)
+            columns = [pa.array(c) for c in (pairs[:, 0], pairs[:, 1], n[x][first], n[y][first])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(first), pa.int64())], names)
+            later = np.unique(ident[0][i[crosses & (rank > ranks[1])]])
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(later), pa.int64())] * 4, pa.array(later)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -439,8 +446,13 @@ def members_of(all_sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return members, classes, numbered
 
 
-def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None, percent: int, ranks: tuple[int, int]) -> DataFrame:
+def candidates(
+    members: DataFrame, classes: DataFrame, labels: DataFrame | None, later: DataFrame | None, percent: int, ranks: tuple[int, int]
+) -> DataFrame:
+    """Pairs of the given ranks, of the groups in ``later`` (``signature``; of all if None)."""
     order = ["scheme", "signature", "low", "high"]
+    if later is not None:
+        members = members.join(later, "signature", "left_semi")
     if labels is None:
         members = members.withColumn("label", F.col("id"))
     else:
@@ -465,8 +477,12 @@ def connected(read: DataFrame, width: int, threshold: float) -> tuple[DataFrame,
     release(all_sets)
     grams: DataFrame | None = None
     labels: DataFrame | None = None
+    asked: DataFrame | None = None
     for ranks in RANKS:
-        asked = stored(candidates(members, classes, labels, percent, ranks), "pairs")
+        later = None if asked is None else asked.where("a is null").select(F.col("later").alias("signature"))
+        before, asked = asked, stored(candidates(members, classes, labels, later, percent, ranks), "pairs")
+        if before is not None:
+            release(before)
         pairs = asked.where("a is not null")
         if grams is None:
             # Every class that has a partner at all is in a pair of the first round.  Its set is read from one document.
@@ -478,14 +494,17 @@ def connected(read: DataFrame, width: int, threshold: float) -> tuple[DataFrame,
             texts = read.join(one, same).select("id", "text")
             grams = stored(counted_fragments(texts, width).dropDuplicates(["id"]), "grams")
         links = linked(pairs, grams, percent)
-        if labels is not None:
-            links = links.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
-        before, labels = labels, components(links)
-        more = not asked.where("a is null").isEmpty()
-        release(asked, *([before] if before is not None else []))
-        if not more:
+        if labels is None:
+            labels = components(links)
+        else:
+            links = stored(links, "links")
+            if not links.isEmpty():  # else the components are what they were
+                old, labels = labels, components(links.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))))
+                release(old)
+            release(links)
+        if asked.where("a is null").isEmpty():
             break
-    release(members, classes, grams)
+    release(asked, members, classes, grams)
     return slim, labels.join(numbered, "id").select("key", "label")
 
 
