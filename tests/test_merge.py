@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tidegate.operators import merge
 from tidegate.operators.bronze import to_bronze
 from tidegate.operators.merge import (
     DAY_MICROS,
@@ -224,3 +225,16 @@ def test_unknown_settings():
     for setting in ({"mode": "other"}, {"copies": "other"}):
         with pytest.raises(ValueError):
             MergeSpec(**setting)
+
+
+@pytest.mark.parametrize("spec", [STRICT, LARGE, UNPRUNED, COMPAT, LARGE_COMPAT])
+def test_bodies_are_not_kept_between_the_steps(spark, folder, spec, monkeypatch):
+    """A merge keeps keys, times and partitions over its steps: a kept partition with bodies can exceed an executor's memory."""
+    kept, keep = [], merge.persisted
+    monkeypatch.setattr(merge, "persisted", lambda df: kept.append(df.columns) or keep(df))
+    t = target(folder)
+    merge_insert(batch(spark, "aab-X"), t, spec)
+    stats = merge_insert(batch(spark, "abbc-XY"), t, spec)
+    assert (stats.rows_in, stats.matched_keys, stats.null_keys) == (7, 3, 1)
+    assert set(held(spark, t)) == set("abcXY") | ({"-"} if spec.mode == "compat" else set())
+    assert kept and set().union(*kept) <= {"rowhash", "deviceEnqueuedTime", "yearDevice", "monthDevice"}
