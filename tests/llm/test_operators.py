@@ -354,6 +354,38 @@ def test_lm_tells_frequent_tokens_apart(spark):
     assert scores[ids[0]] > scores[ids[1]] + 100
 
 
+def test_lm_learns_from_all_trigrams(spark):
+    """A corpus of many times the steps' trigrams: pairs that the start hardly meets are learned, and every trigram is counted once."""
+    pairs = [f"a{k} b{k}" for k in range(300)]
+    docs = spark.createDataFrame([(k, " ".join(pairs[7 * k % 300 :] + pairs[: 7 * k % 300]) + f" c{k}") for k in range(1000)], "doc_id long, text string")
+    held = [i for i in range(9000, 9099) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    shuffled = " ".join(f"a{k} b{(k + 7) % 300}" for k in range(300))
+    docs = docs.unionByName(spark.createDataFrame([(held[0], " ".join(pairs)), (held[1], shuffled)], docs.schema))
+    scores = {r["doc_id"]: r["score"] for r in lm.score(docs.repartition(3), steps=20).collect()}
+    assert scores[held[0]] > scores[held[1]] + 200
+
+
+@pytest.mark.parametrize("share", [2**21, 2000])
+def test_lm_every_trigram_is_learned_once(docs, monkeypatch, share):
+    monkeypatch.setattr(lm, "SHARE", share)
+    texts = docs.select("text").repartition(5)
+    hashes, counts = np.unique(lm.tokens(pa.array([r["text"] for r in texts.collect()], pa.string()))[0], return_counts=True)
+    classes = lm.Classes(hashes, counts, 16, int(counts.sum()), len(hashes))
+    model = lm.LogBilinear(classes.rest + 1, classes.uses, 8, 1)
+    before = model.params["token"].copy()
+    assert lm.learn_all(texts, classes, model, int(counts.sum()), 3) == counts.sum()
+    assert (model.params["token"] != before).any() and all(np.isfinite(v).all() for v in model.params.values())
+
+
+def test_lm_turns_leave_none_out():
+    draw = np.random.default_rng(2)
+    for n, size in ((10, 3), (3, 10), (1, 4096), (5000, 4096)):
+        found = np.concatenate([at for _, at in zip(range(60), lm.turns(draw, np.ones(n, np.int8), size))])
+        counted = np.bincount(found[: len(found) // n * n], minlength=n)
+        assert len(found) == 60 * size and counted.max() - counted.min() <= max(2, 2 * size // n)
+    assert sorted(next(lm.turns(draw, np.array([1, 0, 3]), 4))) == [0, 2, 2, 2]
+
+
 def test_lm_empty(none, spark):
     assert lm.score(none).count() == 0
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 1)
