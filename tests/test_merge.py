@@ -20,7 +20,7 @@ from tidegate.operators.merge import (
     footprint,
     merge_insert,
 )
-from tidegate import schemas
+from tidegate import schemas, storage
 from tidegate.storage import Target
 
 COMPAT = MergeSpec(mode="compat")
@@ -238,3 +238,27 @@ def test_bodies_are_not_kept_between_the_steps(spark, folder, spec, monkeypatch)
     assert (stats.rows_in, stats.matched_keys, stats.null_keys) == (7, 3, 1)
     assert set(held(spark, t)) == set("abcXY") | ({"-"} if spec.mode == "compat" else set())
     assert kept and set().union(*kept) <= {"rowhash", "deviceEnqueuedTime", "yearDevice", "monthDevice"}
+
+
+@pytest.mark.parametrize("spec", [STRICT, LARGE])
+def test_first_load_without_copies_shuffles_no_body_for_them(spark, folder, spec, monkeypatch):
+    """Rows are brought together by key only if a look at the keys finds one twice."""
+    calls, keep = [], merge.first_copy
+    monkeypatch.setattr(merge, "first_copy", lambda *a: calls.append(1) or keep(*a))
+    t = target(folder)
+    assert merge_insert(batch(spark, "abX--"), t, spec).inserted == 3
+    assert held(spark, t) == Counter("abX") and not calls
+    other = Target(f"{folder}/other", schemas.BRONZE)
+    assert merge_insert(batch(spark, "abbX"), other, spec).inserted == 3
+    assert held(spark, other) == Counter("abX") and calls
+
+
+def test_keys_are_laid_out_as_bytes_and_written_as_they_are(spark, folder):
+    """Only lower-case hex digits of even number are packed; any key comes back as it was."""
+    keys = ["ab12", "AB12", "abc", "", "zz", "0" * 64, None, "é", " ab"]
+    rows = batch(spark, "a").drop("rowhash").crossJoin(spark.createDataFrame([(k,) for k in keys], "rowhash string"))
+    packed = storage._packed(rows, "rowhash")
+    assert {r[0] for r in packed.select("rowhash").collect()} == {"AB12", "abc", "zz", None, "é", " ab"}
+    t = target(folder)
+    assert t.append(rows) == len(keys)
+    assert Counter(r.rowhash for r in t.read(spark).collect()) == Counter(keys)

@@ -6,6 +6,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +33,7 @@ from tidegate.streaming import metrics
 from tidegate.streaming.ingest import (
     bronze_sink,
     bronze_target,
+    silver_sink,
     silver_target,
     start_bronze,
     start_silver,
@@ -338,3 +340,23 @@ def test_run_config():
         RunConfig(Layout("/x"), job_minutes=-1)
     with pytest.raises(ValueError):
         RunConfig(Layout("/x"), mode="x")
+
+
+@pytest.mark.parametrize("mode", ["strict", "compat"])
+def test_single_stream_keeps_no_bodies(spark, folder, raw, mode, monkeypatch):
+    """A kept batch would be a second copy of bronze on the executors' disks: it is read again instead."""
+    kept, keep = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *a: kept.append(df.columns) or keep(df, *a))
+    layout, templates = Layout(folder), fx.event_templates()
+    bronze = to_bronze(raw, LOADED)
+    doubled = bronze.unionByName(bronze.where("templateName = 'view'").limit(5))
+    silver_sink(layout, templates, mode)(doubled, 0)
+    silver_sink(layout, templates, mode)(bronze, 1)
+    assert not [c for c in kept if "body" in c]
+    rejected = quarantine(doubled, templates).count()
+    found = {r.target: (r.rows_in, r.quarantined) for r in metrics.read(spark, layout.metrics()).where("batch_id = 0").collect()}
+    assert found["quarantine"] == (doubled.count(), rejected)
+    silver = silver_target(layout, templates["view"]).read(spark)
+    want = to_silver(bronze if mode == "strict" else doubled, templates["view"])
+    want = want.dropDuplicates(["rowhash"]) if mode == "strict" else want
+    assert silver.count() == want.count()
